@@ -7,8 +7,8 @@ from wakeline import constants as C
 
 
 def _outside(value: Column, low: float, high: float) -> Column:
-    """Out of range; a missing value and NaN count as out of range."""
-    return value.isNull() | F.isnan(value) | (value < low) | (value > high)
+    """Out of range; a missing value counts as out of range, and so does NaN (it sorts highest)."""
+    return ~F.coalesce(value.between(low, high), F.lit(False))
 
 
 def reason_code(arrival_ms: Column | None = None) -> Column:
@@ -18,7 +18,7 @@ def reason_code(arrival_ms: Column | None = None) -> Column:
     """
     arrival = F.col("ingest_ms") if arrival_ms is None else arrival_ms
     lat, lon = F.col("latitude"), F.col("longitude")
-    bad_mmsi = F.col("mmsi").isNull() | ~F.col("mmsi").rlike(C.MMSI_PATTERN)
+    bad_mmsi = ~F.coalesce(F.col("mmsi").rlike(C.MMSI_PATTERN), F.lit(False))
     return (
         F.when(bad_mmsi, C.REASON_MMSI)
         .when((lat == 0) & (lon == 0), C.REASON_NULL_ISLAND)

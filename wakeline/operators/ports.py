@@ -23,11 +23,13 @@ MAX_BROADCAST_CANDIDATES = 500_000
 SALTS = 32
 
 
-def nearest_port_nm(lat: Column, lon: Column, ports: Sequence[tuple]) -> Column:
-    """Nautical miles to the nearest of ``(id, name, lat, lon)`` ports; NULL without ports."""
+def nearest_port_nm(point: Column, ports: Sequence[tuple]) -> Column:
+    """Nautical miles from a unit vector to the nearest of ``(id, name, lat, lon)`` ports.
+
+    NULL without ports.
+    """
     if not ports:
         return F.lit(None).cast("double")
-    point = unit_vector(lat, lon)
     chords = [half_chord_sq(point, unit_vector(float(p[2]), float(p[3]))) for p in ports]
     nearest = chords[0] if len(chords) == 1 else F.least(*chords)
     return arc_m(nearest) / METRES_PER_NM
@@ -53,7 +55,12 @@ def with_nearest_port(
         ports = [tuple(row) for row in head]
     if len(ports) > MAX_INLINE_PORTS:
         raise ValueError(f"more than {MAX_INLINE_PORTS} ports: pass them as a DataFrame")
-    return points.withColumn("distance_to_port", nearest_port_nm(F.col(lat), F.col(lon), ports))
+    # The vector is a column of its own, so its sines and cosines are worked out once.
+    return (
+        points.withColumn("_here", unit_vector(F.col(lat), F.col(lon)))
+        .withColumn("distance_to_port", nearest_port_nm(F.col("_here"), ports))
+        .drop("_here")
+    )
 
 
 def _cell(lon: Column, lat: Column, step: int) -> tuple[Column, Column]:

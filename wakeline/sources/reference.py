@@ -1,17 +1,25 @@
 """Reference data: the zone catalogue and the port gazetteer."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wakeline.constants import SEED_PORTS, SEED_ZONES
 from wakeline.schemas import PORTS, ZONES
 
 
+def _local(spark: SparkSession, rows: list[dict], schema) -> DataFrame:
+    """A handful of literal rows, planned as a local relation and not as a Python job."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=to_arrow_schema(schema)), schema)
+
+
 def seed_zones(spark: SparkSession) -> DataFrame:
     rows = []
     for zone_id, name, kind, west, south, east, north in SEED_ZONES:
-        ring = [(west, south), (east, south), (east, north), (west, north), (west, south)]
-        rows.append((zone_id, name, kind, ring))
-    return spark.createDataFrame(rows, ZONES)
+        corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]
+        ring = [{"lon": lon, "lat": lat} for lon, lat in corners]
+        rows.append({"id": zone_id, "name": name, "zone_type": kind, "ring": ring})
+    return _local(spark, rows, ZONES)
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
@@ -20,7 +28,7 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def seed_ports(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEED_PORTS, PORTS)
+    return _local(spark, [dict(zip(PORTS.names, port)) for port in SEED_PORTS], PORTS)
 
 
 def read_ports(spark: SparkSession, path: str) -> DataFrame:

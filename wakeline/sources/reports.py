@@ -80,7 +80,9 @@ def reports_from_events(events: DataFrame) -> DataFrame:
         (arrival + F.col("copy") * 60_000).alias("ingest_ms"),
         source.alias("source_type"),
         F.lit(EVENT_TYPE_AIS).alias("event_type"),
-        F.get_json_object("props", "$.correlation_id").alias("correlation_id"),
+        F.when(F.col("event_type") == "signup", F.concat(F.lit("signup-"), event.cast("string"))).alias(
+            "correlation_id"
+        ),
     )
 
 
