@@ -1,4 +1,8 @@
-"""Spherical and planar geometry as column expressions."""
+"""Spherical and planar geometry as column expressions.
+
+Arguments are SQL expressions as text (usually column names) or plain numbers; each function returns
+one column built in a single step.
+"""
 
 import math
 
@@ -7,51 +11,66 @@ from pyspark.sql import functions as F
 
 from wakeline.constants import EARTH_RADIUS_M, HOTSPOT_CELL_DEG, METRES_PER_NM
 
+Scalar = str | float
+
+
+def number(value: float) -> str:
+    """A number as a double literal."""
+    return f"({float(value)!r}D)"
+
 
-def _angle(degrees) -> Column:
-    """Radians of a column, or of a plain number worked out here and not once per row."""
-    if isinstance(degrees, (int, float)):
-        return F.lit(math.radians(degrees))
-    return F.radians(degrees)
+def _text(value: Scalar) -> str:
+    return f"({value})" if isinstance(value, str) else number(value)
 
 
-def haversine_m(lat1, lon1, lat2, lon2) -> Column:
-    """Great-circle metres between two points in degrees; arguments are columns or numbers."""
-    phi1, phi2 = _angle(lat1), _angle(lat2)
-    sin_dphi = F.sin((phi2 - phi1) / 2)
-    sin_dlam = F.sin((_angle(lon2) - _angle(lon1)) / 2)
-    return arc_m(sin_dphi * sin_dphi + F.cos(phi1) * F.cos(phi2) * sin_dlam * sin_dlam)
+def _radians(value: Scalar) -> str:
+    """Radians of an expression, or of a number worked out here and not once per row."""
+    return f"radians({value})" if isinstance(value, str) else number(math.radians(value))
 
 
-def arc_m(half_chord_sq: Column) -> Column:
+def arc_m_sql(half_chord_sq: str) -> str:
     """Metres along the sphere for the square of half the chord (unit sphere)."""
     # Rounding can lift the value of antipodes just above 1.
-    rest = F.greatest(F.lit(0.0), 1 - half_chord_sq)
-    return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(half_chord_sq), F.sqrt(rest))
+    rest = f"greatest(0D, 1D - ({half_chord_sq}))"
+    return f"({number(2 * EARTH_RADIUS_M)} * atan2(sqrt({half_chord_sq}), sqrt({rest})))"
+
+
+def haversine_sql(lat1: Scalar, lon1: Scalar, lat2: Scalar, lon2: Scalar) -> str:
+    phi1, phi2 = _radians(lat1), _radians(lat2)
+    sin_dphi = f"sin(({phi2} - {phi1}) / 2D)"
+    sin_dlam = f"sin(({_radians(lon2)} - {_radians(lon1)}) / 2D)"
+    half = f"{sin_dphi} * {sin_dphi} + cos({phi1}) * cos({phi2}) * {sin_dlam} * {sin_dlam}"
+    return arc_m_sql(half)
+
+
+def haversine_m(lat1: Scalar, lon1: Scalar, lat2: Scalar, lon2: Scalar) -> Column:
+    """Great-circle metres between two points in degrees."""
+    return F.expr(haversine_sql(lat1, lon1, lat2, lon2))
 
 
-def unit_vector(lat, lon) -> Column:
+def unit_vector(lat: str, lon: str) -> Column:
     """A point in degrees as ``struct(x, y, z)`` on the unit sphere."""
-    phi, lam = _angle(lat), _angle(lon)
-    return F.struct(
-        (F.cos(phi) * F.cos(lam)).alias("x"),
-        (F.cos(phi) * F.sin(lam)).alias("y"),
-        F.sin(phi).alias("z"),
+    return F.expr(
+        f"named_struct('x', cos(radians({lat})) * cos(radians({lon})),"
+        f" 'y', cos(radians({lat})) * sin(radians({lon})), 'z', sin(radians({lat})))"
     )
 
 
-def half_chord_sq(a: Column, b: Column) -> Column:
+def half_chord_sq_sql(a: tuple[str, str, str], b: tuple[str, str, str]) -> str:
     """Square of half the chord between two unit vectors.
 
     It grows with the great-circle distance, so the nearest of many points can be found with
-    multiplications alone and only the winner turned into metres by ``arc_m``.
+    multiplications alone and only the winner turned into metres by ``arc_m_sql``.
     """
-    dx, dy, dz = a["x"] - b["x"], a["y"] - b["y"], a["z"] - b["z"]
-    return (dx * dx + dy * dy + dz * dz) / 4
+    squares = [f"({p} - {q}) * ({p} - {q})" for p, q in zip(a, b)]
+    return f"(({' + '.join(squares)}) / 4D)"
 
 
-def haversine_nm(lat1, lon1, lat2, lon2) -> Column:
-    return haversine_m(lat1, lon1, lat2, lon2) / METRES_PER_NM
+def unit_numbers(lat: float, lon: float) -> tuple[str, str, str]:
+    """The unit vector of a fixed point as three literals."""
+    phi, lam = math.radians(lat), math.radians(lon)
+    xyz = (math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi))
+    return tuple(number(v) for v in xyz)
 
 
 def implied_speed_kn(metres: Column, elapsed_ms: Column) -> Column:
@@ -59,65 +78,54 @@ def implied_speed_kn(metres: Column, elapsed_ms: Column) -> Column:
     return F.when(elapsed_ms > 0, (metres / METRES_PER_NM) / (elapsed_ms / 3_600_000.0))
 
 
-def initial_bearing_deg(lat1, lon1, lat2, lon2) -> Column:
+def initial_bearing_deg(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     """Heading at the first point towards the second, clockwise from north, in [0, 360)."""
-    phi1, phi2 = F.radians(lat1), F.radians(lat2)
-    dlam = F.radians(lon2) - F.radians(lon1)
-    east = F.sin(dlam) * F.cos(phi2)
-    north = F.cos(phi1) * F.sin(phi2) - F.sin(phi1) * F.cos(phi2) * F.cos(dlam)
-    return F.pmod(F.degrees(F.atan2(east, north)) + 360.0, F.lit(360.0))
+    phi1, phi2 = _radians(lat1), _radians(lat2)
+    dlam = f"(radians({lon2}) - radians({lon1}))"
+    east = f"sin({dlam}) * cos({phi2})"
+    north = f"cos({phi1}) * sin({phi2}) - sin({phi1}) * cos({phi2}) * cos({dlam})"
+    return F.expr(f"pmod(degrees(atan2({east}, {north})) + 360D, 360D)")
 
 
-def grid_snap(degrees: Column, cell_deg: float = HOTSPOT_CELL_DEG) -> Column:
+def grid_snap(degrees: str, cell_deg: float = HOTSPOT_CELL_DEG) -> Column:
     """South-west corner of the grid cell holding a coordinate.
 
     The division keeps binary rounding as it is: 0.3 / 0.1 floors to 2.
     """
-    return F.round(F.floor(degrees / cell_deg) * cell_deg, 6)
+    return F.expr(f"round(floor({degrees} / {number(cell_deg)}) * {number(cell_deg)}, 6)")
 
 
-def ring_edges(ring: Column) -> Column:
-    """The sides of a ring, closing it if its last vertex is not its first."""
-    first, last = F.element_at(ring, 1), F.element_at(ring, -1)
-    is_closed = (first["lon"] == last["lon"]) & (first["lat"] == last["lat"])
-    closed = F.when(is_closed, ring).otherwise(F.concat(ring, F.array(first)))
-    heads = F.slice(closed, F.lit(1), F.size(closed) - 1)
-    tails = F.slice(closed, F.lit(2), F.size(closed) - 1)
+def ring_edges_sql(ring: str) -> str:
+    """The sides of a ring as ``array<struct<x1,y1,x2,y2>>``; an open ring is closed.
 
-    def side(a: Column, b: Column) -> Column:
-        return F.struct(
-            a["lon"].alias("x1"), a["lat"].alias("y1"), b["lon"].alias("x2"), b["lat"].alias("y2")
-        )
-
-    # A ring of fewer than three vertices encloses nothing.
-    return F.when(F.size(ring) >= 3, F.zip_with(heads, tails, side)).otherwise(
-        F.slice(F.zip_with(ring, ring, side), F.lit(1), F.lit(0))
-    )
+    A ring of fewer than three vertices has no sides. The first vertex is repeated at the end; if
+    it was there already, the extra side is a point, which neither crosses nor changes anything
+    that the other sides at that vertex do not.
+    """
+    side = "(a, b) -> named_struct('x1', a.lon, 'y1', a.lat, 'x2', b.lon, 'y2', b.lat)"
+    shifted = f"concat(slice({ring}, 2, greatest(size({ring}) - 1, 0)), slice({ring}, 1, 1))"
+    return f"filter(zip_with({ring}, {shifted}, {side}), e -> size({ring}) >= 3)"
 
 
-def inside_edges(edges: Column, lon: Column, lat: Column) -> Column:
+def inside_edges_sql(edges: str, lon: Scalar, lat: Scalar) -> str:
     """Whether a point lies strictly inside the ring with these sides (even-odd rule).
 
     A point on a side is outside; NULL or empty sides contain nothing.
     """
-
-    def crosses(e: Column) -> Column:
-        straddles = (e["y1"] > lat) != (e["y2"] > lat)
-        at_x = e["x1"] + (lat - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
-        return straddles & (lon < at_x)
-
-    def touches(e: Column) -> Column:
-        turn = (e["x2"] - e["x1"]) * (lat - e["y1"]) - (e["y2"] - e["y1"]) * (lon - e["x1"])
-        return (
-            (turn == 0)
-            & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-
-    odd = F.size(F.filter(edges, crosses)) % 2 == 1
-    return F.coalesce(odd & ~F.exists(edges, touches), F.lit(False))
+    x, y = _text(lon), _text(lat)
+    crosses = (
+        f"e -> (e.y1 > {y}) != (e.y2 > {y})"
+        f" AND {x} < e.x1 + ({y} - e.y1) * (e.x2 - e.x1) / nullif(e.y2 - e.y1, 0D)"
+    )
+    touches = (
+        f"e -> {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)"
+        f" AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
+        f" AND (e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0D"
+    )
+    odd = f"size(filter({edges}, {crosses})) % 2 = 1"
+    return f"coalesce({odd} AND NOT exists({edges}, {touches}), false)"
 
 
-def point_in_polygon(ring: Column, lon: Column, lat: Column) -> Column:
+def point_in_polygon(ring: str, lon: Scalar, lat: Scalar) -> Column:
     """Strict containment in a ring of (lon, lat) vertices; NULL or empty ring gives false."""
-    return F.coalesce(inside_edges(ring_edges(ring), lon, lat), F.lit(False))
+    return F.expr(inside_edges_sql(ring_edges_sql(ring), lon, lat))

@@ -9,12 +9,12 @@ from wakeline.functions.hexgrid import hex_cell
 from wakeline.operators.neighbours import with_neighbours
 
 
-def hex_crossings(reports: DataFrame, cell_fn: Callable[[Column, Column], Column] = hex_cell) -> DataFrame:
+def hex_crossings(reports: DataFrame, cell_fn: Callable[[str, str], Column] = hex_cell) -> DataFrame:
     """One row for each report in another cell than the report before it.
 
     The first sighting of a vessel is no crossing.
     """
-    placed = reports.withColumn("cell", cell_fn(F.col("latitude"), F.col("longitude")))
+    placed = reports.withColumn("cell", cell_fn("latitude", "longitude"))
     return (
         with_neighbours(placed, before=("cell",))
         .where(F.col("before.cell") != F.col("cell"))

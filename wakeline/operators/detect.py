@@ -32,9 +32,7 @@ def loitering() -> Column:
 
 def step_metres() -> Column:
     """Distance covered since the previous report."""
-    return haversine_m(
-        F.col("before.latitude"), F.col("before.longitude"), F.col("latitude"), F.col("longitude")
-    )
+    return haversine_m("before.latitude", "before.longitude", "latitude", "longitude")
 
 
 def implied_speed() -> Column:
@@ -53,9 +51,7 @@ def silence_ms(as_of_ms: int) -> Column:
 
 def bearing() -> Column:
     """Heading from the previous position to this one."""
-    return initial_bearing_deg(
-        F.col("before.latitude"), F.col("before.longitude"), F.col("latitude"), F.col("longitude")
-    )
+    return initial_bearing_deg("before.latitude", "before.longitude", "latitude", "longitude")
 
 
 def flag(enriched: DataFrame, as_of_ms: int, limit_ms: int = C.SILENCE_MS) -> DataFrame:

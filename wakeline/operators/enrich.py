@@ -16,12 +16,12 @@ from wakeline.sources.reference import seed_zones
 def _with_context(points, zones, ports, lon, lat, key) -> DataFrame:
     zones = seed_zones(points.sparkSession) if zones is None else zones
     located = with_zones(points, zones, lon=lon, lat=lat, key=key)
-    located = (
-        located.withColumns({"in_restricted_zone": any_restricted(), "_zone": primary_zone()})
-        .withColumns({"zone_name": F.col("_zone.name"), "zone_type": F.col("_zone.zone_type")})
-        .drop("zones", "_zone")
+    labelled = located.select(
+        *points.columns, any_restricted().alias("in_restricted_zone"), primary_zone().alias("_zone")
+    ).selectExpr(
+        *points.columns, "in_restricted_zone", "_zone.name AS zone_name", "_zone.zone_type AS zone_type"
     )
-    return with_nearest_port(located, ports, lon=lon, lat=lat, key=key)
+    return with_nearest_port(labelled, ports, lon=lon, lat=lat, key=key)
 
 
 def enrich(
@@ -30,13 +30,12 @@ def enrich(
     """Accepted reports with their zone, port distance and risk; all flags still false."""
     key = ("mmsi", "ts_ms", "ingest_ms", "seq")
     placed = _with_context(reports, zones, ports, "longitude", "latitude", key)
-    score = risk_score(
-        F.col("in_restricted_zone"), F.col("zone_type"), F.col("distance_to_port"), F.col("speed")
-    )
-    return (
-        placed.withColumn("risk_score", score)
-        .withColumn("risk_level", risk_level(F.col("risk_score")))
-        .withColumns({name: F.lit(False) for name in ("loitering", "dark_vessel", "speed_anomaly")})
+    return placed.select("*", risk_score(speed="speed").alias("risk_score")).select(
+        "*",
+        risk_level().alias("risk_level"),
+        F.lit(False).alias("loitering"),
+        F.lit(False).alias("dark_vessel"),
+        F.lit(False).alias("speed_anomaly"),
     )
 
 
@@ -47,14 +46,8 @@ def enrich_crossings(
 
     The speed of the vessel does not count here.
     """
-    centre = hex_centroid(F.col("to_cell"))
-    placed = _with_context(
-        crossings.withColumns({"centroid_lat": centre["lat"], "centroid_lon": centre["lon"]}),
-        zones,
-        ports,
-        "centroid_lon",
-        "centroid_lat",
-        ("mmsi", "ts_ms", "seq"),
+    centred = crossings.select("*", hex_centroid("to_cell").alias("_centre")).selectExpr(
+        *crossings.columns, "_centre.lat AS centroid_lat", "_centre.lon AS centroid_lon"
     )
-    score = risk_score(F.col("in_restricted_zone"), F.col("zone_type"), F.col("distance_to_port"))
-    return placed.withColumn("risk_score", score).withColumn("risk_level", risk_level(F.col("risk_score")))
+    placed = _with_context(centred, zones, ports, "centroid_lon", "centroid_lat", ("mmsi", "ts_ms", "seq"))
+    return placed.select("*", risk_score().alias("risk_score")).select("*", risk_level().alias("risk_level"))

@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.constants import METRES_PER_NM
-from wakeline.functions.geo import arc_m, half_chord_sq, haversine_m, unit_vector
+from wakeline.functions.geo import (
+    arc_m_sql,
+    half_chord_sq_sql,
+    haversine_sql,
+    number,
+    unit_numbers,
+    unit_vector,
+)
 from wakeline.settings import stage
 
 # Longest gazetteer written into the expression itself.
@@ -23,16 +30,18 @@ MAX_BROADCAST_CANDIDATES = 500_000
 SALTS = 32
 
 
-def nearest_port_nm(point: Column, ports: Sequence[tuple]) -> Column:
-    """Nautical miles from a unit vector to the nearest of ``(id, name, lat, lon)`` ports.
+_HERE = ("_here.x", "_here.y", "_here.z")
 
-    NULL without ports.
-    """
-    if not ports:
-        return F.lit(None).cast("double")
-    chords = [half_chord_sq(point, unit_vector(float(p[2]), float(p[3]))) for p in ports]
-    nearest = chords[0] if len(chords) == 1 else F.least(*chords)
-    return arc_m(nearest) / METRES_PER_NM
+
+def _as_nm(chord: str) -> Column:
+    return F.expr(f"{arc_m_sql(chord)} / {number(METRES_PER_NM)}")
+
+
+def nearest_chord_sql(ports: Sequence[tuple]) -> str:
+    """Half the chord, squared, from ``_here`` to the nearest of ``(id, name, lat, lon)`` ports."""
+    chords = [half_chord_sq_sql(_HERE, unit_numbers(lat, lon)) for _, _, lat, lon in ports]
+    # A second, equal argument lets one port stand alone.
+    return f"least({', '.join(chords + chords[:1])})"
 
 
 def with_nearest_port(
@@ -55,16 +64,18 @@ def with_nearest_port(
         ports = [tuple(row) for row in head]
     if len(ports) > MAX_INLINE_PORTS:
         raise ValueError(f"more than {MAX_INLINE_PORTS} ports: pass them as a DataFrame")
-    # The vector is a column of its own, so its sines and cosines are worked out once.
+    if not ports:
+        return points.withColumn("distance_to_port", F.lit(None).cast("double"))
+    # Vector and chord are columns of their own, so neither is worked out more than once.
     return (
-        points.withColumn("_here", unit_vector(F.col(lat), F.col(lon)))
-        .withColumn("distance_to_port", nearest_port_nm(F.col("_here"), ports))
-        .drop("_here")
+        points.select("*", unit_vector(lat, lon).alias("_here"))
+        .select(*points.columns, F.expr(nearest_chord_sql(ports)).alias("_chord"))
+        .select(*points.columns, _as_nm("_chord").alias("distance_to_port"))
     )
 
 
-def _cell(lon: Column, lat: Column, step: int) -> tuple[Column, Column]:
-    return F.floor(lon / step).cast("int"), F.floor(lat / step).cast("int")
+def _cell_sql(degrees: str, step: int) -> str:
+    return f"cast(floor({degrees} / {number(step)}) AS int)"
 
 
 def candidate_ports(ports: DataFrame, occupied: DataFrame) -> DataFrame:
@@ -97,65 +108,62 @@ def candidate_ports(ports: DataFrame, occupied: DataFrame) -> DataFrame:
             F.floor(F.col("cell_x") / scale).cast("int").alias("cell_x"),
             F.floor(F.col("cell_y") / scale).cast("int").alias("cell_y"),
         ).distinct()
-        pairs = pairs.join(above, ["cell_x", "cell_y"], "left_semi")
+        # Each level is read twice, to find the bound and to apply it, so it is written in between.
+        pairs = stage(pairs.join(above, ["cell_x", "cell_y"], "left_semi"), f"port-level-{step}")
         pairs = _prune(pairs, step)
     return pairs
 
 
 def _prune(pairs: DataFrame, step: int) -> DataFrame:
-    south = F.col("cell_y") * F.lit(float(step))
-    north = F.least(south + step, F.lit(90.0))
-    middle_lon = (F.col("cell_x") + 0.5) * step
-    middle_lat = (south + north) / 2
-    west = F.col("cell_x") * F.lit(float(step))
+    west, south = f"(cell_x * {number(step)})", f"(cell_y * {number(step)})"
+    north = f"least({south} + {number(step)}, 90D)"
+    middle = (f"(({south} + {north}) / 2D)", f"({west} + {number(step / 2)})")
     # The farthest point of a cell from its centre is a corner; a metre covers rounding.
-    radius = (
-        F.greatest(
-            haversine_m(middle_lat, middle_lon, south, west), haversine_m(middle_lat, middle_lon, north, west)
-        )
-        + 1.0
-    )
-    measured = pairs.withColumns(
-        {"radius": radius, "centre_m": haversine_m(middle_lat, middle_lon, F.col("plat"), F.col("plon"))}
+    corners = [haversine_sql(*middle, south, west), haversine_sql(*middle, north, west)]
+    measured = pairs.selectExpr(
+        "*",
+        f"greatest({', '.join(corners)}) + 1D AS radius",
+        f"{haversine_sql(*middle, 'plat', 'plon')} AS centre_m",
     )
     # One row per cell, so at most 360 x 180 of them at the finest step.
-    bound = measured.groupBy("cell_x", "cell_y").agg(F.min(F.col("centre_m") + F.col("radius")).alias("bound"))
+    bound = measured.groupBy("cell_x", "cell_y").agg(F.expr("min(centre_m + radius) AS bound"))
     return (
         measured.join(bound, ["cell_x", "cell_y"])
-        .where(F.col("centre_m") - F.col("radius") <= F.col("bound"))
+        .where("centre_m - radius <= bound")
         .drop("radius", "centre_m", "bound")
     )
 
 
 def _from_table(points, ports, lon, lat, key, max_broadcast) -> DataFrame:
-    cell_x, cell_y = _cell(F.col(lon), F.col(lat), LEVELS_DEG[-1])
-    located = points.withColumns({"cell_x": cell_x, "cell_y": cell_y})
-    occupied = located.select("cell_x", "cell_y").distinct()
-    candidates = candidate_ports(ports, occupied).select(
-        "cell_x", "cell_y", unit_vector(F.col("plat"), F.col("plon")).alias("port")
-    )
+    step = LEVELS_DEG[-1]
+    located = points.selectExpr("*", f"{_cell_sql(lon, step)} AS cell_x", f"{_cell_sql(lat, step)} AS cell_y")
+    # At most one row per cell of the finest grid.
+    occupied = stage(located.select("cell_x", "cell_y").distinct(), "port-cells")
     # Written once, because it is counted before it is used; it is small next to the points.
-    candidates = stage(candidates, "port-candidates")
-    here = unit_vector(F.col(lat), F.col(lon))
+    candidates = stage(
+        candidate_ports(ports, occupied).select("cell_x", "cell_y", unit_vector("plat", "plon").alias("port")),
+        "port-candidates",
+    )
+    here = unit_vector(lat, lon).alias("_here")
     if candidates.count() <= max_broadcast:
         # The whole table is bounded, hence so is the list of one cell. Points are not shuffled.
         per_cell = candidates.groupBy("cell_x", "cell_y").agg(F.collect_list("port").alias("near"))
-        joined = located.join(F.broadcast(per_cell), ["cell_x", "cell_y"], "left").withColumn("here", here)
-        nearest = F.array_min(F.transform("near", lambda p: half_chord_sq(F.col("here"), p)))
-        return joined.withColumn("distance_to_port", arc_m(nearest) / METRES_PER_NM).select(
-            *points.columns, "distance_to_port"
+        chord = half_chord_sq_sql(_HERE, ("p.x", "p.y", "p.z"))
+        return (
+            located.join(F.broadcast(per_cell), ["cell_x", "cell_y"], "left")
+            .select(*points.columns, "near", here)
+            .select(*points.columns, F.expr(f"array_min(transform(near, p -> {chord}))").alias("_chord"))
+            .select(*points.columns, _as_nm("_chord").alias("distance_to_port"))
         )
-    salted = located.select(*key, "cell_x", "cell_y", here.alias("here")).withColumn(
+    # A cell may hold any share of the points: spread them over salts and repeat its list per salt.
+    salted = located.select(*key, "cell_x", "cell_y", here).withColumn(
         "salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")
     )
     spread = candidates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    chord = half_chord_sq_sql(_HERE, ("port.x", "port.y", "port.z"))
     nearest = (
-        salted.join(spread, ["cell_x", "cell_y", "salt"])
-        .groupBy(*key)
-        .agg(F.min(half_chord_sq(F.col("here"), F.col("port"))).alias("_chord"))
+        salted.join(spread, ["cell_x", "cell_y", "salt"]).groupBy(*key).agg(F.expr(f"min({chord}) AS _chord"))
     )
-    return (
-        points.join(nearest, list(key), "left")
-        .withColumn("distance_to_port", arc_m(F.col("_chord")) / METRES_PER_NM)
-        .select(*points.columns, "distance_to_port")
+    return points.join(nearest, list(key), "left").select(
+        *points.columns, _as_nm("_chord").alias("distance_to_port")
     )

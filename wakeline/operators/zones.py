@@ -7,83 +7,90 @@ an equi-join on the cell, then the exact test. Cells that lie wholly inside a po
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.geo import inside_edges, ring_edges
-from wakeline.functions.risk import zone_priority
+from wakeline.functions.geo import inside_edges_sql, number, ring_edges_sql
+from wakeline.functions.risk import zone_priority_sql
 
 CELL_DEG = 1.0
-# Below this many polygon sides in the whole cover, it is sent to every executor: 40 bytes a side
-# and about 100 a zone entry keep that under some tens of megabytes.
+# Up to this many zones, with this many polygon sides in their whole cover, the cover is sent to
+# every executor: 40 bytes a side and about 100 a zone entry keep it under some tens of megabytes.
+MAX_BROADCAST_ZONES = 5_000
 MAX_BROADCAST_SIDES = 200_000
-# Beyond it, the rows of a cell are spread over this many salts.
+# Beyond that, the points of a cell are spread over this many salts.
 SALTS = 32
 
+_ZONE = "'priority', {priority}, 'minus_id', -id, 'id', id, 'name', name, 'zone_type', zone_type".format(
+    priority=zone_priority_sql()
+)
 
-def cell_of(degrees: Column, cell_deg: float = CELL_DEG) -> Column:
-    return F.floor(degrees / cell_deg).cast("int")
+
+def cell_sql(degrees: str, cell_deg: float) -> str:
+    return f"cast(floor({degrees} / {number(cell_deg)}) AS int)"
+
+
+def _boxed(zones: DataFrame) -> DataFrame:
+    """Zones with their bounding box; a ring without vertices drops out."""
+    corners = {"west": ("min", "lon"), "east": ("max", "lon"), "south": ("min", "lat"), "north": ("max", "lat")}
+    return zones.select(
+        "id", "name", "zone_type", "ring", *[F.expr(f"array_{f}(ring.{c})").alias(n) for n, (f, c) in corners.items()]
+    ).where("west IS NOT NULL")
+
+
+def cover_is_small(zones: DataFrame, cell_deg: float = CELL_DEG, max_sides: int = MAX_BROADCAST_SIDES) -> bool:
+    """Whether the cover of this catalogue is bounded tightly enough to be sent to every executor.
+
+    Counts every zone's sides once per cell of its bounding box, which is more than the cover holds.
+    """
+    spans = [
+        f"({cell_sql(high, cell_deg)} - {cell_sql(low, cell_deg)} + 1L)"
+        for low, high in (("west", "east"), ("south", "north"))
+    ]
+    sides = f"{spans[0]} * {spans[1]} * (size(ring) + 1)"
+    counted = _boxed(zones.limit(MAX_BROADCAST_ZONES + 1)).select(F.expr(sides).alias("sides")).collect()
+    return len(counted) <= MAX_BROADCAST_ZONES and sum(row["sides"] for row in counted) <= max_sides
 
 
 def zone_cover(zones: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:
     """One row per (zone, touched cell): the sides, and whether the cell is wholly inside."""
-    boxed = (
-        zones.select("id", "name", "zone_type", ring_edges(F.col("ring")).alias("edges"))
-        .where(F.size("edges") > 0)
-        .withColumns(
-            {
-                "west": F.array_min(F.transform("edges", lambda e: F.least(e["x1"], e["x2"]))),
-                "east": F.array_max(F.transform("edges", lambda e: F.greatest(e["x1"], e["x2"]))),
-                "south": F.array_min(F.transform("edges", lambda e: F.least(e["y1"], e["y2"]))),
-                "north": F.array_max(F.transform("edges", lambda e: F.greatest(e["y1"], e["y2"]))),
-            }
+    step = number(cell_deg)
+    cells = (
+        _boxed(zones)
+        .selectExpr(
+            "id",
+            "name",
+            "zone_type",
+            f"{ring_edges_sql('ring')} AS edges",
+            "south",
+            "north",
+            f"explode(sequence({cell_sql('west', cell_deg)}, {cell_sql('east', cell_deg)})) AS cell_x",
+        )
+        .selectExpr(
+            "id",
+            "name",
+            "zone_type",
+            "edges",
+            "cell_x",
+            f"explode(sequence({cell_sql('south', cell_deg)}, {cell_sql('north', cell_deg)})) AS cell_y",
         )
     )
-    cells = (
-        boxed.withColumn("cell_x", F.explode(F.sequence(cell_of(F.col("west"), cell_deg), cell_of(F.col("east"), cell_deg))))
-        .withColumn("cell_y", F.explode(F.sequence(cell_of(F.col("south"), cell_deg), cell_of(F.col("north"), cell_deg))))
-        .drop("west", "east", "south", "north")
+    left, bottom = f"(cell_x * {step})", f"(cell_y * {step})"
+    near = (
+        f"e -> least(e.x1, e.x2) <= {left} + {step} AND greatest(e.x1, e.x2) >= {left}"
+        f" AND least(e.y1, e.y2) <= {bottom} + {step} AND greatest(e.y1, e.y2) >= {bottom}"
     )
-    left, bottom = F.col("cell_x") * cell_deg, F.col("cell_y") * cell_deg
-
-    def near(e: Column) -> Column:
-        return (
-            (F.least(e["x1"], e["x2"]) <= left + cell_deg)
-            & (F.greatest(e["x1"], e["x2"]) >= left)
-            & (F.least(e["y1"], e["y2"]) <= bottom + cell_deg)
-            & (F.greatest(e["y1"], e["y2"]) >= bottom)
-        )
-
-    centre_inside = inside_edges(F.col("edges"), left + cell_deg / 2, bottom + cell_deg / 2)
     # No side near the cell: it is wholly inside or wholly outside, as its centre is.
-    return (
-        cells.withColumn("crossed", F.exists("edges", near))
-        .where(F.col("crossed") | centre_inside)
-        .withColumn("whole", ~F.col("crossed"))
-        .withColumn("edges", F.when(F.col("crossed"), F.col("edges")))
-        .drop("crossed")
-    )
-
-
-def _contains(zone: Column, lon: Column, lat: Column) -> Column:
-    return zone["whole"] | inside_edges(zone["edges"], lon, lat)
-
-
-def _zone_fields(*extra: str) -> Column:
-    return F.struct(
-        zone_priority(F.col("zone_type")).alias("priority"),
-        (-F.col("id")).alias("minus_id"),
-        F.col("id").alias("id"),
-        F.col("name").alias("name"),
-        F.col("zone_type").alias("zone_type"),
-        *extra,
+    centre_inside = inside_edges_sql("edges", f"{left} + {step} / 2", f"{bottom} + {step} / 2")
+    crossed = cells.selectExpr("*", f"exists(edges, {near}) AS crossed")
+    return crossed.where(f"crossed OR {centre_inside}").selectExpr(
+        "id",
+        "name",
+        "zone_type",
+        "cell_x",
+        "cell_y",
+        "NOT crossed AS whole",
+        "CASE WHEN crossed THEN edges END AS edges",
     )
 
 
-def cover_is_small(cover: DataFrame, limit: int = MAX_BROADCAST_SIDES) -> bool:
-    """Whether the cover has few enough sides to be sent to every executor."""
-    # +1 a row, so rows without sides (whole cells) count as well.
-    sides = cover.agg(F.sum(F.coalesce(F.size("edges"), F.lit(0)) + 1)).first()[0]
-    return (sides or 0) <= limit
-
-
 def with_zones(
     points: DataFrame,
     zones: DataFrame,
@@ -100,19 +107,18 @@ def with_zones(
     the catalogue is too large to broadcast.
     """
     cover = zone_cover(zones, cell_deg)
-    located = points.withColumns(
-        {"cell_x": cell_of(F.col(lon), cell_deg), "cell_y": cell_of(F.col(lat), cell_deg)}
+    located = points.selectExpr(
+        "*", f"{cell_sql(lon, cell_deg)} AS cell_x", f"{cell_sql(lat, cell_deg)} AS cell_y"
     )
-    if cover_is_small(cover, max_broadcast_sides):
+    if cover_is_small(zones, cell_deg, max_broadcast_sides):
         # The whole cover is bounded, hence so is the list of one cell. Points are not shuffled.
-        per_cell = cover.groupBy("cell_x", "cell_y").agg(
-            F.collect_list(_zone_fields("whole", "edges")).alias("candidates")
-        )
+        entry = f"named_struct({_ZONE}, 'whole', whole, 'edges', edges)"
+        per_cell = cover.groupBy("cell_x", "cell_y").agg(F.expr(f"collect_list({entry}) AS candidates"))
         joined = located.join(F.broadcast(per_cell), ["cell_x", "cell_y"], "left")
-        hits = F.filter("candidates", lambda z: _contains(z, F.col(lon), F.col(lat)))
-        names = ("priority", "minus_id", "id", "name", "zone_type")
-        kept = F.transform(hits, lambda z: F.struct(*[z[n].alias(n) for n in names]))
-        return joined.withColumn("zones", F.coalesce(kept, F.array())).drop("cell_x", "cell_y", "candidates")
+        hits = f"filter(candidates, z -> z.whole OR {inside_edges_sql('z.edges', lon, lat)})"
+        fields = ", ".join(f"'{name}', z.{name}" for name in ("priority", "minus_id", "id", "name", "zone_type"))
+        kept = F.expr(f"coalesce(transform({hits}, z -> named_struct({fields})), array())")
+        return joined.select(*points.columns, kept.alias("zones"))
 
     # A cell may hold any share of the points: spread them over salts and repeat its zones per salt.
     salted_points = located.select(*key, lon, lat, "cell_x", "cell_y").withColumn(
@@ -121,20 +127,18 @@ def with_zones(
     salted_cover = cover.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     matches = (
         salted_points.join(salted_cover, ["cell_x", "cell_y", "salt"])
-        .where(_contains(F.struct("whole", "edges"), F.col(lon), F.col(lat)))
+        .where(f"whole OR {inside_edges_sql('edges', lon, lat)}")
         .groupBy(*key)
-        .agg(F.collect_list(_zone_fields()).alias("zones"))
+        .agg(F.expr(f"collect_list(named_struct({_ZONE})) AS zones"))
     )
-    return (
-        points.join(matches, list(key), "left")
-        .withColumn("zones", F.coalesce("zones", F.array()))
-        .select(*points.columns, "zones")
+    return points.join(matches, list(key), "left").select(
+        *points.columns, F.coalesce("zones", F.array()).alias("zones")
     )
 
 
 def any_restricted() -> Column:
     """Whether one of ``zones`` is restricted."""
-    return F.exists("zones", lambda z: z["zone_type"] == "RESTRICTED")
+    return F.expr("exists(zones, z -> z.zone_type = 'RESTRICTED')")
 
 
 def primary_zone() -> Column:
@@ -144,9 +148,6 @@ def primary_zone() -> Column:
 
 def zone_pairs(located: DataFrame, *keep: str) -> DataFrame:
     """One row per (point, containing zone); points outside all zones keep one row of NULLs."""
-    return located.select(*keep, F.explode_outer("zones").alias("zone")).select(
-        *keep,
-        F.col("zone.id").alias("zone_id"),
-        F.col("zone.name").alias("zone_name"),
-        F.col("zone.zone_type").alias("zone_type"),
+    return located.select(*keep, F.explode_outer("zones").alias("zone")).selectExpr(
+        *keep, "zone.id AS zone_id", "zone.name AS zone_name", "zone.zone_type AS zone_type"
     )

@@ -69,8 +69,8 @@ def hotspots(
     loitering = cold.where(F.col("loitering"))
     per_vessel = loitering.groupBy(
         "date",
-        grid_snap(F.col("vesselEvent.latitude"), cell_deg).alias("cell_lat"),
-        grid_snap(F.col("vesselEvent.longitude"), cell_deg).alias("cell_lon"),
+        grid_snap("vesselEvent.latitude", cell_deg).alias("cell_lat"),
+        grid_snap("vesselEvent.longitude", cell_deg).alias("cell_lon"),
         F.col("vesselEvent.mmsi").alias("mmsi"),
     ).agg(F.count("*").alias("events"))
     cells = per_vessel.groupBy("date", "cell_lat", "cell_lon").agg(

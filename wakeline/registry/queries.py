@@ -135,7 +135,7 @@ def latency_p99(spark, sf_dir):
 def haversine(spark, sf_dir):
     """Metres from every valid report to the first port of the gazetteer."""
     _, _, lat, lon = C.SEED_PORTS[0]
-    metres = haversine_m(F.col("latitude"), F.col("longitude"), lat, lon)
+    metres = haversine_m("latitude", "longitude", lat, lon)
     return valid(events_as_reports(spark, sf_dir)).select("seq", F.round(metres, 3).alias("metres"))
 
 
@@ -146,8 +146,8 @@ def point_in_polygon_test(spark, sf_dir):
     columns = []
     for zone_id, _, _, west, south, east, north in C.SEED_ZONES:
         corners = [(west, south), (east, south), (east, north), (west, north)]
-        ring = F.array(*[F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in corners])
-        columns.append(point_in_polygon(ring, F.col("longitude"), F.col("latitude")).alias(f"in_zone_{zone_id}"))
+        ring = ", ".join(f"named_struct('lon', {x}D, 'lat', {y}D)" for x, y in corners)
+        columns.append(point_in_polygon(f"array({ring})", "longitude", "latitude").alias(f"in_zone_{zone_id}"))
     return checked.select("seq", *columns)
 
 
@@ -155,20 +155,20 @@ def point_in_polygon_test(spark, sf_dir):
 def grid_cell(spark, sf_dir):
     checked = valid(events_as_reports(spark, sf_dir))
     return checked.select(
-        "seq", grid_snap(F.col("latitude")).alias("cell_lat"), grid_snap(F.col("longitude")).alias("cell_lon")
+        "seq", grid_snap("latitude").alias("cell_lat"), grid_snap("longitude").alias("cell_lon")
     )
 
 
 @query
 def hex_cells(spark, sf_dir):
     checked = valid(events_as_reports(spark, sf_dir))
-    return checked.select("seq", hex_cell(F.col("latitude"), F.col("longitude")).alias("cell"))
+    return checked.select("seq", hex_cell().alias("cell"))
 
 
 @query
 def hex_centroids(spark, sf_dir):
     cells = hex_cells(spark, sf_dir).select("cell").distinct()
-    centre = hex_centroid(F.col("cell"))
+    centre = hex_centroid()
     return cells.select("cell", F.round(centre["lat"], 9).alias("lat"), F.round(centre["lon"], 9).alias("lon"))
 
 
