@@ -1,0 +1,307 @@
+"""Stateful processors: deduplication, behaviour and silence, cell crossings.
+
+They hold only the state and the comparison with it. Everything that needs no state (validation,
+zones, ports, scores, cells) is done before or after them in column expressions.
+"""
+
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StringType, StructField, StructType
+
+import wakeline
+from wakeline import constants as C
+from wakeline.functions.hexgrid import hex_cell
+from wakeline.operators.detect import FLAGS
+
+# The processors travel to the workers with their code, so these need no installed package.
+cloudpickle.register_pickle_by_value(wakeline)
+
+
+def _in_order(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
+    """One key's rows of this micro-batch, ordered."""
+    return pd.concat(list(rows), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
+
+
+# --- deduplication ---
+
+# Keys are spread over this many groups, so that neither a vessel nor a minute makes a hot group. Use a
+# few per state partition. State is kept by group: the number is fixed for the life of a checkpoint.
+DEDUP_GROUPS = 256
+# How far processing may lag behind arrival before a window's entry could be evicted too early.
+LAG_ALLOWANCE_MS = 6 * 60 * 60 * 1000
+
+
+class DedupProcessor(StatefulProcessor):
+    """Marks copies inside the window opened by the first accepted copy of (vessel, report time).
+
+    Windows are measured on arrival times, as in batch. The state's own time-to-live only evicts.
+    """
+
+    def __init__(self, ttl_ms: int = C.DEDUP_TTL_MS) -> None:
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.accepted = handle.getMapState(
+            "accepted", "mmsi string, ts_ms long", "accepted_ms long", ttlDurationMs=self.ttl_ms + LAG_ALLOWANCE_MS
+        )
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = _in_order(rows, ["mmsi", "ts_ms", "ingest_ms", "seq"])
+        duplicate = np.zeros(len(batch), dtype=bool)
+        for (mmsi, ts_ms), places in batch.groupby(["mmsi", "ts_ms"], sort=False).indices.items():
+            report = (mmsi, int(ts_ms))  # the state store takes plain values only
+            known = self.accepted.getValue(report) if self.accepted.containsKey(report) else None
+            opened = known[0] if known else None
+            arrivals = batch["ingest_ms"].to_numpy()[places]
+            duplicate[places] = True
+            at = 0 if opened is None else int(np.searchsorted(arrivals, opened + self.ttl_ms))
+            while at < len(places):
+                duplicate[places[at]] = False
+                opened = int(arrivals[at])
+                at = int(np.searchsorted(arrivals, opened + self.ttl_ms))
+            self.accepted.updateValue(report, (opened,))
+        batch["reason_code"] = pd.Series(np.where(duplicate, C.REASON_DUPLICATE, None), dtype=object)
+        yield batch
+
+    def close(self) -> None:
+        pass
+
+
+def mark_duplicates(
+    valid_reports: DataFrame, ttl_ms: int = C.DEDUP_TTL_MS, groups: int = DEDUP_GROUPS
+) -> DataFrame:
+    """A stream of valid reports with ``reason_code`` = ``duplicate`` on the copies to set aside."""
+    columns = valid_reports.columns
+    schema = StructType([*valid_reports.schema.fields, StructField("reason_code", StringType())])
+    spread = valid_reports.withColumn("_group", F.pmod(F.xxhash64("mmsi", "ts_ms"), F.lit(groups)))
+    return spread.groupBy("_group").transformWithStateInPandas(
+        _Columns(DedupProcessor(ttl_ms), columns + ["reason_code"]), schema, "Append", "ProcessingTime"
+    )
+
+
+class _Columns(StatefulProcessor):
+    """A processor whose output is cut to the declared columns."""
+
+    def __init__(self, inner: StatefulProcessor, columns: list[str]) -> None:
+        self.inner, self.columns = inner, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.inner.init(handle)
+
+    def _cut(self, frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield frame[self.columns]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        return self._cut(self.inner.handleInputRows(key, rows, timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return self._cut(self.inner.handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+    def close(self) -> None:
+        self.inner.close()
+
+
+# --- behaviour and silence ---
+
+_KEPT = [
+    "seq",
+    "ts_ms",
+    "latitude",
+    "longitude",
+    "speed",
+    "in_restricted_zone",
+    "zone_name",
+    "zone_type",
+    "distance_to_port",
+    "risk_score",
+    "risk_level",
+    "loitering",
+    "speed_anomaly",
+]
+
+
+def _haversine_m(lat1, lon1, lat2, lon2):
+    phi1, phi2 = np.radians(lat1), np.radians(lat2)
+    half = (
+        np.sin((phi2 - phi1) / 2) ** 2
+        + np.cos(phi1) * np.cos(phi2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
+    )
+    return 2 * C.EARTH_RADIUS_M * np.arctan2(np.sqrt(half), np.sqrt(np.maximum(0.0, 1 - half)))
+
+
+class BehaviourProcessor(StatefulProcessor):
+    """Loitering and speed on arrival, silence by timer, and the end of a silence.
+
+    A micro-batch handles rows before timers, so a report that ends a silence would cancel its
+    timer; the silence is therefore also tested against each new report.
+    """
+
+    def __init__(self, limit_ms: int = C.SILENCE_MS) -> None:
+        self.limit_ms = limit_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState(
+            "last",
+            "seq long, ts_ms long, latitude double, longitude double, speed double, in_restricted_zone boolean,"
+            " zone_name string, zone_type string, distance_to_port double, risk_score double, risk_level string,"
+            " loitering boolean, speed_anomaly boolean, dark boolean",
+        )
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = _in_order(rows, ["ts_ms", "seq"])
+        known = self.last.get() if self.last.exists() else None
+        was_dark = bool(known[-1]) if known else False
+        if known:
+            before = pd.DataFrame([known[:-1]], columns=_KEPT)
+            track = pd.concat([before, batch], ignore_index=True)
+        else:
+            track = batch.copy()
+        ts, speed = track["ts_ms"].to_numpy("int64"), track["speed"].to_numpy("float64")
+        lat, lon = track["latitude"].to_numpy("float64"), track["longitude"].to_numpy("float64")
+        elapsed = np.diff(ts)
+        slow = speed < C.LOITER_SPEED_KN
+        loitering = slow[:-1] & slow[1:] & (elapsed >= C.LOITER_MINUTES * 60_000)
+        moved = elapsed > 0
+        metres = _haversine_m(lat[:-1], lon[:-1], lat[1:], lon[1:])
+        knots = metres / C.METRES_PER_NM / (np.where(moved, elapsed, 1) / 3_600_000.0)
+        anomaly = moved & (np.abs(knots - speed[1:]) > C.ANOMALY_KN)
+
+        first = 1 if known else 0
+        track.loc[1:, "loitering"] = loitering
+        track.loc[1:, "speed_anomaly"] = anomaly
+        if not known:
+            track.loc[0, ["loitering", "speed_anomaly"]] = False
+        track["dark_vessel"] = False
+        flagged = track["loitering"].astype(bool) | track["speed_anomaly"].astype(bool)
+        yield track[flagged & (np.arange(len(track)) >= first)].assign(detection="behaviour", mmsi=key[0])
+
+        silent = elapsed > self.limit_ms
+        ended = np.append(silent, False)
+        if was_dark:
+            ended[0] = False  # its timer has already told
+        yield self._dark(track[ended], key)
+        back = np.insert(silent, 0, False)
+        if was_dark:
+            back[1] = True
+        yield track[back].assign(detection="back_online", mmsi=key[0])
+
+        newest = track.iloc[-1]
+        self.last.update(tuple(_plain(newest[name]) for name in _KEPT) + (False,))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(_expiry(timer))
+        self.handle.registerTimer(int(newest["ts_ms"]) + self.limit_ms + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = self.last.get()
+        if not known[-1]:
+            self.last.update(tuple(known[:-1]) + (True,))
+            yield self._dark(pd.DataFrame([known[:-1]], columns=_KEPT), key)
+
+    def _dark(self, silent: pd.DataFrame, key) -> pd.DataFrame:
+        """The last report rebuilt from what the state keeps of it."""
+        return silent.assign(
+            detection="dark",
+            dark_vessel=True,
+            mmsi=key[0],
+            heading=0.0,
+            source_type=None,
+            event_type=C.EVENT_TYPE_AIS,
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def _plain(value):
+    """A pandas cell as the plain value the state store takes."""
+    if value is None or (not isinstance(value, str) and pd.isna(value)):
+        return None
+    return value.item() if isinstance(value, np.generic) else value
+
+
+def _expiry(timer) -> int:
+    return timer if isinstance(timer, int) else timer.getExpiryTimeInMs()
+
+
+DETECTION_COLUMNS = [
+    "mmsi",
+    "seq",
+    "ts_ms",
+    "latitude",
+    "longitude",
+    "speed",
+    "heading",
+    "source_type",
+    "event_type",
+    "in_restricted_zone",
+    "zone_name",
+    "zone_type",
+    "distance_to_port",
+    "risk_score",
+    "risk_level",
+    *FLAGS,
+    "detection",
+]
+
+
+def detect_stream(
+    enriched: DataFrame, limit_ms: int = C.SILENCE_MS, delay: str = "10 minutes", clock: str = "ingest_ms"
+) -> DataFrame:
+    """Detections of an enriched stream: ``behaviour``, ``dark`` and ``back_online`` rows.
+
+    The clock of silences is the watermark over ``clock`` (arrival by default).
+    """
+    types = {field.name: field.dataType for field in enriched.schema.fields}
+    types["detection"] = StringType()
+    schema = StructType([StructField(name, types[name]) for name in DETECTION_COLUMNS])
+    timed = (
+        enriched.where(F.col("mmsi").isNotNull())
+        .withColumn("_clock", F.timestamp_millis(clock))
+        .withWatermark("_clock", delay)
+    )
+    return timed.groupBy("mmsi").transformWithStateInPandas(
+        _Columns(BehaviourProcessor(limit_ms), DETECTION_COLUMNS), schema, "Append", "EventTime"
+    )
+
+
+# --- cell crossings ---
+
+
+class CrossingProcessor(StatefulProcessor):
+    """Emits a report whose cell differs from the cell of the report before it."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.cell = handle.getValueState("cell", "cell string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = _in_order(rows, ["ts_ms", "seq"])
+        known = self.cell.get()[0] if self.cell.exists() else None
+        batch["from_cell"] = batch["to_cell"].shift(1)
+        batch.loc[0, "from_cell"] = known
+        self.cell.update((batch["to_cell"].iloc[-1],))
+        yield batch[batch["from_cell"].notna() & (batch["from_cell"] != batch["to_cell"])]
+
+    def close(self) -> None:
+        pass
+
+
+CROSSING_COLUMNS = ["mmsi", "from_cell", "to_cell", "latitude", "longitude", "speed", "source_type", "ts_ms", "seq"]
+
+
+def crossings_stream(enriched: DataFrame, cell_fn=hex_cell) -> DataFrame:
+    placed = enriched.where(F.col("mmsi").isNotNull()).withColumn("to_cell", cell_fn("latitude", "longitude"))
+    types = {field.name: field.dataType for field in placed.schema.fields}
+    types["from_cell"] = StringType()
+    schema = StructType([StructField(name, types[name]) for name in CROSSING_COLUMNS])
+    return placed.groupBy("mmsi").transformWithStateInPandas(
+        _Columns(CrossingProcessor(), CROSSING_COLUMNS), schema, "Append", "None"
+    )
