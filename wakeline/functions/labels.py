@@ -1,6 +1,6 @@
 """Small presentation expressions used by the serving views."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.constants import DAY_MS, FLAG_LABELS, FLAG_SEPARATOR
@@ -11,6 +11,11 @@ def utc_date(ts_ms: Column) -> Column:
     return F.date_from_unix_date(F.floor(ts_ms / DAY_MS).cast("int"))
 
 
+def with_date(reports: DataFrame) -> DataFrame:
+    """Reports with the UTC ``date`` of their own time."""
+    return reports if "date" in reports.columns else reports.withColumn("date", utc_date(F.col("ts_ms")))
+
+
 def marker_class(level: Column, dark: Column) -> Column:
     return F.when(dark, "DARK").when(level.isin("HIGH", "MEDIUM"), level).otherwise("LOW")
 

@@ -14,15 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.functions.labels import utc_date
+from wakeline.functions.labels import with_date
 
 ORDER = ("ts_ms", "seq")
 
 
-def with_date(reports: DataFrame) -> DataFrame:
-    return reports if "date" in reports.columns else reports.withColumn("date", utc_date(F.col("ts_ms")))
-
-
 def within_day() -> "Window":
     return Window.partitionBy("mmsi", "date").orderBy(*ORDER)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from wakeline.schemas import ENRICHED_EVENT, nested_event, to_nested
-from wakeline.functions.labels import utc_date
+from wakeline.functions.labels import with_date
 
 COLD = StructType(
     [
@@ -24,9 +24,11 @@ COLD_ROWS_PER_FILE = 20_000_000
 
 
 def as_cold(flat_enriched: DataFrame) -> DataFrame:
-    """Flat enriched rows in the layout of the cold tier."""
-    with_date = flat_enriched.withColumn("date", utc_date(F.col("ts_ms")))
-    return to_nested(with_date, "seq", "ts_ms", "ingest_ms", "date")
+    """Flat enriched rows in the layout of the cold tier.
+
+    A ``date`` already there is kept, and with it a partitioning by it.
+    """
+    return to_nested(with_date(flat_enriched), "seq", "ts_ms", "ingest_ms", "date")
 
 
 def latest_copy(cold: DataFrame, mmsi: str = "vesselEvent.mmsi") -> DataFrame:
