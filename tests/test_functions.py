@@ -187,7 +187,7 @@ def test_reason_texts(spark):
         spark, {"mmsi": "1"}, {"latitude": 0.0, "longitude": 0.0}, {"latitude": 91.0}, {"longitude": 181.0},
         {"ts_ms": None, "ingest_ms": 1}, {"ts_ms": 0, "ingest_ms": 90_000_000}, {"speed": -1.0},
     ).withColumn("code", reason_code())
-    texts = [r["text"] for r in checked.withColumn("text", reason_text(F.col("code"))).orderBy("seq").collect()]
+    texts = [r["text"] for r in checked.withColumn("text", reason_text("code")).orderBy("seq").collect()]
     assert texts == [
         "invalid MMSI: 1",
         "null island (0,0)",

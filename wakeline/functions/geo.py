@@ -73,9 +73,10 @@ def unit_numbers(lat: float, lon: float) -> tuple[str, str, str]:
     return tuple(number(v) for v in xyz)
 
 
-def implied_speed_kn(metres: Column, elapsed_ms: Column) -> Column:
+def implied_speed_sql(metres: str, elapsed_ms: str) -> str:
     """Knots needed to cover ``metres`` in ``elapsed_ms``; NULL when no time passed."""
-    return F.when(elapsed_ms > 0, (metres / METRES_PER_NM) / (elapsed_ms / 3_600_000.0))
+    hours = f"(({elapsed_ms}) / 3600000D)"
+    return f"CASE WHEN {elapsed_ms} > 0 THEN ({metres} / {number(METRES_PER_NM)}) / {hours} END"
 
 
 def initial_bearing_deg(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:

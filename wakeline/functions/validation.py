@@ -6,45 +6,42 @@ from pyspark.sql import functions as F
 from wakeline import constants as C
 
 
-def _outside(value: Column, low: float, high: float) -> Column:
+def _outside(value: str, low: float, high: float) -> str:
     """Out of range; a missing value counts as out of range, and so does NaN (it sorts highest)."""
-    return ~F.coalesce(value.between(low, high), F.lit(False))
+    return f"NOT coalesce({value} BETWEEN {low}D AND {high}D, false)"
 
 
-def reason_code(arrival_ms: Column | None = None) -> Column:
+def reason_code(arrival_ms: str = "ingest_ms") -> Column:
     """Code of the first failed rule, NULL for a valid report.
 
     Freshness is judged against the arrival time of the row, so a rerun gives the same answer.
     """
-    arrival = F.col("ingest_ms") if arrival_ms is None else arrival_ms
-    lat, lon = F.col("latitude"), F.col("longitude")
-    bad_mmsi = ~F.coalesce(F.col("mmsi").rlike(C.MMSI_PATTERN), F.lit(False))
-    return (
-        F.when(bad_mmsi, C.REASON_MMSI)
-        .when((lat == 0) & (lon == 0), C.REASON_NULL_ISLAND)
-        .when(_outside(lat, -C.MAX_ABS_LATITUDE, C.MAX_ABS_LATITUDE), C.REASON_LATITUDE)
-        .when(_outside(lon, -C.MAX_ABS_LONGITUDE, C.MAX_ABS_LONGITUDE), C.REASON_LONGITUDE)
-        .when(F.col("ts_ms").isNull(), C.REASON_TIMESTAMP)
-        .when(F.abs(arrival - F.col("ts_ms")) > C.MAX_AGE_MS, C.REASON_STALE)
-        .when(_outside(F.col("speed"), 0.0, C.MAX_SPEED_KN), C.REASON_SPEED)
-    )
-
-
-def reason_text(code: Column, arrival_ms: Column | None = None) -> Column:
+    rules = [
+        (f"NOT coalesce(mmsi RLIKE r'{C.MMSI_PATTERN}', false)", C.REASON_MMSI),
+        ("latitude = 0 AND longitude = 0", C.REASON_NULL_ISLAND),
+        (_outside("latitude", -C.MAX_ABS_LATITUDE, C.MAX_ABS_LATITUDE), C.REASON_LATITUDE),
+        (_outside("longitude", -C.MAX_ABS_LONGITUDE, C.MAX_ABS_LONGITUDE), C.REASON_LONGITUDE),
+        ("ts_ms IS NULL", C.REASON_TIMESTAMP),
+        (f"abs({arrival_ms} - ts_ms) > {C.MAX_AGE_MS}", C.REASON_STALE),
+        (_outside("speed", 0.0, C.MAX_SPEED_KN), C.REASON_SPEED),
+    ]
+    return F.expr("CASE " + " ".join(f"WHEN {rule} THEN '{code}'" for rule, code in rules) + " END")
+
+
+def reason_text(code: str = "reason_code", arrival_ms: str = "ingest_ms") -> Column:
     """The reason as a person reads it, with the offending value in it."""
-    arrival = F.col("ingest_ms") if arrival_ms is None else arrival_ms
-
-    def shown(column: Column) -> Column:
-        return F.coalesce(column.cast("string"), F.lit("null"))
-
-    age = F.abs(arrival - F.col("ts_ms"))
-    return (
-        F.when(code == C.REASON_MMSI, F.concat(F.lit("invalid MMSI: "), shown(F.col("mmsi"))))
-        .when(code == C.REASON_NULL_ISLAND, "null island (0,0)")
-        .when(code == C.REASON_LATITUDE, F.concat(F.lit("latitude out of range: "), shown(F.col("latitude"))))
-        .when(code == C.REASON_LONGITUDE, F.concat(F.lit("longitude out of range: "), shown(F.col("longitude"))))
-        .when(code == C.REASON_TIMESTAMP, "null timestamp")
-        .when(code == C.REASON_STALE, F.concat(F.lit("timestamp too old/stale: "), shown(age), F.lit("ms")))
-        .when(code == C.REASON_SPEED, F.concat(F.lit("speed out of range: "), shown(F.col("speed")), F.lit(" kn")))
-        .otherwise(code)
-    )
+
+    def shown(value: str) -> str:
+        return f"coalesce(cast({value} AS string), 'null')"
+
+    # Fixed formats of the reason texts.
+    texts = [
+        (C.REASON_MMSI, f"concat('invalid MMSI: ', {shown('mmsi')})"),
+        (C.REASON_NULL_ISLAND, "'null island (0,0)'"),
+        (C.REASON_LATITUDE, f"concat('latitude out of range: ', {shown('latitude')})"),
+        (C.REASON_LONGITUDE, f"concat('longitude out of range: ', {shown('longitude')})"),
+        (C.REASON_TIMESTAMP, "'null timestamp'"),
+        (C.REASON_STALE, f"concat('timestamp too old/stale: ', {shown(f'abs({arrival_ms} - ts_ms)')}, 'ms')"),
+        (C.REASON_SPEED, f"concat('speed out of range: ', {shown('speed')}, ' kn')"),
+    ]
+    return F.expr(f"CASE {code} " + " ".join(f"WHEN '{c}' THEN {text}" for c, text in texts) + f" ELSE {code} END")

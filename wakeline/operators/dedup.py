@@ -43,17 +43,17 @@ def accept(valid_reports: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
     """
     firsts = stage(_first_copies(valid_reports), "accepted")
     rounds = [firsts.drop("_last_ms")]
-    late = firsts.where(F.col("_last_ms") - F.col("ingest_ms") >= ttl_ms)
+    late = firsts.where(f"_last_ms - ingest_ms >= {int(ttl_ms)}")
     remaining = valid_reports
     while not late.isEmpty():
-        # AQE splits a key with very many copies; the other side is one row per key.
+        # AQE splits a key with very many copies; the other side is one row per key. The copies left
+        # are written, so that the next round reads those few and not all reports again.
         window_end = late.select(*KEY, (F.col("ingest_ms") + ttl_ms).alias("_window_end"))
-        remaining = (
-            remaining.join(window_end, KEY).where(F.col("ingest_ms") >= F.col("_window_end")).drop("_window_end")
-        )
+        past = remaining.join(window_end, KEY).where("ingest_ms >= _window_end").drop("_window_end")
+        remaining = stage(past, "past-window")
         nexts = stage(_first_copies(remaining), "accepted-again")
         rounds.append(nexts.drop("_last_ms"))
-        late = nexts.where(F.col("_last_ms") - F.col("ingest_ms") >= ttl_ms)
+        late = nexts.where(f"_last_ms - ingest_ms >= {int(ttl_ms)}")
     return reduce(lambda a, b: a.unionByName(b), rounds)
 
 
@@ -68,9 +68,7 @@ def route(reports: DataFrame, accepted: DataFrame) -> DataFrame:
         .join(mark, ARRIVAL, "left")
         .withColumn(
             "reason_code",
-            F.when(F.col("reason_code").isNotNull(), F.col("reason_code")).when(
-                F.col("_accepted").isNull(), REASON_DUPLICATE
-            ),
+            F.expr(f"coalesce(reason_code, CASE WHEN _accepted IS NULL THEN '{REASON_DUPLICATE}' END)"),
         )
         .drop("_accepted")
     )

@@ -8,45 +8,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import constants as C
-from wakeline.functions.geo import haversine_m, implied_speed_kn, initial_bearing_deg
+from wakeline.functions.geo import haversine_sql, implied_speed_sql, initial_bearing_deg
 from wakeline.operators.neighbours import run_start, with_neighbours
 
 BEFORE = ("ts_ms", "latitude", "longitude", "speed")
 AFTER = ("ts_ms",)
+FLAGS = ("loitering", "dark_vessel", "speed_anomaly")
 
 
-def _whole_minutes(elapsed_ms: Column) -> Column:
+def _whole_minutes(elapsed_ms: str) -> str:
     # Truncates towards zero, so a backward step is never a long stay.
-    return (elapsed_ms / 60_000).cast("long")
+    return f"({elapsed_ms}) DIV 60000"
 
 
 def loitering() -> Column:
     """Slow now and slow at the previous report, at least five whole minutes apart."""
-    return F.coalesce(
-        (F.col("before.speed") < C.LOITER_SPEED_KN)
-        & (F.col("speed") < C.LOITER_SPEED_KN)
-        & (_whole_minutes(F.col("ts_ms") - F.col("before.ts_ms")) >= C.LOITER_MINUTES),
-        F.lit(False),
+    return F.expr(
+        f"coalesce(before.speed < {C.LOITER_SPEED_KN}D AND speed < {C.LOITER_SPEED_KN}D"
+        f" AND {_whole_minutes('ts_ms - before.ts_ms')} >= {C.LOITER_MINUTES}, false)"
     )
 
 
-def step_metres() -> Column:
-    """Distance covered since the previous report."""
-    return haversine_m("before.latitude", "before.longitude", "latitude", "longitude")
-
-
 def implied_speed() -> Column:
     """Speed implied by the last two positions; NULL on a first sighting or without elapsed time."""
-    return implied_speed_kn(step_metres(), F.col("ts_ms") - F.col("before.ts_ms"))
+    metres = haversine_sql("before.latitude", "before.longitude", "latitude", "longitude")
+    return F.expr(implied_speed_sql(metres, "ts_ms - before.ts_ms"))
 
 
 def speed_anomaly() -> Column:
-    return F.coalesce(F.abs(implied_speed() - F.col("speed")) > C.ANOMALY_KN, F.lit(False))
+    """Implied and reported speed differ by more than the limit."""
+    metres = haversine_sql("before.latitude", "before.longitude", "latitude", "longitude")
+    implied = implied_speed_sql(metres, "ts_ms - before.ts_ms")
+    return F.expr(f"coalesce(abs({implied} - speed) > {C.ANOMALY_KN}D, false)")
 
 
 def silence_ms(as_of_ms: int) -> Column:
     """Time until the next report, or until ``as_of_ms`` if none has come."""
-    return F.coalesce(F.col("after.ts_ms"), F.lit(as_of_ms)) - F.col("ts_ms")
+    return F.expr(f"coalesce(after.ts_ms, {int(as_of_ms)}L) - ts_ms")
 
 
 def bearing() -> Column:
@@ -60,16 +58,14 @@ def flag(enriched: DataFrame, as_of_ms: int, limit_ms: int = C.SILENCE_MS) -> Da
     ``dark_vessel`` marks the last report before a silence longer than the limit, once a silence.
     """
     placed = with_neighbours(enriched, before=BEFORE, after=AFTER)
-    return (
-        placed.withColumn("silence_ms", silence_ms(as_of_ms))
-        .withColumns(
-            {
-                "loitering": loitering(),
-                "speed_anomaly": speed_anomaly(),
-                "dark_vessel": F.col("silence_ms") > limit_ms,
-            }
-        )
-        .drop("before", "after")
+    kept = [name for name in placed.columns if name not in (*FLAGS, "before", "after")]
+    silent = placed.select(*kept, "before", silence_ms(as_of_ms).alias("silence_ms"))
+    return silent.select(
+        *kept,
+        "silence_ms",
+        loitering().alias("loitering"),
+        F.expr(f"silence_ms > {int(limit_ms)}L AS dark_vessel"),
+        speed_anomaly().alias("speed_anomaly"),
     )
 
 
@@ -79,22 +75,17 @@ def dwell(reports: DataFrame) -> DataFrame:
     Adds ``slow_since_ms``, ``dwell_ms`` and ``loitering_dwell``.
     """
     runs = run_start(reports, F.col("speed") < C.LOITER_SPEED_KN, "slow_since_ms")
-    stay = F.col("ts_ms") - F.col("slow_since_ms")
-    return runs.withColumn("dwell_ms", stay).withColumn(
-        "loitering_dwell",
-        F.coalesce(_whole_minutes(F.col("dwell_ms")) >= C.LOITER_MINUTES, F.lit(False)),
+    return runs.selectExpr("*", "ts_ms - slow_since_ms AS dwell_ms").selectExpr(
+        "*", f"coalesce({_whole_minutes('dwell_ms')} >= {C.LOITER_MINUTES}, false) AS loitering_dwell"
     )
 
 
 def back_online(reports: DataFrame, limit_ms: int = C.SILENCE_MS) -> DataFrame:
     """The reports that end a silence, with ``silent_ms`` and when it began."""
-    placed = with_neighbours(reports, before=("ts_ms",))
-    gap = F.col("ts_ms") - F.col("before.ts_ms")
-    return (
-        placed.withColumns({"dark_since_ms": F.col("before.ts_ms"), "silent_ms": gap})
-        .where(F.col("silent_ms") > limit_ms)
-        .drop("before")
-    )
+    placed = with_neighbours(reports, before=("ts_ms",)).where(f"ts_ms - before.ts_ms > {int(limit_ms)}L")
+    return placed.selectExpr(
+        "*", "before.ts_ms AS dark_since_ms", "ts_ms - before.ts_ms AS silent_ms"
+    ).drop("before")
 
 
 def detections(flagged: DataFrame) -> DataFrame:
@@ -121,9 +112,6 @@ def detections(flagged: DataFrame) -> DataFrame:
     )
 
 
-FLAGS = ("loitering", "dark_vessel", "speed_anomaly")
-
-
 def merge_flags(base: DataFrame, detected: DataFrame) -> DataFrame:
     """Enriched reports with a flag raised wherever a detection of the same report raised it.
 

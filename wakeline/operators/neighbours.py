@@ -34,26 +34,30 @@ def with_neighbours(reports: DataFrame, before: Sequence[str] = (), after: Seque
     named columns; pass a table rather than a long computation.
     """
     daily = with_date(reports)
-    order = F.struct(*ORDER)
-    wanted = {
-        "before": (before, lambda names: F.max_by(F.struct(*names), order), F.lag, F.lag),
-        "after": (after, lambda names: F.min_by(F.struct(*names), order), F.lead, F.lead),
+    order = ", ".join(ORDER)
+    # Per side: the edge row of a day that the next day needs, and the step to the neighbour.
+    sides = {
+        side: (f"struct({', '.join(names)})", edge, step)
+        for side, names, edge, step in (("before", before, "max_by", "lag"), ("after", after, "min_by", "lead"))
+        if names
     }
-    wanted = {side: spec for side, spec in wanted.items() if spec[0]}
     edges = daily.groupBy("mmsi", "date").agg(
-        *[edge(names).alias(side) for side, (names, edge, _, _) in wanted.items()]
+        *[F.expr(f"{edge}({row}, struct({order})) AS {side}") for side, (row, edge, _) in sides.items()]
     )
-    carried = edges.select(
+    carried = edges.selectExpr(
         "mmsi",
         "date",
-        *[step(side).over(across_days()).alias(f"_{side}") for side, (_, _, step, _) in wanted.items()],
+        *[f"{step}({side}) OVER (PARTITION BY mmsi ORDER BY date) AS _{side}" for side, (_, _, step) in sides.items()],
     )
-    inside = daily.withColumns(
-        {side: step(F.struct(*names)).over(within_day()) for side, (names, _, _, step) in wanted.items()}
+    inside = daily.selectExpr(
+        "*",
+        *[
+            f"{step}({row}) OVER (PARTITION BY mmsi, date ORDER BY {order}) AS {side}"
+            for side, (row, _, step) in sides.items()
+        ],
     )
-    joined = inside.join(carried, ["mmsi", "date"], "left")
-    return joined.select(
-        *daily.columns, *[F.coalesce(F.col(side), F.col(f"_{side}")).alias(side) for side in wanted]
+    return inside.join(carried, ["mmsi", "date"], "left").selectExpr(
+        *daily.columns, *[f"coalesce({side}, _{side}) AS {side}" for side in sides]
     )
 
 

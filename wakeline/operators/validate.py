@@ -1,20 +1,19 @@
 """Validity check and the split into valid reports and quarantine."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wakeline.functions.validation import reason_code, reason_text
 
 
 def check(reports: DataFrame) -> DataFrame:
     """Add ``reason_code``: NULL for a valid report. A missing (null) report emits nothing."""
-    return reports.where(F.col("seq").isNotNull()).withColumn("reason_code", reason_code())
+    return reports.where("seq IS NOT NULL").select("*", reason_code().alias("reason_code"))
 
 
 def valid(reports: DataFrame) -> DataFrame:
-    return check(reports).where(F.col("reason_code").isNull()).drop("reason_code")
+    return check(reports).where("reason_code IS NULL").drop("reason_code")
 
 
 def explain_reason(quarantined: DataFrame) -> DataFrame:
     """Add the reason as text."""
-    return quarantined.withColumn("reason", reason_text(F.col("reason_code")))
+    return quarantined.select("*", reason_text().alias("reason"))

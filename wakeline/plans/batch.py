@@ -83,6 +83,16 @@ def hotspots(
     return cells.withColumn("_rank", F.row_number().over(busiest)).where(F.col("_rank") <= top_n).drop("_rank")
 
 
+def vessel_days(cold: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> tuple[DataFrame, DataFrame]:
+    """Statistics and percentiles from one pass: they group alike, so they share scan and shuffle.
+
+    The grouped rows, few next to the reports, are written once and both tables are cut from them.
+    """
+    both = stage(_vessel_day(cold).agg(*_stats(), *_percentiles(accuracy)), "vessel-days")
+    percentiles = ["p50_risk", "p95_risk", "sample_count"]
+    return both.drop(*percentiles), both.select("mmsi", "date", *percentiles)
+
+
 def yesterday() -> str:
     return (datetime.now(UTC).date() - timedelta(days=1)).isoformat()
 
@@ -92,8 +102,7 @@ def run_batch(
 ) -> None:
     """Run the three jobs in order for the given dates (default: yesterday), stopping at a failure.
 
-    Statistics and percentiles group alike, so both come from one pass over the vessel-days; the
-    hotspots read only the loitering rows. Each job replaces its own dates and no others.
+    The hotspots read only the loitering rows. Each job replaces its own dates and no others.
     """
     if not cold_root.strip() or not out_root.strip():
         raise ValueError("cold_root and out_root must not be blank")
@@ -102,8 +111,7 @@ def run_batch(
         date.fromisoformat(text)
     use_utc(spark)
     cold = scan_cold(spark, cold_root, *wanted)
-    both = stage(_vessel_day(cold).agg(*_stats(), *_percentiles(accuracy)), "vessel-days")
-    percentile_names = ["p50_risk", "p95_risk", "sample_count"]
-    replace_dates(both.drop(*percentile_names), f"{out_root}/vessel_daily_stats")
-    replace_dates(both.select("mmsi", "date", *percentile_names), f"{out_root}/vessel_risk_percentiles")
+    stats, percentiles = vessel_days(cold, accuracy)
+    replace_dates(stats, f"{out_root}/vessel_daily_stats")
+    replace_dates(percentiles, f"{out_root}/vessel_risk_percentiles")
     replace_dates(hotspots(cold), f"{out_root}/loitering_hotspots")

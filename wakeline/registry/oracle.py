@@ -472,3 +472,8 @@ ORACLE: dict[str, str] = {
                   CASE WHEN speed_anomaly THEN 'Speed Anomaly' END) AS active_flags FROM hot""",
     ),
 }
+
+# The streams must give what the batch gives.
+ORACLE["stream_etl_route"] = ORACLE["etl_route"]
+ORACLE["stream_detections"] = ORACLE["detections"]
+ORACLE["stream_crossings"] = ORACLE["hex_crossing"]

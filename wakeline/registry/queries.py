@@ -23,10 +23,12 @@ from wakeline.operators.tracks import resample, trail
 from wakeline.operators.validate import check, valid
 from wakeline.operators.zones import any_restricted, primary_zone, with_zones, zone_pairs
 from wakeline.plans import batch, metrics, pipeline, serving
-from wakeline.settings import new_folder, table_path
+from wakeline.settings import new_folder, stage, table_path
 from wakeline.sources import avro_json, tables, tiers
 from wakeline.sources.reference import seed_zones
 from wakeline.sources.reports import events_as_reports, topic_of, union_channels
+from wakeline.streaming import jobs
+from wakeline.streaming import sources as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -343,9 +345,8 @@ def detection_counts(spark, sf_dir):
 
 @query
 def enriched_flagged(spark, sf_dir):
-    kept = _accepted(spark, sf_dir)
-    base = enrich(kept)
-    found = detect.detections(detect.flag(base, pipeline.last_arrival_ms(kept)))
+    base = stage(_enriched(spark, sf_dir), "enriched")
+    found = detect.detections(detect.flag(base, pipeline.last_arrival_ms(base)))
     merged = detect.merge_flags(base, found)
     return merged.select("seq", "mmsi", "ts_ms", "heading", "source_type", *detect.FLAGS)
 
@@ -410,7 +411,7 @@ def hotspots_coarse(spark, sf_dir):
 def idempotent_rerun(spark, sf_dir):
     """Daily statistics written twice to the same table, then read back."""
     root = new_folder(spark, "daily-stats")
-    stats = batch.daily_stats(_cold(spark, sf_dir))
+    stats = stage(batch.daily_stats(_cold(spark, sf_dir)), "stats")
     tables.replace_dates(stats, root)
     tables.replace_dates(stats, root)
     written = spark.read.schema(stats.schema).parquet(root)
@@ -510,8 +511,7 @@ def dead_letter(spark, sf_dir):
 
 
 def _history(spark, sf_dir) -> DataFrame:
-    cold = _cold(spark, sf_dir)
-    return serving.history(batch.daily_stats(cold), batch.risk_percentiles(cold))
+    return serving.history(*batch.vessel_days(_cold(spark, sf_dir)))
 
 
 @query
@@ -527,9 +527,8 @@ def history_chart(spark, sf_dir):
 
 @query
 def serving_view(spark, sf_dir):
-    flagged = _flagged(spark, sf_dir)
-    cold = tiers.as_cold(flagged)
-    rows = serving.history(batch.daily_stats(cold), batch.risk_percentiles(cold))
+    flagged = stage(_flagged(spark, sf_dir), "flagged")
+    rows = serving.history(*batch.vessel_days(tiers.as_cold(flagged)))
     return serving.serving_view(tiers.hot_table(flagged), rows).select(
         "mmsi", "date", "risk_level", "risk_score", "zone_name", "dark_vessel", "event_count", "avg_speed_kn", "p95_risk"
     )
@@ -543,3 +542,47 @@ def marker_class(spark, sf_dir):
 @query
 def active_flags(spark, sf_dir):
     return serving.fleet(tiers.hot_table(_flagged(spark, sf_dir))).select("mmsi", "active_flags")
+
+
+# --- streams: run over everything there is, stop, and read what was written ---
+
+
+def _written(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
+def _enriched_stream(spark, sf_dir, root: str) -> DataFrame:
+    table = _enriched(spark, sf_dir)
+    table.write.parquet(f"{root}/enriched")
+    return streams.stream_table(spark, f"{root}/enriched", table.schema)
+
+
+@query
+def stream_etl_route(spark, sf_dir):
+    """Validation, stateful deduplication and routing of the events as a stream."""
+    root = new_folder(spark, "stream-etl")
+    jobs.start_etl(streams.stream_events(spark, sf_dir), root).awaitTermination()
+    to_enriched = _written(spark, f"{root}/enriched").selectExpr(
+        "seq", "mmsi", "'enriched' AS route", "cast(NULL AS string) AS reason_code"
+    )
+    to_quarantine = _written(spark, f"{root}/quarantine").selectExpr(
+        "seq", "mmsi", "'quarantine' AS route", "reason_code"
+    )
+    return to_enriched.unionByName(to_quarantine)
+
+
+@query
+def stream_detections(spark, sf_dir):
+    """Behaviour and silence detected on the enriched stream."""
+    root = new_folder(spark, "stream-detections")
+    source = _enriched_stream(spark, sf_dir, root)
+    jobs.start_detection(source, root, delay="0 seconds").awaitTermination()
+    return _written(spark, f"{root}/detections").where("detection <> 'back_online'").select(*_DETECTION)
+
+
+@query
+def stream_crossings(spark, sf_dir):
+    """Cell crossings of the enriched stream."""
+    root = new_folder(spark, "stream-crossings")
+    jobs.start_crossings(_enriched_stream(spark, sf_dir, root), root).awaitTermination()
+    return _written(spark, f"{root}/crossings").select(*_CROSSING)

@@ -50,39 +50,29 @@ def events_as_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reports_from_events(events: DataFrame) -> DataFrame:
     """The mapping behind ``events_as_reports``, also usable on a streaming frame."""
-    event, user = F.col("event_id"), F.col("user_id")
-
-    def every(n: int) -> Column:
-        return event % n == 0
-
-    ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    arrival = ts_ms + F.when(every(71), 90_000_000).otherwise(2_000)
-    source = (
-        F.when(F.col("event_type").isin("click", "view"), "TERRESTRIAL")
-        .when(F.col("event_type") == "error", "VESSEL")
-        .otherwise("SATELLITE")
+    copied = events.selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        "unix_millis(cast(ts AS timestamp)) AS ts_ms",
+        "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy",
     )
-    copies = F.when(every(50), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return events.withColumn("copy", F.explode(copies)).select(
-        (event * 2 + F.col("copy")).alias("seq"),
-        F.when(every(97), "12345678A").otherwise((F.lit(200_000_000) + user).cast("string")).alias("mmsi"),
-        F.when(every(89), 0.0)
-        .when(every(83), 91.0)
-        .otherwise(F.lit(25) + ((event * 37 + user * 613) % 10_000) / 1000.0)
-        .alias("latitude"),
-        F.when(every(89), 0.0)
-        .when(every(79), 181.0)
-        .otherwise(F.lit(-97) + ((event * 53 + user * 911) % 17_000) / 1000.0)
-        .alias("longitude"),
-        F.when(every(101), -1.0).otherwise(F.col("value") * 0.25).alias("speed"),
-        ((event * 7) % 360).cast("double").alias("heading"),
-        ts_ms.alias("ts_ms"),
-        (arrival + F.col("copy") * 60_000).alias("ingest_ms"),
-        source.alias("source_type"),
-        F.lit(EVENT_TYPE_AIS).alias("event_type"),
-        F.when(F.col("event_type") == "signup", F.concat(F.lit("signup-"), event.cast("string"))).alias(
-            "correlation_id"
-        ),
+    return copied.selectExpr(
+        "event_id * 2 + copy AS seq",
+        "CASE WHEN event_id % 97 = 0 THEN '12345678A' ELSE cast(200000000 + user_id AS string) END AS mmsi",
+        "CASE WHEN event_id % 89 = 0 THEN 0D WHEN event_id % 83 = 0 THEN 91D"
+        " ELSE 25 + ((event_id * 37 + user_id * 613) % 10000) / 1000D END AS latitude",
+        "CASE WHEN event_id % 89 = 0 THEN 0D WHEN event_id % 79 = 0 THEN 181D"
+        " ELSE -97 + ((event_id * 53 + user_id * 911) % 17000) / 1000D END AS longitude",
+        "CASE WHEN event_id % 101 = 0 THEN -1D ELSE value * 0.25D END AS speed",
+        "cast((event_id * 7) % 360 AS double) AS heading",
+        "ts_ms",
+        "ts_ms + CASE WHEN event_id % 71 = 0 THEN 90000000 ELSE 2000 END + copy * 60000 AS ingest_ms",
+        "CASE WHEN event_type IN ('click', 'view') THEN 'TERRESTRIAL' WHEN event_type = 'error' THEN 'VESSEL'"
+        " ELSE 'SATELLITE' END AS source_type",
+        f"'{EVENT_TYPE_AIS}' AS event_type",
+        "CASE WHEN event_type = 'signup' THEN concat('signup-', cast(event_id AS string)) END AS correlation_id",
     )
 
 

@@ -9,7 +9,7 @@ def replace_dates(result: DataFrame, root: str) -> None:
     An empty result touches nothing: dynamic overwrite creates and drops no partition for it.
     """
     (
-        result.repartition("date")
+        result.hint("rebalance", "date")
         .write.partitionBy("date")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")

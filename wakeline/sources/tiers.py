@@ -19,7 +19,7 @@ COLD = StructType(
     ]
 )
 
-# Rows per file of the cold tier; large enough that a day is a handful of files, not millions.
+# Most rows in one file of the cold tier.
 COLD_ROWS_PER_FILE = 20_000_000
 
 
@@ -49,11 +49,11 @@ def latest_copy(cold: DataFrame, mmsi: str = "vesselEvent.mmsi") -> DataFrame:
 def write_cold(cold: DataFrame, root: str, fmt: str = "parquet") -> None:
     """Replace the dates present in ``cold``; every other date stays.
 
-    Rows are spread over the tasks by (date, vessel): each date becomes a few files and no date
-    is written by one task alone.
+    Rebalancing brings the rows of a date together and splits a large date over several tasks, so
+    the tier gets files of the advised size, neither one a task and date nor one huge one.
     """
     (
-        cold.repartition("date", F.col("vesselEvent.mmsi"))
+        cold.hint("rebalance", "date")
         .write.partitionBy("date")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", COLD_ROWS_PER_FILE)

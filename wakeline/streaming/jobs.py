@@ -23,7 +23,7 @@ from wakeline.streaming.processors import (
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 QUARANTINED = StructType([*RAW_REPORT.fields, StructField("reason_code", StringType())])
-_PROGRESS = StructType([StructField("newest_ms", LongType()), StructField("epoch", LongType())])
+_PROGRESS = StructType([StructField("newest_ms", LongType())])
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -60,16 +60,12 @@ def _start(
         conf.set(_IDLE_BATCHES, earlier)
 
 
-def late_before_ms(spark: SparkSession, progress: str, epoch: int, lateness_ms: int) -> int | None:
-    """Arrivals before this are late: newest arrival of earlier micro-batches less the allowance.
-
-    Depends only on earlier micro-batches, so a replayed one decides as it did the first time.
-    """
-    if not path_exists(spark, progress):
+def _newest_before(spark: SparkSession, progress: str, epoch: int) -> int | None:
+    """The newest arrival of all earlier micro-batches; one row, kept by the one just before."""
+    earlier = _epoch_folder(progress, epoch - 1)
+    if not path_exists(spark, earlier):
         return None
-    table = spark.read.schema(_PROGRESS).option("recursiveFileLookup", "true").parquet(progress)
-    newest = table.where(F.col("epoch") < epoch).agg(F.max("newest_ms")).first()[0]
-    return None if newest is None else newest - lateness_ms
+    return spark.read.schema(_PROGRESS).parquet(earlier).first()["newest_ms"]
 
 
 def start_etl(
@@ -94,21 +90,21 @@ def start_etl(
     progress = f"{root}/progress"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
+        # Late is what arrived too long before the newest arrival of earlier micro-batches. It
+        # depends on those alone, so a replayed micro-batch decides as it did the first time.
+        newest = _newest_before(batch.sparkSession, progress, epoch)
         batch = batch.persist()
-        floor = late_before_ms(spark, progress, epoch, lateness_ms)
-        if floor is not None:
-            late = F.col("reason_code").isNull() & (F.col("ingest_ms") < floor)
-            routed = batch.withColumn("reason_code", F.when(late, C.REASON_LATE).otherwise(F.col("reason_code")))
-        else:
-            routed = batch
-        kept = routed.where(F.col("reason_code").isNull()).drop("reason_code")
+        routed = batch
+        if newest is not None:
+            late = f"CASE WHEN ingest_ms < {newest - lateness_ms}L THEN '{C.REASON_LATE}' END"
+            routed = batch.withColumn("reason_code", F.expr(f"coalesce(reason_code, {late})"))
+        kept = routed.where("reason_code IS NULL").drop("reason_code")
         enrich(kept, zones, ports).write.mode("overwrite").parquet(_epoch_folder(f"{root}/enriched", epoch))
-        routed.where(F.col("reason_code").isNotNull()).write.mode("overwrite").parquet(
+        routed.where("reason_code IS NOT NULL").write.mode("overwrite").parquet(
             _epoch_folder(f"{root}/quarantine", epoch)
         )
-        newest = batch.agg(F.max("ingest_ms").alias("newest_ms"), F.lit(epoch).cast("long").alias("epoch"))
-        newest.write.mode("overwrite").parquet(_epoch_folder(progress, epoch))
+        seen = batch.agg(F.greatest(F.max("ingest_ms"), F.lit(newest).cast("long")).alias("newest_ms"))
+        seen.write.mode("overwrite").parquet(_epoch_folder(progress, epoch))
         batch.unpersist()
 
     return _start(passed.unionByName(failed), f"{root}/checkpoints/etl", sink, available_now, idle_batches=False)
