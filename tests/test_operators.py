@@ -214,9 +214,13 @@ def long_history(spark):
     return changes, reports(spark, *changes).persist()
 
 
-def test_neighbours_cross_days(long_history):
+SLICES = pytest.mark.parametrize("slice_ms", [60_000, HOUR, 24 * HOUR])
+
+
+@SLICES
+def test_neighbours_cross_slices(long_history, slice_ms):
     changes, frame = long_history
-    placed = with_neighbours(frame, before=("seq",), after=("seq", "ts_ms"))
+    placed = with_neighbours(frame, before=("seq",), after=("seq", "ts_ms"), slice_ms=slice_ms)
     found = {r["seq"]: (r["before"] and r["before"]["seq"], r["after"] and r["after"]["seq"]) for r in placed.collect()}
     expected = {}
     for track in _tracks(changes):
@@ -225,9 +229,10 @@ def test_neighbours_cross_days(long_history):
     assert found == expected
 
 
-def test_run_start_crosses_days(long_history):
+@SLICES
+def test_run_start_crosses_slices(long_history, slice_ms):
     changes, frame = long_history
-    found = {r["seq"]: r["began"] for r in run_start(frame, F.col("speed") < 30, "began").collect()}
+    found = {r["seq"]: r["began"] for r in run_start(frame, "speed < 30", "began", slice_ms).collect()}
     expected = {}
     for track in _tracks(changes):
         began = None

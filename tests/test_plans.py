@@ -49,16 +49,15 @@ def test_enrichment_does_not_shuffle_the_reports(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
-def test_daily_statistics_reuse_the_vessel_day_partitioning(spark, tmp_path):
-    """Flags and daily statistics need one shuffle of the reports, by (vessel, day)."""
+def test_no_shuffle_by_vessel_alone_but_of_slice_edges(spark, tmp_path):
+    """Whole reports move once, by (vessel, slice); by vessel alone only the edges of slices move."""
     path = str(tmp_path / "accepted")
     valid(events_as_reports(spark, SF_DIR)).write.parquet(path)
-    accepted = spark.read.parquet(path)
-    stats = batch.daily_stats(tiers.as_cold(flag(enrich(accepted), 0)))
+    stats = batch.daily_stats(tiers.as_cold(flag(enrich(spark.read.parquet(path)), 0)))
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(stats))
-    keyed = [re.sub(r"#\d+L?", "", s).rsplit(",", 2)[0] for s in shuffles]
-    # The reports; their first and last of a day, by day and by vessel; the zone cover.
-    assert sorted(keyed) == ["cell_x, cell_y", "mmsi", "mmsi, date", "mmsi, date"]
+    keyed = [re.sub(r"#\d+L?", "", s).rsplit(", ", 1)[0] for s in shuffles]
+    # The partial daily sums; the reports; the zone cover; the edges by vessel and by slice.
+    assert keyed == ["_groupingexpression, date", "mmsi, _slice", "cell_x, cell_y", "mmsi", "mmsi, _slice"]
 
 
 @pytest.mark.parametrize("name", ["validate_reason", "daily_stats", "hex_enriched", "track_resample", "history"])

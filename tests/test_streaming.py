@@ -56,9 +56,8 @@ def batch(raw):
     return route(raw, kept), enrich(kept)
 
 
-def _enriched_stream(spark, streamed, files=None):
-    schema = everything(spark, f"{streamed}/enriched").schema
-    return sources.stream_table(spark, f"{streamed}/enriched", schema, files)
+def _enriched_stream(spark, streamed):
+    return sources.stream_table(spark, f"{streamed}/enriched", everything(spark, f"{streamed}/enriched").schema)
 
 
 def test_etl_routes_as_the_batch(spark, streamed, batch):

@@ -74,7 +74,7 @@ def dwell(reports: DataFrame) -> DataFrame:
 
     Adds ``slow_since_ms``, ``dwell_ms`` and ``loitering_dwell``.
     """
-    runs = run_start(reports, F.col("speed") < C.LOITER_SPEED_KN, "slow_since_ms")
+    runs = run_start(reports, f"speed < {C.LOITER_SPEED_KN}D", "slow_since_ms")
     return runs.selectExpr("*", "ts_ms - slow_since_ms AS dwell_ms").selectExpr(
         "*", f"coalesce({_whole_minutes('dwell_ms')} >= {C.LOITER_MINUTES}, false) AS loitering_dwell"
     )

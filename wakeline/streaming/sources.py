@@ -8,22 +8,28 @@ from wakeline.settings import use_utc
 from wakeline.sources.reports import EVENTS, reports_from_events, union_channels
 
 
-def _files(spark: SparkSession, schema, path: str, files_per_trigger: int | None, **options: str) -> DataFrame:
+# Bounds a micro-batch, and with it the rows of one vessel that a task sees at a time.
+FILES_PER_TRIGGER = 256
+
+
+def _files(spark: SparkSession, schema, path: str, files_per_trigger: int, **options: str) -> DataFrame:
     use_utc(spark)
-    reader = spark.readStream.schema(schema).options(**options)
-    if files_per_trigger is not None:
-        # Bounds a micro-batch, and with it the rows of one vessel that a task sees at a time.
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    options["maxFilesPerTrigger"] = str(files_per_trigger)
+    return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
-def stream_table(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+def stream_table(
+    spark: SparkSession, path: str, schema, files_per_trigger: int = FILES_PER_TRIGGER
+) -> DataFrame:
     """A folder of files written by another query, from the beginning."""
     return _files(spark, schema, path, files_per_trigger, recursiveFileLookup="true")
 
 
 def stream_channels(
-    spark: SparkSession, root: str, topics: dict[str, str] = CHANNEL_TOPICS, files_per_trigger: int | None = None
+    spark: SparkSession,
+    root: str,
+    topics: dict[str, str] = CHANNEL_TOPICS,
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """All raw channels as one stream. On Kafka this is one ``subscribe`` with three topics."""
     return union_channels(
@@ -33,4 +39,4 @@ def stream_channels(
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as a stream of raw reports."""
-    return reports_from_events(_files(spark, EVENTS, sf_dir, None, pathGlobFilter="events.parquet"))
+    return reports_from_events(_files(spark, EVENTS, sf_dir, 1, pathGlobFilter="events.parquet"))
