@@ -70,7 +70,7 @@ def test_batch_plans_have_no_python_and_no_cross_join(spark, name):
 def test_generated_methods_can_be_compiled(spark):
     """Methods over 8000 bytes of byte code are left uncompiled by the JVM."""
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
-    for name in ("validate_reason", "haversine", "hex_cells", "cold_latest"):
+    for name in ("validate_reason", "haversine", "hex_cell", "cold_latest"):
         text = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().explainString(mode)
         sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
         assert max(sizes, default=0) < 8000, name

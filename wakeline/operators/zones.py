@@ -77,6 +77,12 @@ def zone_cover(zones: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:
         f"e -> least(e.x1, e.x2) <= {left} + {step} AND greatest(e.x1, e.x2) >= {left}"
         f" AND least(e.y1, e.y2) <= {bottom} + {step} AND greatest(e.y1, e.y2) >= {bottom}"
     )
+    # Only sides at the height of the cell and not left of it can be crossed on the way east, so a
+    # cell keeps those alone and a long coastline is not repeated whole in every cell it crosses.
+    counts = (
+        f"e -> greatest(e.x1, e.x2) >= {left} AND greatest(e.y1, e.y2) >= {bottom}"
+        f" AND least(e.y1, e.y2) <= {bottom} + {step}"
+    )
     # No side near the cell: it is wholly inside or wholly outside, as its centre is.
     centre_inside = inside_edges_sql("edges", f"{left} + {step} / 2", f"{bottom} + {step} / 2")
     crossed = cells.selectExpr("*", f"exists(edges, {near}) AS crossed")
@@ -87,7 +93,7 @@ def zone_cover(zones: DataFrame, cell_deg: float = CELL_DEG) -> DataFrame:
         "cell_x",
         "cell_y",
         "NOT crossed AS whole",
-        "CASE WHEN crossed THEN edges END AS edges",
+        f"CASE WHEN crossed THEN filter(edges, {counts}) END AS edges",
     )
 
 

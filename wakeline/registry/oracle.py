@@ -271,7 +271,7 @@ ORACLE: dict[str, str] = {
              WHEN 'SATELLITE' THEN 'ais.raw.satellite' WHEN 'VESSEL' THEN 'ais.raw.vessel' END AS topic FROM raw""",
     ),
     "raw_union": _sql([RAW], "SELECT seq, mmsi, source_type, ts_ms FROM raw"),
-    "correlation": _sql(
+    "correlation_id": _sql(
         [RAW],
         "SELECT seq, coalesce(correlation_id, md5(mmsi || '|' || ts_ms || '|' || seq)) AS correlation_id FROM raw",
     ),
@@ -313,20 +313,20 @@ ORACLE: dict[str, str] = {
         f"""SELECT seq, round({metres('latitude', 'longitude', '29.95e0', '-90.06e0')}, 3) AS metres
             FROM checked WHERE reason IS NULL""",
     ),
-    "point_in_polygon_test": _sql(
+    "point_in_polygon": _sql(
         _CHECKED,
         """SELECT seq, longitude > -88 AND longitude < -85 AND latitude > 32 AND latitude < 35 AS in_zone_1,
                   longitude > -90.5 AND longitude < -89.5 AND latitude > 29.5 AND latitude < 30.2 AS in_zone_2,
                   longitude > -97 AND longitude < -80 AND latitude > 25 AND latitude < 30.5 AS in_zone_3
            FROM checked WHERE reason IS NULL""",
     ),
-    "grid_cell": _sql(
+    "grid_snap": _sql(
         _CHECKED,
         """SELECT seq, round(floor(latitude / 1e-1) * 1e-1, 6) AS cell_lat,
                   round(floor(longitude / 1e-1) * 1e-1, 6) AS cell_lon FROM checked WHERE reason IS NULL""",
     ),
-    "hex_cells": _sql(_CELLS, "SELECT seq, cell FROM celled"),
-    "hex_centroids": _sql(
+    "hex_cell": _sql(_CELLS, "SELECT seq, cell FROM celled"),
+    "hex_centroid": _sql(
         _CELLS,
         """SELECT cell, round((0.0127e0 * 1.5e0) * CAST(split_part(cell, ':', 2) AS DOUBLE), 9) AS lat,
                   round((0.0127e0 * sqrt(3e0)) * (CAST(split_part(cell, ':', 1) AS DOUBLE)
@@ -352,14 +352,14 @@ ORACLE: dict[str, str] = {
            FROM (SELECT *, unnest(range((ts_ms + 3599999) // 3600000, (next_ms - 1) // 3600000 + 1)) AS hour
                  FROM moves WHERE next_ms > ts_ms)""",
     ),
-    "track_trail": _sql(
+    "trail": _sql(
         [*_ROUTED, _TRAIL],
         """SELECT mmsi, count(*) OVER (PARTITION BY mmsi) - back + 1 AS position, latitude, longitude, ts_ms
            FROM moved WHERE back <= 60""",
     ),
     "zone_join": _sql([*_ROUTED, PLACES], _ZONE_PAIRS),
     "zone_join_shuffled": _sql([*_ROUTED, PLACES], _ZONE_PAIRS),
-    "primary_zones": _sql(_ENRICHED, "SELECT seq, in_restricted_zone, zone_name, zone_type FROM enriched"),
+    "primary_zone": _sql(_ENRICHED, "SELECT seq, in_restricted_zone, zone_name, zone_type FROM enriched"),
     "zone_catalogue": _sql(
         [*_ROUTED, PLACES],
         """SELECT CAST(id AS BIGINT) AS id, name, zone_type, west, south, east, north, count(seq) AS reports
@@ -397,7 +397,7 @@ ORACLE: dict[str, str] = {
     "enriched_flagged": _sql(
         _FLAGGED, "SELECT seq, mmsi, ts_ms, heading, source_type, loitering, dark_vessel, speed_anomaly FROM flagged"
     ),
-    "hex_crossing": _sql(
+    "hex_crossings": _sql(
         _CROSSINGS, "SELECT mmsi, from_cell, to_cell, latitude, longitude, speed, source_type, ts_ms, seq FROM crossings"
     ),
     "hex_enriched": _sql(
@@ -420,6 +420,11 @@ ORACLE: dict[str, str] = {
     "idempotent_rerun": _sql(
         _DAILY, "SELECT date, count(*) AS vessels, CAST(sum(event_count) AS BIGINT) AS events FROM daily GROUP BY 1"
     ),
+    "batch_run": _sql(
+        _DAILY,
+        """SELECT mmsi, date, event_count, max_speed_kn, speed_anomaly_count, p50_risk, p95_risk, sample_count
+           FROM daily JOIN percentiles USING (mmsi, date)""",
+    ),
     "cold_scan": _sql(
         _FLAGGED,
         """SELECT seq, mmsi, ts_ms, risk_level AS "riskLevel", loitering, date FROM flagged
@@ -476,4 +481,4 @@ ORACLE: dict[str, str] = {
 # The streams must give what the batch gives.
 ORACLE["stream_etl_route"] = ORACLE["etl_route"]
 ORACLE["stream_detections"] = ORACLE["detections"]
-ORACLE["stream_crossings"] = ORACLE["hex_crossing"]
+ORACLE["stream_crossings"] = ORACLE["hex_crossings"]

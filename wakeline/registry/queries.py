@@ -23,6 +23,7 @@ from wakeline.operators.tracks import resample, trail
 from wakeline.operators.validate import check, valid
 from wakeline.operators.zones import any_restricted, primary_zone, with_zones, zone_pairs
 from wakeline.plans import batch, metrics, pipeline, serving
+from wakeline.schemas import DAILY_STATS, RISK_PERCENTILES
 from wakeline.settings import new_folder, stage, table_path
 from wakeline.sources import avro_json, tables, tiers
 from wakeline.sources.reference import seed_zones
@@ -34,7 +35,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[run.__name__] = run
+    """Register under the function's name; a trailing underscore keeps it apart from an import."""
+    QUERIES[run.__name__.rstrip("_")] = run
     return run
 
 
@@ -80,7 +82,7 @@ def raw_union(spark, sf_dir):
 
 
 @query
-def correlation(spark, sf_dir):
+def correlation_id_(spark, sf_dir):
     return events_as_reports(spark, sf_dir).select("seq", correlation_id().alias("correlation_id"))
 
 
@@ -142,7 +144,7 @@ def haversine(spark, sf_dir):
 
 
 @query
-def point_in_polygon_test(spark, sf_dir):
+def point_in_polygon_(spark, sf_dir):
     """The exact ring test alone, on every valid report, for each zone's ring."""
     checked = valid(events_as_reports(spark, sf_dir))
     columns = []
@@ -154,7 +156,7 @@ def point_in_polygon_test(spark, sf_dir):
 
 
 @query
-def grid_cell(spark, sf_dir):
+def grid_snap_(spark, sf_dir):
     checked = valid(events_as_reports(spark, sf_dir))
     return checked.select(
         "seq", grid_snap("latitude").alias("cell_lat"), grid_snap("longitude").alias("cell_lon")
@@ -162,14 +164,14 @@ def grid_cell(spark, sf_dir):
 
 
 @query
-def hex_cells(spark, sf_dir):
+def hex_cell_(spark, sf_dir):
     checked = valid(events_as_reports(spark, sf_dir))
     return checked.select("seq", hex_cell().alias("cell"))
 
 
 @query
-def hex_centroids(spark, sf_dir):
-    cells = hex_cells(spark, sf_dir).select("cell").distinct()
+def hex_centroid_(spark, sf_dir):
+    cells = hex_cell_(spark, sf_dir).select("cell").distinct()
     centre = hex_centroid()
     return cells.select("cell", F.round(centre["lat"], 9).alias("lat"), F.round(centre["lon"], 9).alias("lon"))
 
@@ -193,7 +195,7 @@ def track_resample(spark, sf_dir):
 
 
 @query
-def track_trail(spark, sf_dir):
+def trail_(spark, sf_dir):
     return trail(_accepted(spark, sf_dir)).select("mmsi", "position", "latitude", "longitude", "ts_ms")
 
 
@@ -213,7 +215,7 @@ def zone_join_shuffled(spark, sf_dir):
 
 
 @query
-def primary_zones(spark, sf_dir):
+def primary_zone_(spark, sf_dir):
     located = with_zones(_accepted(spark, sf_dir), seed_zones(spark))
     return located.select(
         "seq",
@@ -355,7 +357,7 @@ _CROSSING = ["mmsi", "from_cell", "to_cell", "latitude", "longitude", "speed", "
 
 
 @query
-def hex_crossing(spark, sf_dir):
+def hex_crossings_(spark, sf_dir):
     return hex_crossings(_accepted(spark, sf_dir)).select(*_CROSSING)
 
 
@@ -420,6 +422,22 @@ def idempotent_rerun(spark, sf_dir):
     )
 
 
+@query
+def batch_run(spark, sf_dir):
+    """The whole batch run twice over every date of a cold tier, then its two vessel-day tables joined."""
+    root = new_folder(spark, "batch-run")
+    tiers.write_cold(_cold(spark, sf_dir), f"{root}/cold")
+    # One row a date of the tier.
+    dates = [row["date"].isoformat() for row in tiers.scan_cold(spark, f"{root}/cold").select("date").distinct().collect()]
+    for _ in range(2):
+        batch.run_batch(spark, f"{root}/cold", f"{root}/out", *dates)
+    stats = spark.read.schema(DAILY_STATS).parquet(f"{root}/out/vessel_daily_stats")
+    percentiles = spark.read.schema(RISK_PERCENTILES).parquet(f"{root}/out/vessel_risk_percentiles")
+    return stats.join(percentiles, ["mmsi", "date"]).select(
+        "mmsi", "date", "event_count", "max_speed_kn", "speed_anomaly_count", "p50_risk", "p95_risk", "sample_count"
+    )
+
+
 # --- tiers ---
 
 
