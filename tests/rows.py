@@ -50,6 +50,7 @@ def cold(spark, *changes: dict):
                 number,
                 number,
                 number,
+                False,
                 day,
             )
         )

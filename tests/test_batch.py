@@ -4,8 +4,9 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from rows import cold, reports
+from rows import DEFAULTS, cold, reports
 
+from wakeline.operators.detect import detections, flag
 from wakeline.operators.enrich import enrich
 from wakeline.plans import batch, metrics, serving
 from wakeline.schemas import DAILY_STATS, HOTSPOTS, RISK_PERCENTILES, to_flat
@@ -129,17 +130,33 @@ def test_cold_merge_is_last_write_wins_and_idempotent(spark, tmp_path):
 
 
 def test_hot_tier_upsert_and_lookup(spark):
-    quiet = tiers.hot_table(enrich(reports(spark, {"latitude": 40.0, "longitude": -50.0})))
-    loud = tiers.hot_table(
-        enrich(reports(spark, {"latitude": 33.0, "longitude": -86.0, "ingest_ms": 1_710_500_060_000})).withColumn("loitering", F.lit(True))
-    )
-    merged = tiers.merge_hot(spark, loud, tiers.merge_hot(spark, quiet, None))
+    quiet = enrich(reports(spark, {"latitude": 40.0, "longitude": -50.0}))
+    loud = enrich(reports(spark, {"latitude": 33.0, "longitude": -86.0, "ingest_ms": 1_710_500_060_000}))
+    loud = loud.withColumn("loitering", F.lit(True))
+    merged = tiers.merge_hot(loud, tiers.merge_hot(quiet))
     row = tiers.lookup(merged, "123456789").first()
     assert (row["risk_level"], row["loitering"]) == ("HIGH", True)
-    assert tiers.merge_hot(spark, quiet, merged).first()["risk_level"] == "HIGH"  # an older copy changes nothing
+    assert tiers.merge_hot(quiet, merged).first()["risk_level"] == "HIGH"  # an older copy changes nothing
     assert serving.latest(merged, "999999999").count() == 0
 
 
+@pytest.mark.parametrize("report_first", [True, False])
+def test_tiers_keep_the_report_and_its_flags_in_any_order(spark, tmp_path, report_first):
+    base = enrich(reports(spark, {"speed": 0.0}))
+    dark = detections(flag(base, DEFAULTS["ts_ms"] + 3_600_000))
+    steps = [base, dark] if report_first else [dark, base]
+    hot = None
+    for n, step in enumerate([*steps, *steps]):  # and once more, as a replay would
+        tiers.merge_cold(spark, tiers.as_cold(step), str(tmp_path / "cold"), str(tmp_path / f"work{n}"))
+        hot = tiers.merge_hot(step, hot)
+    row = tiers.scan_cold(spark, str(tmp_path / "cold")).collect()
+    assert [(r["darkVessel"], r["vesselEvent"]["heading"], r["vesselEvent"]["sourceType"]) for r in row] == [
+        (True, 90.0, "TERRESTRIAL")]
+    latest = hot.withColumn("record", tiers.read_payload(F.col("payload"))).collect()
+    assert [(r["dark_vessel"], r["record"]["darkVessel"], r["record"]["vesselEvent"]["heading"]) for r in latest] == [
+        (True, True, 90.0)]
+
+
 # --- Avro-JSON, dead letters, channels ---
 
 

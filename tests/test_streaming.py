@@ -1,5 +1,7 @@
 """Streams give what the batch gives, also in many micro-batches and after a restart."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 from rows import reports
@@ -86,16 +88,20 @@ def test_crossings_as_the_batch(spark, streamed, batch, tmp_path):
 
 
 def test_tiers_as_the_batch(spark, streamed, batch, tmp_path):
+    """Reports and detections streamed into both tiers give the flagged reports of the batch."""
     _, enriched = batch
     root = str(tmp_path)
-    jobs.start_cold_tier(_enriched_stream(spark, streamed), root).awaitTermination()
-    jobs.start_hot_tier(_enriched_stream(spark, streamed), root).awaitTermination()
+    flagged = detect.flag(enriched, enriched.agg(F.max("ingest_ms")).first()[0]).persist()
+    jobs.start_detection(_enriched_stream(spark, streamed), root, delay="0 seconds").awaitTermination()
+    found = everything(spark, f"{root}/detections").schema
+    for start in (jobs.start_cold_tier, jobs.start_hot_tier):
+        detections = sources.stream_table(spark, f"{root}/detections", found)
+        start(_enriched_stream(spark, streamed), root, detections=detections).awaitTermination()
     written = tiers.scan_cold(spark, f"{root}/cold")
-    assert same(written, tiers.latest_copy(tiers.as_cold(enriched)), ["seq", "ts_ms", "riskScore", "date"])
-    assert same(everything(spark, f"{root}/hot"), tiers.hot_table(enriched), tiers.HOT_COLUMNS)
-    # A replay of the same rows changes nothing.
-    tiers.merge_cold(spark, tiers.as_cold(enriched), f"{root}/cold", f"{root}/again")
-    assert tiers.scan_cold(spark, f"{root}/cold").count() == enriched.count()
+    columns = ["vesselEvent", "seq", "riskScore", *tiers.COLD_FLAGS, "rebuilt", "date"]
+    assert same(written, tiers.latest_copy(tiers.as_cold(flagged)), columns)
+    newest = spark.read.parquet(max(glob.glob(f"{root}/hot/batch-*"), key=lambda p: int(p.rsplit("-", 1)[1])))
+    assert same(newest, tiers.hot_table(flagged), tiers.HOT_COLUMNS)
 
 
 def test_late_arrivals_are_set_aside_not_lost(spark, tmp_path):

@@ -4,17 +4,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, LongType, StructField, StructType
 
 from wakeline.schemas import ENRICHED_EVENT, nested_event, to_nested
 from wakeline.functions.labels import with_date
 
+FLAGS = ("loitering", "dark_vessel", "speed_anomaly")
+COLD_FLAGS = ("loitering", "darkVessel", "speedAnomaly")
+
 COLD = StructType(
     [
         *ENRICHED_EVENT.fields,
         StructField("seq", LongType()),
         StructField("ts_ms", LongType()),
         StructField("ingest_ms", LongType()),
+        StructField("rebuilt", BooleanType()),
         StructField("date", DateType()),
     ]
 )
@@ -26,24 +30,38 @@ COLD_ROWS_PER_FILE = 20_000_000
 def as_cold(flat_enriched: DataFrame) -> DataFrame:
     """Flat enriched rows in the layout of the cold tier.
 
-    A ``date`` already there is kept, and with it a partitioning by it.
+    Detections may be passed too. The report of a silence is rebuilt from state and lacks heading
+    and source; ``rebuilt`` says so, and such a copy gives way to the report itself.
     """
-    return to_nested(with_date(flat_enriched), "seq", "ts_ms", "ingest_ms", "date")
+    return to_nested(_with_rebuilt(with_date(flat_enriched)), "seq", "ts_ms", "ingest_ms", "rebuilt", "date")
+
+
+def _with_rebuilt(flat: DataFrame) -> DataFrame:
+    if "rebuilt" in flat.columns:
+        return flat
+    is_dark = F.expr("coalesce(detection = 'dark', false)") if "detection" in flat.columns else F.lit(False)
+    return flat.withColumn("rebuilt", is_dark)
 
 
 def latest_copy(cold: DataFrame, mmsi: str = "vesselEvent.mmsi") -> DataFrame:
-    """Last write per (vessel, report time) wins.
+    """Last write per (vessel, report time) wins; flags raised by any copy stay raised.
 
     An aggregate and not a window: copies are reduced before the shuffle, so a report that was
     written many times does not fill one task.
     """
-    arrival = F.struct("ingest_ms", "seq")
-    row = F.struct(*[F.col(name) for name in cold.columns])
-    return (
-        cold.groupBy(F.col(mmsi).alias("_mmsi"), F.col("ts_ms").alias("_ts"))
-        .agg(F.max_by(row, arrival).alias("_row"))
-        .select("_row.*")
+    kept = "struct(NOT rebuilt, ingest_ms, seq)" if "rebuilt" in cold.columns else "struct(ingest_ms, seq)"
+    flags = [name for name in COLD_FLAGS if name in cold.columns]
+    copies = cold.select(
+        F.col(mmsi).alias("_mmsi"),
+        "ts_ms",
+        F.struct(*cold.columns).alias("_row"),
+        F.expr(kept).alias("_order"),
+        *flags,
+    )
+    folded = copies.groupBy("_mmsi", "ts_ms").agg(
+        F.max_by("_row", "_order").alias("_row"), *[F.bool_or(name).alias(name) for name in flags]
     )
+    return folded.select(*[name if name in flags else f"_row.{name}" for name in cold.columns])
 
 
 def write_cold(cold: DataFrame, root: str, fmt: str = "parquet") -> None:
@@ -137,10 +155,17 @@ def read_payload(column: Column) -> Column:
 
 
 def hot_state(flat_enriched: DataFrame) -> DataFrame:
-    """One row per vessel: its latest arrival. Reduced before the shuffle, whatever the skew."""
-    arrival = F.struct("ingest_ms", "seq")
-    row = F.struct(*[F.col(name) for name in flat_enriched.columns if name != "mmsi"])
-    return flat_enriched.groupBy("mmsi").agg(F.max_by(row, arrival).alias("_row")).select("mmsi", "_row.*")
+    """One row per vessel: its latest arrival, with the flags any copy of that arrival raised.
+
+    Reduced before the shuffle, whatever the skew.
+    """
+    rows = _with_rebuilt(flat_enriched)
+    others = [name for name in rows.columns if name not in ("mmsi", *FLAGS)]
+    # The greatest struct is the latest arrival and, among its copies, a raised flag.
+    flags = [F.expr(f"max(struct(ingest_ms, seq, {name})).{name} AS {name}") for name in FLAGS]
+    row = F.expr(f"max_by(struct({', '.join(others)}), struct(ingest_ms, seq, NOT rebuilt)) AS _row")
+    folded = rows.groupBy("mmsi").agg(row, *flags)
+    return folded.select(*[name if name in ("mmsi", *FLAGS) else f"_row.{name}" for name in rows.columns])
 
 
 def hot_table(flat_enriched: DataFrame) -> DataFrame:
@@ -149,13 +174,38 @@ def hot_table(flat_enriched: DataFrame) -> DataFrame:
     return state.select(*HOT_COLUMNS, "seq", "ingest_ms")
 
 
-def merge_hot(spark: SparkSession, incoming: DataFrame, current: DataFrame | None) -> DataFrame:
-    """The hot table after new rows arrive; later arrivals replace earlier ones.
+_STATE_COLUMNS = [
+    "mmsi",
+    "latitude",
+    "longitude",
+    "speed",
+    "heading",
+    "ts_ms",
+    "source_type",
+    "event_type",
+    "in_restricted_zone",
+    "zone_name",
+    "zone_type",
+    "distance_to_port",
+    "risk_score",
+    "risk_level",
+    *FLAGS,
+    "seq",
+    "ingest_ms",
+    "rebuilt",
+]
+
+
+def merge_hot(incoming: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """The hot table, payload included, after new enriched rows or detections arrive.
 
-    Folding the same rows in again gives the same table.
+    Later arrivals replace earlier ones; folding the same rows in again gives the same table.
     """
-    frames = [frame for frame in (current, incoming) if frame is not None]
-    return hot_state(reduce(lambda a, b: a.unionByName(b), frames))
+    frames = [_with_rebuilt(incoming).select(*_STATE_COLUMNS)]
+    if current is not None:
+        frames.append(current.select(*_STATE_COLUMNS))
+    state = hot_state(reduce(lambda a, b: a.unionByName(b), frames))
+    return state.withColumn("payload", payload())
 
 
 def lookup(hot: DataFrame, mmsi: str) -> DataFrame:

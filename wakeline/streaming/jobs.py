@@ -146,26 +146,40 @@ def start_crossings(
     return _start(crossings_stream(enriched), f"{root}/checkpoints/crossings", sink, available_now)
 
 
-def start_cold_tier(enriched: DataFrame, root: str, *, available_now: bool = True) -> StreamingQuery:
-    """Enriched stream into the cold tier; only the dates touched are rewritten."""
+def _reports_and_detections(enriched: DataFrame, detections: DataFrame | None) -> DataFrame:
+    """What both tiers take in: enriched reports and, beside them, the detections about them."""
+    if detections is None:
+        return enriched
+    raised = detections.where("detection <> 'back_online'")
+    return enriched.unionByName(raised, allowMissingColumns=True)
+
+
+def start_cold_tier(
+    enriched: DataFrame, root: str, *, detections: DataFrame | None = None, available_now: bool = True
+) -> StreamingQuery:
+    """Enriched reports and detections into the cold tier; only the dates touched are rewritten.
+
+    Whichever of a report and its detection comes first, the tier ends with the report and its flags.
+    """
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         incoming = tiers.as_cold(batch).persist()
-        tiers.merge_cold(spark, incoming, f"{root}/cold", f"{root}/cold-work/epoch-{epoch}")
+        tiers.merge_cold(spark, incoming, f"{root}/cold", f"{root}/cold-work/batch-{epoch}")
         incoming.unpersist()
 
-    return _start(enriched, f"{root}/checkpoints/cold", sink, available_now)
+    return _start(_reports_and_detections(enriched, detections), f"{root}/checkpoints/cold", sink, available_now)
 
 
-def start_hot_tier(enriched: DataFrame, root: str, *, available_now: bool = True) -> StreamingQuery:
-    """Enriched stream into the hot tier: ``root/hot/batch-N`` is the table after micro-batch N."""
+def start_hot_tier(
+    enriched: DataFrame, root: str, *, detections: DataFrame | None = None, available_now: bool = True
+) -> StreamingQuery:
+    """Enriched reports and detections into the hot tier: ``root/hot/batch-N`` after micro-batch N."""
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         earlier = _epoch_folder(f"{root}/hot", epoch - 1)
         current = spark.read.parquet(earlier) if path_exists(spark, earlier) else None
-        merged = tiers.merge_hot(spark, tiers.hot_table(batch), current)
-        merged.write.mode("overwrite").parquet(_epoch_folder(f"{root}/hot", epoch))
+        tiers.merge_hot(batch, current).write.mode("overwrite").parquet(_epoch_folder(f"{root}/hot", epoch))
 
-    return _start(enriched, f"{root}/checkpoints/hot", sink, available_now)
+    return _start(_reports_and_detections(enriched, detections), f"{root}/checkpoints/hot", sink, available_now)

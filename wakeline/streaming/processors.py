@@ -114,6 +114,7 @@ class _Columns(StatefulProcessor):
 _KEPT = [
     "seq",
     "ts_ms",
+    "ingest_ms",
     "latitude",
     "longitude",
     "speed",
@@ -151,8 +152,8 @@ class BehaviourProcessor(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState(
             "last",
-            "seq long, ts_ms long, latitude double, longitude double, speed double, in_restricted_zone boolean,"
-            " zone_name string, zone_type string, distance_to_port double, risk_score double, risk_level string,"
+            "seq long, ts_ms long, ingest_ms long, latitude double, longitude double, speed double,"
+            " in_restricted_zone boolean, zone_name string, zone_type string, distance_to_port double, risk_score double, risk_level string,"
             " loitering boolean, speed_anomaly boolean, dark boolean",
         )
 
@@ -236,6 +237,7 @@ DETECTION_COLUMNS = [
     "mmsi",
     "seq",
     "ts_ms",
+    "ingest_ms",
     "latitude",
     "longitude",
     "speed",
