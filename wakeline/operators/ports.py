@@ -156,6 +156,7 @@ def _from_table(points, ports, lon, lat, key, max_broadcast) -> DataFrame:
             .select(*points.columns, _as_nm("_chord").alias("distance_to_port"))
         )
     # A cell may hold any share of the points: spread them over salts and repeat its list per salt.
+    # What is still large after that, AQE's skew join splits.
     salted = located.select(*key, "cell_x", "cell_y", here).withColumn(
         "salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")
     )

@@ -127,6 +127,7 @@ def with_zones(
         return joined.select(*points.columns, kept.alias("zones"))
 
     # A cell may hold any share of the points: spread them over salts and repeat its zones per salt.
+    # What is still large after that, AQE's skew join splits.
     salted_points = located.select(*key, lon, lat, "cell_x", "cell_y").withColumn(
         "salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int")
     )
