@@ -14,10 +14,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.QUERIES.keys() == contract.ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(contract.ORACLE))
 def test_query_matches_sql(spark, duck, name):
     frame = contract.queries()[name](spark, SF_DIR)
     assert differences(frame, contract.oracle_sql()[name], duck) == []
