@@ -1,3 +1,61 @@
 """Plain DuckDB SQL giving the same rows as the query of the same name, where SQL can express it."""
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_decontaminate"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 10) AS n FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM sized, unnest(range(1, len(w) - n + 2)) AS u(i)),
+placed AS (
+  SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) AS u(i)),
+hits AS (SELECT DISTINCT r, i, n, item_id FROM placed JOIN windows USING (n, win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(p) GROUP BY r),
+found AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+  FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+"""
+
+QUALITY = r"""
+base AS (
+  SELECT row_number() OVER () AS r, *, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+grams AS (
+  SELECT r, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS g FROM base, unnest(range(1, len(w) - 1)) AS u(i)),
+again AS (SELECT r, i FROM grams QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM again, unnest(range(i, i + 3)) AS u(p) GROUP BY r),
+measured AS (
+  SELECT base.*, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM base LEFT JOIN covered USING (r)),
+judged AS (
+  SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 100 * n_symbols > 10 * word_chars THEN 4 ELSE 0 END
+    + CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 60 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 30 * n_words THEN 32 ELSE 0 END
+    AS failures
+  FROM measured)
+"""
+
+ORACLE["op3_quality_rules"] = f"""
+WITH {QUALITY}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed,
+  failures = 0 AS kept, CAST(failures AS BIGINT) AS failures, n_lines
+FROM judged
+"""

@@ -17,6 +17,36 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(read(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.decontaminate import contamination
+
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm import quality
+
+    book = quality.ledger(read(spark, sf_dir, "documents"))
+    return book.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        (~quality.passes("base")).alias("base_failed"),
+        quality.passes("v1").alias("kept"),
+        "failures",
+        "n_lines",
+    )
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.secrets import secret_report
+
+    return secret_report(read(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -27,5 +57,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_quality_rules": op3_quality_rules,
+    "op6_secrets": op6_secrets,
     "op10_sentencepiece": op10_sentencepiece,
 }
