@@ -59,3 +59,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
   failures = 0 AS kept, CAST(failures AS BIGINT) AS failures, n_lines
 FROM judged
 """
+
+LINES = r"""
+pages AS (
+  SELECT row_number() OVER () AS r, doc_id, text, source, coalesce('=' || source, '') AS host FROM documents),
+split_lines AS (
+  SELECT r, host, generate_subscripts(l, 1) AS p, unnest(l) AS line
+  FROM (SELECT r, host, string_split(text, chr(10)) AS l FROM pages)),
+keyed AS (
+  SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS k FROM split_lines),
+totals AS (SELECT host, count(*) AS n FROM pages GROUP BY host),
+dropped AS (
+  SELECT host, k FROM (SELECT host, k, count(DISTINCT r) AS c FROM keyed WHERE k <> '' GROUP BY host, k)
+  JOIN totals USING (host) WHERE c >= 5 AND c > n * 0.02),
+marked AS (SELECT keyed.*, dropped.k IS NOT NULL AS gone FROM keyed LEFT JOIN dropped USING (host, k)),
+rebuilt AS (
+  SELECT r, coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '') AS kept, count(*) AS n,
+    count(*) FILTER (gone) AS d
+  FROM marked GROUP BY r)
+"""
+
+ORACLE["op7_line_dedup"] = f"""
+WITH {LINES}
+SELECT doc_id, source, kept AS text, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(d, 0) AS BIGINT) AS n_dropped
+FROM pages LEFT JOIN rebuilt USING (r)
+"""
+
+ORACLE["op9_substring_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS p, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+placed AS (
+  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
+    coalesce(sum(length(line) + 1) OVER (
+      PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM lines),
+units AS (
+  SELECT doc_id, p, translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM placed WHERE len(w) >= 10),
+ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM units),
+judged AS (
+  SELECT placed.*, n IS NOT NULL AS unit, coalesce(n, 1) > 1 AS gone FROM placed LEFT JOIN ranked USING (doc_id, p)),
+rebuilt AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '') AS kept,
+    count(*) FILTER (unit) AS u, count(*) FILTER (gone) AS d,
+    string_agg(CAST(start AS BIGINT) || ':' || CAST(start AS BIGINT) + length(line), ',' ORDER BY p) FILTER (gone) AS spans
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, kept AS text, CAST(coalesce(u, 0) AS BIGINT) AS n_units, CAST(coalesce(d, 0) AS BIGINT) AS n_removed,
+  coalesce(spans, '') AS removed_spans
+FROM documents LEFT JOIN rebuilt USING (doc_id)
+"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wakeline.settings import table_path
 
@@ -41,12 +42,59 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.lm import score_documents
+
+    return score_documents(read(spark, sf_dir, "documents"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.sharding import interleaved
+
+    return interleaved(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "source",
+    )
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wakeline.llm.secrets import secret_report
 
     return secret_report(read(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.line_dedup import drop_boilerplate
+
+    kept = drop_boilerplate(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "source", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.html_text import main_text
+
+    return main_text(read(spark, sf_dir, "pages"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.substring_dedup import without_repeats
+
+    spans = F.transform("removed", lambda s: F.concat(s["start"], F.lit(":"), s["end"]))
+    return without_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "text",
+        "n_units",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        F.array_join(spans, ",").alias("removed_spans"),
+    )
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -59,6 +107,11 @@ QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
+    "op4_lm_scores": op4_lm_scores,
+    "op5_sharding": op5_sharding,
     "op6_secrets": op6_secrets,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_html_text": op8_html_text,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_sentencepiece": op10_sentencepiece,
 }

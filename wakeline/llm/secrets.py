@@ -40,8 +40,10 @@ def _matches(pattern: str, group: int) -> str:
     quoted = _quote(pattern)
     return f"""
         aggregate(
-          arrays_zip(split(text, {quoted}, -1) AS piece, regexp_extract_all(text, {quoted}, 0) AS whole,
-                     regexp_extract_all(text, {quoted}, {group}) AS part),
+          transform(
+            arrays_zip(split(text, {quoted}, -1), regexp_extract_all(text, {quoted}, 0),
+                       regexp_extract_all(text, {quoted}, {group})),
+            z -> named_struct('piece', z.`0`, 'whole', z.`1`, 'part', z.`2`)),
           named_struct('at', 0, 'found', CAST(array() AS array<struct<start:int,whole:string,part:string>>)),
           (a, m) -> named_struct(
             'at', a.at + length(m.piece) + coalesce(length(m.whole), 0),
