@@ -11,7 +11,7 @@ formed whole. Bounds that follow from the sizes of the sets leave out nearly all
    The product is accumulated in blocks. A block takes from each column one pivot, the least row there, and adds up
    the overlaps of pivots with the other rows of their columns; sizes that cannot reach the threshold are discarded.
    Links found so join rows to components; a column is done when its rows are in one component or it has one row left.
-   When the pairs left in all columns are no more than a few a row, they form the last block.
+   When the pairs left, of rows of different components in one column, are few enough, they form the last block.
 
 A group of any size costs rows in proportion to it in each block, since a pivot meets each row of a column once and
 the rows it joins need no further comparison. Words, n-grams and sets are known by 64-bit hashes.
@@ -33,8 +33,10 @@ from wakeline.llm.words import hashed_words, mix, shingles
 #: Two sets link when 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 WIDTH = 5
-#: The last block may hold so many pairs for each row of the columns left.
+#: The last block may hold so many pairs for each row of the columns left, and with each block before it GROWTH times
+#: as many: pivots pay for columns that they close, and rows that no pivot joins are compared in the end.
 LAST_BLOCK_PAIRS = 4
+GROWTH = 8
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -185,7 +187,7 @@ def _labels(rows: DataFrame) -> DataFrame | None:
         "columns",
     )
     sizes = prepared.select("key", "n")
-    found, labels = None, None
+    found, labels, limit = None, None, LAST_BLOCK_PAIRS
     while True:
         roots = sizes.withColumn("root", F.col("key"))
         if labels is not None:
@@ -193,16 +195,21 @@ def _labels(rows: DataFrame) -> DataFrame | None:
             roots = roots.withColumn("root", F.coalesce("root", "key"))
         roots = staged(roots, "roots")
         labelled = columns.join(roots.select("key", "root"), "key")
-        open_columns = labelled.groupBy("h").agg(
-            F.min("key").alias("pivot"), F.count("*").alias("rows"), F.min("root").alias("lo"), F.max("root").alias("hi")
+        by_root = labelled.groupBy("h", "root").agg(F.min("key").alias("least"), F.count("*").alias("n"))
+        open_columns = by_root.groupBy("h").agg(
+            F.min("least").alias("pivot"),
+            F.count("*").alias("roots"),
+            F.sum("n").alias("rows"),
+            F.sum(F.col("n") * F.col("n")).alias("squares"),
         )
-        open_columns = staged(open_columns.where("lo <> hi").select("h", "pivot", "rows"), "open")
+        open_columns = staged(open_columns.where("roots > 1").select("h", "pivot", "rows", "squares"), "open")
         total = open_columns.agg(
-            F.sum(F.col("rows") * (F.col("rows") - 1) / 2).alias("pairs"), F.sum("rows").alias("rows")
+            F.sum((F.col("rows") * F.col("rows") - F.col("squares")) / 2).alias("pairs"), F.sum("rows").alias("rows")
         ).first()
         if not total["rows"]:
             return labels
-        last = total["pairs"] <= LAST_BLOCK_PAIRS * total["rows"]
+        last = total["pairs"] <= limit * total["rows"]
+        limit *= GROWTH
         columns = staged(columns.join(open_columns.select("h", "pivot"), "h"), "columns")
         if last:
             other = columns.select("h", F.col("key").alias("b"))
