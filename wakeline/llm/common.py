@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import wakeline.llm
 from wakeline.settings import stage
 
+# Functions travel to the workers with their code, so these need no installed package.
+cloudpickle.register_pickle_by_value(wakeline.llm)
+
 #: Rows of (id, id) that a join side may hold to be sent to every executor; 16 MB of values.
 BROADCAST_ROWS = 1_000_000
 

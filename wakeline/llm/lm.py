@@ -240,10 +240,10 @@ def score_documents(
 
     pairs = training.mapInArrow(pair_counts, "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
     model = build_model(often, pairs.where(F.col("c") >= least).toArrow(), tokens, distinct, least)
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(vars(model))  # plain arrays, which need no class on the workers
     kind = texts.schema["doc_id"].dataType.simpleString()
     scored = texts.mapInArrow(
-        lambda batches: _scored(sent.value, batches),
+        lambda batches: _scored(Model(**sent.value), batches),
         f"doc_id {kind}, held_out boolean, n_tokens bigint, frequent bigint, base double, score double, rare array<bigint>",
     )
     scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
