@@ -8,10 +8,12 @@ formed whole. Bounds that follow from the sizes of the sets leave out nearly all
 2. For the classes left, the whole rows are made. Only shared columns count, and a row needs 75 % of its n-grams in
    shared columns.
 3. In the matrix left, a row's rarest columns are kept, so many that two linked rows have one of them in common.
-   The product is accumulated in blocks. A block takes from each column one pivot, the least row there, and adds up
-   the overlaps of pivots with the other rows of their columns; sizes that cannot reach the threshold are discarded.
-   Links found so join rows to components; a column is done when its rows are in one component or it has one row left.
-   When the pairs left, of rows of different components in one column, are few enough, they form the last block.
+   The product is accumulated in blocks. A block takes from each column one pivot, the row with the smallest part of
+   its n-grams to itself (of a text and its edited copies, the text), and adds up the overlaps of pivots with the other
+   rows of their columns; sizes that cannot reach the threshold are discarded.
+   A row found to be linked to pivots is labelled by the least of them, and rows of one label need not be compared; a
+   column is done when its rows have one label or it has one row left. When the pairs left, of rows of different labels
+   in one column, are few enough, they form the last block. The components of all links found are taken at the end.
 
 A group of any size costs rows in proportion to it in each block, since a pivot meets each row of a column once and
 the rows it joins need no further comparison. Words, n-grams and sets are known by 64-bit hashes.
@@ -36,7 +38,7 @@ WIDTH = 5
 #: The last block may hold so many pairs for each row of the columns left, and with each block before it GROWTH times
 #: as many: pivots pay for columns that they close, and rows that no pivot joins are compared in the end.
 LAST_BLOCK_PAIRS = 4
-GROWTH = 8
+GROWTH = 4
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -181,48 +183,61 @@ def _labels(rows: DataFrame) -> DataFrame | None:
     # Columns of one row are the rarest: they come first in a row's order but meet nothing.
     kept = F.size("columns") - F.ceil(F.col("n") * SIMILARITY / 100) + 1
     columns = staged(
-        prepared.select("key", "n", F.explode(F.slice("columns", 1, kept.cast("int"))).alias("c")).select(
-            F.col("c.h").alias("h"), "key", "n"
-        ),
+        prepared.select(
+            "key", "n", F.size("columns").alias("s"), F.posexplode(F.slice("columns", 1, kept.cast("int"))).alias("at", "c")
+        ).select(F.col("c.h").alias("h"), "key", "n", (F.col("s") - F.col("at")).cast("bigint").alias("rest")),
         "columns",
     )
-    sizes = prepared.select("key", "n")
-    found, labels, limit = None, None, LAST_BLOCK_PAIRS
+    # Part of a row's n-grams that no other row has; the key only tells equal rows apart.
+    alone = (F.col("n") - F.size("columns")) / F.col("n") + F.pmod("key", F.lit(1 << 20)) * 1e-12
+    sizes = prepared.select("key", "n", alone.alias("alone"))
+    found, limit = None, LAST_BLOCK_PAIRS
     while True:
         roots = sizes.withColumn("root", F.col("key"))
-        if labels is not None:
-            roots = sizes.join(labels.withColumnRenamed("node", "key"), "key", "left")
-            roots = roots.withColumn("root", F.coalesce("root", "key"))
-        roots = staged(roots, "roots")
-        labelled = columns.join(roots.select("key", "root"), "key")
-        by_root = labelled.groupBy("h", "root").agg(F.min("key").alias("least"), F.count("*").alias("n"))
+        if found is not None:
+            pivots = found.groupBy(F.col("b").alias("key")).agg(F.min("a").alias("root"))
+            roots = sizes.join(pivots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        roots = small(staged(roots, "roots"))
+        by_root = columns.join(roots.select("key", "root", "alone"), "key").groupBy("h", "root")
+        by_root = by_root.agg(
+            F.min_by("key", "alone").alias("key"), F.min("alone").alias("alone"), F.count("*").alias("n")
+        )
         open_columns = by_root.groupBy("h").agg(
-            F.min("least").alias("pivot"),
+            F.min_by("key", "alone").alias("pivot"),
+            F.max_by("root", "n").alias("major"),
             F.count("*").alias("roots"),
             F.sum("n").alias("rows"),
             F.sum(F.col("n") * F.col("n")).alias("squares"),
         )
-        open_columns = staged(open_columns.where("roots > 1").select("h", "pivot", "rows", "squares"), "open")
+        open_columns = staged(open_columns.where("roots > 1").select("h", "pivot", "major", "rows", "squares"), "open")
         total = open_columns.agg(
             F.sum((F.col("rows") * F.col("rows") - F.col("squares")) / 2).alias("pairs"), F.sum("rows").alias("rows")
         ).first()
         if not total["rows"]:
-            return labels
+            break
         last = total["pairs"] <= limit * total["rows"]
         limit *= GROWTH
-        columns = staged(columns.join(open_columns.select("h", "pivot"), "h"), "columns")
+        columns = columns.join(small(open_columns.select("h", "pivot", "major")), "h")
         if last:
-            other = columns.select("h", F.col("key").alias("b"))
-            pairs = columns.join(other, "h").where("key < b").select(F.col("key").alias("a"), "b")
+            # Rows of the label that most rows of a column have need no comparison with each other.
+            labelled = columns.join(roots.select("key", "root"), "key")
+            other = labelled.select("h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "rest", "root")))
+            other = other.withColumnRenamed("key_b", "b")
+            # At the first column that two rows share, what is left of either bounds their overlap.
+            enough = F.least("rest", "rest_b") * (100 + SIMILARITY) >= (F.col("n") + F.col("n_b")) * SIMILARITY
+            meets = labelled.where("root <> major").join(other, "h").where(
+                (F.col("root") != F.col("root_b")) & _may_link(F.col("n"), F.col("n_b")) & enough
+            )
+            pairs = meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
         else:
-            columns = columns.where("key <> pivot")
+            columns = staged(columns.where("key <> pivot"), "columns")
             pairs = columns.select(F.col("pivot").alias("a"), F.col("key").alias("b"))
-            columns = columns.drop("pivot")
-        links = staged(_overlaps(staged(_open_pairs(pairs.distinct(), roots), "pairs"), rows), "overlaps")
-        found = links if found is None else staged(found.unionByName(links), "found")
-        labels = components(found)
+            columns = columns.drop("pivot", "major")
+        links = staged(_overlaps(_open_pairs(pairs.distinct(), roots), rows), "overlaps")
+        found = links if found is None else found.unionByName(links)
         if last:
-            return labels
+            break
+    return None if found is None else components(found)
 
 
 def jaccard_groups(
