@@ -81,13 +81,21 @@ def test_random_copies_match_the_sequential_rule(spark):
 
 def test_route_sends_each_report_one_way(spark):
     frame = reports(spark, {}, {"ingest_ms": T0 + 3_000}, {"speed": -1.0}, {"mmsi": "bad"})
-    routed = route(frame, accept(valid(frame)))
+    routed = route(frame)
     codes = {r["seq"]: r["reason_code"] for r in routed.collect()}
     assert codes == {0: None, 1: "duplicate", 2: "speed", 3: "mmsi"}
     texts = {r["seq"]: r["reason"] for r in explain_reason(routed.where("reason_code IS NOT NULL")).collect()}
     assert texts[1] == "duplicate" and texts[3] == "invalid MMSI: bad"
 
 
+def test_exact_replays_and_missing_arrivals(spark):
+    frame = reports(spark, {}, {"ts_ms": T0 + 1}, {"ts_ms": T0 + 2, "ingest_ms": None})
+    routed = [(r["seq"], r["reason_code"]) for r in route(frame.unionByName(frame.where("seq = 0"))).collect()]
+    assert sorted(routed, key=str) == [(0, "duplicate"), (0, None), (1, None), (2, "arrival")]
+    with pytest.raises(ValueError):
+        accept(frame, ttl_ms=0)
+
+
 # --- zones ---
 
 
@@ -176,6 +184,17 @@ def test_port_table_matches_brute_force(spark, limit):
     assert len(found) == len(spots)
 
 
+def test_port_table_just_past_the_edges(spark):
+    ports = [(i, f"p{i}", -80 + 2.1 * i, -179 + 4.7 * i) for i in range(70)]
+    at = [{"longitude": -180.005, "latitude": 10.0}, {"longitude": 5.0, "latitude": -90.004}]
+    points = reports(spark, *at)
+    frame = spark.createDataFrame(ports, "port_id int, name string, latitude double, longitude double")
+    got = {r.seq: r.distance_to_port for r in with_nearest_port(points, frame).collect()}
+    inline = [with_nearest_port(points, ports[i : i + 35]).collect() for i in (0, 35)]
+    for rows in zip(*[sorted(x, key=lambda r: r.seq) for x in inline]):
+        assert got[rows[0].seq] == pytest.approx(min(r.distance_to_port for r in rows))
+
+
 def test_short_gazetteer_as_list_and_as_table(spark):
     frame = reports(spark, {"latitude": 29.95, "longitude": -90.06}, {"latitude": 0.0, "longitude": 0.5})
     listed = with_nearest_port(frame, C.SEED_PORTS).orderBy("seq").collect()

@@ -10,16 +10,18 @@ from wakeline.operators import detect
 from wakeline.operators.crossings import hex_crossings
 from wakeline.operators.dedup import accept, route
 from wakeline.operators.enrich import enrich
-from wakeline.operators.validate import valid
+from wakeline.operators.validate import explain_reason, valid
 from wakeline.plans import metrics
 from wakeline.schemas import RAW_REPORT
 from wakeline.sources import tiers
 from wakeline.sources.reports import events_as_reports, write_channels
-from wakeline.streaming import jobs, sources
+from wakeline.streaming import behaviour, jobs, routing, sources
 from wakeline.streaming.metrics import latency_p99_stream, rate_1m_stream
+from wakeline.streaming.tables import put
 
 SF_DIR = "/root/testdata/sf0.001"
 TEN_DAYS_MS = 10 * 24 * 3_600_000
+T0 = 1_710_500_000_000
 
 
 def everything(spark, path):
@@ -48,14 +50,13 @@ def streamed(spark, raw, tmp_path_factory):
         in_part = F.least(F.floor((F.col("ingest_ms") - first) / TEN_DAYS_MS), F.lit(2)) == part
         write_channels(raw.where(in_part).coalesce(1), f"{root}/raw")
         stream = sources.stream_channels(spark, f"{root}/raw")
-        jobs.start_etl(stream, root, lateness_ms=2 * 24 * 3_600_000, dedup_groups=8).awaitTermination()
+        jobs.start_etl(stream, root).awaitTermination()
     return root
 
 
 @pytest.fixture(scope="module")
 def batch(raw):
-    kept = accept(valid(raw))
-    return route(raw, kept), enrich(kept)
+    return route(raw), enrich(accept(valid(raw)))
 
 
 def _enriched_stream(spark, streamed):
@@ -69,22 +70,80 @@ def test_etl_routes_as_the_batch(spark, streamed, batch):
     assert same(everything(spark, f"{streamed}/quarantine"), quarantined, ["seq", "mmsi", "reason_code"])
 
 
-def test_detection_as_the_batch(spark, streamed, batch, tmp_path):
-    _, enriched = batch
-    as_of = enriched.agg(F.max("ingest_ms")).first()[0]
-    found = detect.detections(detect.flag(enriched, as_of))
-    jobs.start_detection(_enriched_stream(spark, streamed), str(tmp_path), delay="0 seconds").awaitTermination()
-    live = everything(spark, f"{tmp_path}/detections")
-    columns = ["mmsi", "seq", "ts_ms", "detection", *detect.FLAGS, "heading", "source_type", "risk_score", "zone_name"]
-    assert same(live.where("detection <> 'back_online'"), found, columns)
+DETECTED = ["mmsi", "seq", "ts_ms", "detection", *detect.FLAGS, "heading", "source_type", "risk_score", "zone_name"]
+
+
+def assert_detected(live, enriched):
+    found = detect.detections(detect.flag(enriched, enriched.agg(F.max("ingest_ms")).first()[0]))
+    assert same(live.where("detection <> 'back_online'"), found, DETECTED)
     assert same(live.where("detection = 'back_online'"), detect.back_online(enriched), ["mmsi", "seq", "ts_ms"])
 
 
+def test_detection_as_the_batch(spark, streamed, batch, tmp_path):
+    jobs.start_detection(_enriched_stream(spark, streamed), str(tmp_path)).awaitTermination()
+    assert_detected(behaviour.detections_table(spark, str(tmp_path)), batch[1])
+
+
 def test_crossings_as_the_batch(spark, streamed, batch, tmp_path):
-    _, enriched = batch
     jobs.start_crossings(_enriched_stream(spark, streamed), str(tmp_path)).awaitTermination()
     columns = ["mmsi", "seq", "from_cell", "to_cell", "ts_ms"]
-    assert same(everything(spark, f"{tmp_path}/crossings"), hex_crossings(enriched), columns)
+    assert same(behaviour.crossings_table(spark, f"{tmp_path}/moves"), hex_crossings(batch[1]), columns)
+
+
+def test_any_order_and_cut_gives_the_batch(spark, tmp_path):
+    """Files of mixed order, one a micro-batch, through routing, detection and crossings; replays and all."""
+    root = str(tmp_path)
+    raw = events_as_reports(spark, SF_DIR)
+    raw = raw.unionByName(raw.where("seq % 50 = 0")).repartition(4).cache()
+    raw.write.parquet(f"{root}/raw")
+    stream = sources.stream_table(spark, f"{root}/raw", RAW_REPORT, files_per_trigger=1)
+    jobs.start_etl(stream, root).awaitTermination()
+    enriched = enrich(accept(valid(raw))).cache()
+    live = routing.current(spark, root, "enriched")
+    assert same(live, enriched, enriched.columns)
+    assert live.where("correlation_id IS NULL").count() == 0
+    failed = routing.current(spark, root, "quarantine")
+    assert same(failed, explain_reason(route(raw).where("reason_code IS NOT NULL")), ["seq", "reason_code", "reason"])
+    assert spark.read.parquet(f"{root}/withdrawn").count() > 0
+    for start in (jobs.start_detection, jobs.start_crossings):
+        source = sources.stream_table(spark, f"{root}/enriched", live.schema, files_per_trigger=1)
+        gone = sources.stream_table(spark, f"{root}/withdrawn", routing.WITHDRAWN, files_per_trigger=1)
+        start(source, f"{root}/{start.__name__}", withdrawn=gone).awaitTermination()
+    assert_detected(behaviour.detections_table(spark, f"{root}/start_detection"), enriched)
+    moved = behaviour.crossings_table(spark, f"{root}/start_crossings/moves")
+    assert same(moved, hex_crossings(enriched), ["mmsi", "seq", "from_cell", "to_cell", "ts_ms"])
+
+
+def test_replayed_epoch_changes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    steps = [reports(spark, {}, {"ts_ms": T0 + 60_000}), reports(spark, {"ingest_ms": T0 + 1}, {"speed": -1.0})]
+    for epoch, frame in [(0, steps[0]), (1, steps[1]), (1, steps[1])]:
+        kept, failed = routing.route_batch(frame, epoch, root)
+        put(kept, root, "enriched", epoch)
+        put(failed, root, "quarantine", epoch)
+    assert routing.current(spark, root, "enriched").count() == 2
+    assert sorted(r.reason_code for r in routing.current(spark, root, "quarantine").collect()) == ["duplicate", "speed"]
+    cold = tiers.as_cold(enrich(steps[0]))
+    for _ in range(2):
+        tiers.merge_cold(spark, cold, f"{root}/cold", f"{root}/work")
+    assert tiers.scan_cold(spark, f"{root}/cold").count() == 2
+
+
+def test_events_from_a_folder(spark, tmp_path):
+    spark.read.parquet(f"{SF_DIR}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    stream = sources.stream_events(spark, str(tmp_path), files_per_trigger=1)
+    jobs.start_etl(stream, f"{tmp_path}/out").awaitTermination()
+    total = sum(routing.current(spark, f"{tmp_path}/out", r).count() for r in ("enriched", "quarantine"))
+    assert total == events_as_reports(spark, SF_DIR).count()
+
+
+def test_dead_lines_have_a_place(spark, tmp_path):
+    lines = ["no json", '{"vesselEvent": {"mmsi": null}}']
+    spark.createDataFrame([(x,) for x in lines], "line string").write.parquet(f"{tmp_path}/in")
+    stream = sources.stream_table(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
+    jobs.start_lines(stream, str(tmp_path)).awaitTermination()
+    assert sorted(r.line for r in everything(spark, f"{tmp_path}/dead-letter").collect()) == sorted(lines)
+    assert everything(spark, f"{tmp_path}/records").count() == 0
 
 
 def test_tiers_as_the_batch(spark, streamed, batch, tmp_path):
@@ -92,7 +151,7 @@ def test_tiers_as_the_batch(spark, streamed, batch, tmp_path):
     _, enriched = batch
     root = str(tmp_path)
     flagged = detect.flag(enriched, enriched.agg(F.max("ingest_ms")).first()[0]).persist()
-    jobs.start_detection(_enriched_stream(spark, streamed), root, delay="0 seconds").awaitTermination()
+    jobs.start_detection(_enriched_stream(spark, streamed), root).awaitTermination()
     found = everything(spark, f"{root}/detections").schema
     for start in (jobs.start_cold_tier, jobs.start_hot_tier):
         detections = sources.stream_table(spark, f"{root}/detections", found)
@@ -104,20 +163,20 @@ def test_tiers_as_the_batch(spark, streamed, batch, tmp_path):
     assert same(newest, tiers.hot_table(flagged), tiers.HOT_COLUMNS)
 
 
-def test_late_arrivals_are_set_aside_not_lost(spark, tmp_path):
-    root, t0 = str(tmp_path), 1_710_500_000_000
+def test_late_arrivals_are_set_aside_where_asked(spark, tmp_path):
+    root, hour = str(tmp_path), 3_600_000
     steps = [
-        [{"mmsi": "111111111", "ts_ms": t0}, {"mmsi": "222222222", "ts_ms": t0}],
-        [{"mmsi": "111111111", "ts_ms": t0 - 3_600_000}, {"mmsi": "222222222", "ts_ms": t0 + 60_000}],
-        [{"mmsi": "222222222", "ts_ms": t0, "ingest_ms": t0 + 50_000}],
+        [{"mmsi": "111111111", "ts_ms": T0}, {"mmsi": "222222222", "ts_ms": T0}],
+        [{"mmsi": "111111111", "ts_ms": T0 - hour}, {"mmsi": "222222222", "ts_ms": T0 + 60_000}],
+        [{"mmsi": "222222222", "ts_ms": T0, "ingest_ms": T0 + 50_000}],
     ]
-    for step in steps:
-        reports(spark, *step).coalesce(1).write.mode("append").parquet(f"{root}/in")
-        stream = sources.stream_table(spark, f"{root}/in", RAW_REPORT)
-        jobs.start_etl(stream, root, dedup_groups=2).awaitTermination()
-    codes = [(r["mmsi"], r["reason_code"]) for r in everything(spark, f"{root}/quarantine").collect()]
-    assert sorted(codes) == [("111111111", "late"), ("222222222", "duplicate")]
-    assert everything(spark, f"{root}/enriched").count() == 3
+    for name, lateness, late in [("on", 600_000, ["111111111"]), ("off", None, [])]:
+        for step in steps:
+            reports(spark, *step).coalesce(1).write.mode("append").parquet(f"{root}/{name}/in")
+            stream = sources.stream_table(spark, f"{root}/{name}/in", RAW_REPORT)
+            jobs.start_etl(stream, f"{root}/{name}", lateness_ms=lateness).awaitTermination()
+        codes = [(r.mmsi, r.reason_code) for r in routing.current(spark, f"{root}/{name}", "quarantine").collect()]
+        assert sorted(codes) == sorted([*((m, "late") for m in late), ("222222222", "duplicate")])
 
 
 def test_rates_as_the_batch(spark, raw, batch, tmp_path):

@@ -15,6 +15,7 @@ REASON_NULL_ISLAND = "null_island"
 REASON_LATITUDE = "latitude"
 REASON_LONGITUDE = "longitude"
 REASON_TIMESTAMP = "timestamp"
+REASON_ARRIVAL = "arrival"
 REASON_STALE = "stale"
 REASON_SPEED = "speed"
 REASON_DUPLICATE = "duplicate"

@@ -22,6 +22,7 @@ def reason_code(arrival_ms: str = "ingest_ms") -> Column:
         (_outside("latitude", -C.MAX_ABS_LATITUDE, C.MAX_ABS_LATITUDE), C.REASON_LATITUDE),
         (_outside("longitude", -C.MAX_ABS_LONGITUDE, C.MAX_ABS_LONGITUDE), C.REASON_LONGITUDE),
         ("ts_ms IS NULL", C.REASON_TIMESTAMP),
+        (f"{arrival_ms} IS NULL", C.REASON_ARRIVAL),
         (f"abs({arrival_ms} - ts_ms) > {C.MAX_AGE_MS}", C.REASON_STALE),
         (_outside("speed", 0.0, C.MAX_SPEED_KN), C.REASON_SPEED),
     ]
@@ -41,6 +42,7 @@ def reason_text(code: str = "reason_code", arrival_ms: str = "ingest_ms") -> Col
         (C.REASON_LATITUDE, f"concat('latitude out of range: ', {shown('latitude')})"),
         (C.REASON_LONGITUDE, f"concat('longitude out of range: ', {shown('longitude')})"),
         (C.REASON_TIMESTAMP, "'null timestamp'"),
+        (C.REASON_ARRIVAL, "'null arrival time'"),
         (C.REASON_STALE, f"concat('timestamp too old/stale: ', {shown(f'abs({arrival_ms} - ts_ms)')}, 'ms')"),
         (C.REASON_SPEED, f"concat('speed out of range: ', {shown('speed')}, ' kn')"),
     ]

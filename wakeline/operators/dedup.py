@@ -2,11 +2,12 @@
 
 The first copy to arrive is accepted and opens a window of ``ttl_ms``. Copies arriving inside it
 are duplicates and do not extend it; the first copy at or past its end is accepted again and opens
-the next window.
+the next window. Of equal arrivals, as replays bring them, one can be accepted.
 
-Any number of copies may share one key, so copies are never gathered in one task: the first one
-is found by an aggregate that combines before the shuffle, and later windows are found by further
-rounds of the same aggregate over the few keys that have copies past their window.
+Nearly all keys have one copy. A count by key finds the others, and only their copies are written and
+compared; the rest pass as they are. Any number of copies may share one key, so they are never gathered
+in one task: the first one is found by an aggregate that combines before the shuffle, and later windows
+by further rounds over the few keys that have copies past their window.
 """
 
 from functools import reduce
@@ -19,7 +20,9 @@ from wakeline.operators.validate import check
 from wakeline.settings import stage
 
 KEY = ["mmsi", "ts_ms"]
-# Names one arrival; joins on it cannot be skewed.
+# Most keys with several copies that are sent to every executor; about 30 bytes each.
+MAX_BROADCAST_KEYS = 1_000_000
+# Names one arrival, but for exact replays.
 ARRIVAL = ["mmsi", "ts_ms", "ingest_ms", "seq"]
 
 
@@ -34,20 +37,27 @@ def _first_copies(reports: DataFrame) -> DataFrame:
     return firsts.select(*KEY, "_first.*", "_last_ms").select(*reports.columns, "_last_ms")
 
 
-def accept(valid_reports: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
-    """The accepted copies. Writes them to the shared folder: later steps read them more than once.
+def _repeated(valid_reports: DataFrame) -> DataFrame:
+    """The keys with more than one copy; broadcast while they are few."""
+    counts = valid_reports.groupBy(*KEY).agg(F.count("*").alias("_n")).where("_n > 1").select(*KEY)
+    keys = stage(counts, "repeated-keys")
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
+
+
+def _windows(copies: DataFrame, ttl_ms: int) -> DataFrame:
+    """The accepted ones of the copies, by rounds.
 
-    Almost always one round suffices. Another is run only while some key has a copy past its
-    window, over those keys' remaining copies alone. Valid reports arrive within a day of their
-    own time, so there are at most 48 hours / ttl rounds.
+    Valid reports arrive within a day of their own time, so there are at most 48 hours / ttl rounds.
     """
-    firsts = stage(_first_copies(valid_reports), "accepted")
+    if ttl_ms <= 0:
+        raise ValueError("the window must be longer than 0 ms")
+    firsts = stage(_first_copies(copies), "accepted")
     rounds = [firsts.drop("_last_ms")]
     late = firsts.where(f"_last_ms - ingest_ms >= {int(ttl_ms)}")
-    remaining = valid_reports
+    remaining = copies
     while not late.isEmpty():
         # AQE splits a key with very many copies; the other side is one row per key. The copies left
-        # are written, so that the next round reads those few and not all reports again.
+        # are written, so that the next round reads those few again.
         window_end = late.select(*KEY, (F.col("ingest_ms") + ttl_ms).alias("_window_end"))
         past = remaining.join(window_end, KEY).where("ingest_ms >= _window_end").drop("_window_end")
         remaining = stage(past, "past-window")
@@ -57,18 +67,30 @@ def accept(valid_reports: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), rounds)
 
 
-def route(reports: DataFrame, accepted: DataFrame) -> DataFrame:
+def accept(valid_reports: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
+    """The accepted copies. Only copies of repeated keys are written to the shared folder."""
+    repeated = _repeated(valid_reports)
+    copies = stage(valid_reports.join(repeated, KEY, "left_semi").select(*valid_reports.columns), "copies")
+    single = valid_reports.join(repeated, KEY, "left_anti").select(*valid_reports.columns)
+    return single.unionByName(_windows(copies, ttl_ms))
+
+
+def route(reports: DataFrame, ttl_ms: int = DEDUP_TTL_MS) -> DataFrame:
     """Every raw report with ``reason_code``: NULL if accepted, else why it is quarantined.
 
-    ``accepted`` is matched on the arrival, which is unique, so the join has no hot key.
+    Reports of keys with one copy are not shuffled but for the count. Of equal arrivals one is accepted at most, and
+    the others are duplicates.
     """
-    mark = accepted.select(*ARRIVAL, F.lit(True).alias("_accepted"))
-    return (
-        check(reports)
-        .join(mark, ARRIVAL, "left")
-        .withColumn(
-            "reason_code",
-            F.expr(f"coalesce(reason_code, CASE WHEN _accepted IS NULL THEN '{REASON_DUPLICATE}' END)"),
-        )
-        .drop("_accepted")
+    checked = check(reports)
+    good = checked.where("reason_code IS NULL")
+    repeated = _repeated(good)
+    copies = good.join(repeated, KEY, "left_semi").select(*checked.columns)
+    copies = stage(copies.withColumn("_copy", F.monotonically_increasing_id()), "copies")
+    accepted = _windows(copies.select(*ARRIVAL), ttl_ms)
+    chosen = copies.groupBy(*ARRIVAL).agg(F.min("_copy").alias("_copy")).join(accepted, ARRIVAL).select("_copy")
+    marked = copies.join(chosen.withColumn("_accepted", F.lit(True)), "_copy", "left").withColumn(
+        "reason_code", F.expr(f"CASE WHEN _accepted IS NULL THEN '{REASON_DUPLICATE}' END")
     )
+    single = good.join(repeated, KEY, "left_anti").select(*checked.columns)
+    failed = checked.where("reason_code IS NOT NULL")
+    return failed.unionByName(single).unionByName(marked.select(*checked.columns))

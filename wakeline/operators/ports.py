@@ -85,11 +85,12 @@ def candidate_ports(ports: DataFrame, occupied: DataFrame) -> DataFrame:
     cell's centre, less the cell's radius, does not exceed the smallest such distance plus radius.
     """
     top = LEVELS_DEG[0]
-    # Every port starts on the list of every coarse cell: a fixed number of cells.
+    # Every port starts on the list of every coarse cell: a fixed number of cells. One more on each side holds points
+    # just past the edges, as centroids of cells at the edge are.
     pairs = (
         ports.select("port_id", F.col("latitude").alias("plat"), F.col("longitude").alias("plon"))
-        .withColumn("cell_x", F.explode(F.sequence(F.lit(-180 // top), F.lit(180 // top))))
-        .withColumn("cell_y", F.explode(F.sequence(F.lit(-90 // top), F.lit(90 // top))))
+        .withColumn("cell_x", F.explode(F.sequence(F.lit(-180 // top - 1), F.lit(180 // top))))
+        .withColumn("cell_y", F.explode(F.sequence(F.lit(-90 // top - 1), F.lit(90 // top))))
     )
     for level, step in enumerate(LEVELS_DEG):
         if level:

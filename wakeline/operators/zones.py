@@ -45,7 +45,7 @@ def cover_is_small(zones: DataFrame, cell_deg: float = CELL_DEG, max_sides: int
         for low, high in (("west", "east"), ("south", "north"))
     ]
     sides = f"{spans[0]} * {spans[1]} * (size(ring) + 1)"
-    counted = _boxed(zones.limit(MAX_BROADCAST_ZONES + 1)).select(F.expr(sides).alias("sides")).collect()
+    counted = _boxed(zones).select(F.expr(sides).alias("sides")).limit(MAX_BROADCAST_ZONES + 1).collect()
     return len(counted) <= MAX_BROADCAST_ZONES and sum(row["sides"] for row in counted) <= max_sides
 
 

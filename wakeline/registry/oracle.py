@@ -287,6 +287,19 @@ ORACLE: dict[str, str] = {
            FROM routed""",
     ),
     "quarantine": _sql(_ROUTED, "SELECT seq, mmsi, ts_ms, reason_code FROM routed WHERE reason_code IS NOT NULL"),
+    "quarantine_text": _sql(
+        _ROUTED,
+        """SELECT seq, mmsi, reason_code, CASE reason_code
+             WHEN 'mmsi' THEN 'invalid MMSI: ' || coalesce(mmsi, 'null')
+             WHEN 'null_island' THEN 'null island (0,0)'
+             WHEN 'latitude' THEN 'latitude out of range: ' || coalesce(CAST(latitude AS VARCHAR), 'null')
+             WHEN 'longitude' THEN 'longitude out of range: ' || coalesce(CAST(longitude AS VARCHAR), 'null')
+             WHEN 'timestamp' THEN 'null timestamp'
+             WHEN 'stale' THEN 'timestamp too old/stale: ' || abs(ingest_ms - ts_ms) || 'ms'
+             WHEN 'speed' THEN 'speed out of range: ' || coalesce(CAST(speed AS VARCHAR), 'null') || ' kn'
+             ELSE reason_code END AS reason
+           FROM routed WHERE reason_code IS NOT NULL""",
+    ),
     "quarantine_by_reason": _sql(
         _ROUTED, "SELECT reason_code, count(*) AS events FROM routed WHERE reason_code IS NOT NULL GROUP BY 1"
     ),

@@ -20,7 +20,7 @@ from wakeline.operators.enrich import enrich, enrich_crossings
 from wakeline.operators.neighbours import with_neighbours
 from wakeline.operators.ports import with_nearest_port
 from wakeline.operators.tracks import resample, trail
-from wakeline.operators.validate import check, valid
+from wakeline.operators.validate import check, explain_reason, valid
 from wakeline.operators.zones import any_restricted, primary_zone, with_zones, zone_pairs
 from wakeline.plans import batch, metrics, pipeline, serving
 from wakeline.schemas import DAILY_STATS, RISK_PERCENTILES
@@ -28,7 +28,7 @@ from wakeline.settings import new_folder, stage, table_path
 from wakeline.sources import avro_json, tables, tiers
 from wakeline.sources.reference import seed_zones
 from wakeline.sources.reports import events_as_reports, topic_of, union_channels
-from wakeline.streaming import jobs
+from wakeline.streaming import behaviour, jobs, routing
 from wakeline.streaming import sources as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,7 +54,7 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = events_as_reports(spark, sf_dir)
-    return route(raw, pipeline.accepted(raw))
+    return route(raw)
 
 
 def _cold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,6 +109,13 @@ def quarantine(spark, sf_dir):
     return _routed(spark, sf_dir).where(F.col("reason_code").isNotNull()).select("seq", "mmsi", "ts_ms", "reason_code")
 
 
+@query
+def quarantine_text(spark, sf_dir):
+    """Quarantined reports with their reason as text."""
+    failed = _routed(spark, sf_dir).where(F.col("reason_code").isNotNull())
+    return explain_reason(failed).select("seq", "mmsi", "reason_code", "reason")
+
+
 @query
 def quarantine_by_reason(spark, sf_dir):
     return metrics.quarantine_by_reason(_routed(spark, sf_dir))
@@ -564,26 +571,24 @@ def active_flags(spark, sf_dir):
 
 # --- streams: run over everything there is, stop, and read what was written ---
 
-
-def _written(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+STREAM_FILES = 4
 
 
-def _enriched_stream(spark, sf_dir, root: str) -> DataFrame:
-    table = _enriched(spark, sf_dir)
-    table.write.parquet(f"{root}/enriched")
-    return streams.stream_table(spark, f"{root}/enriched", table.schema)
+def _delivered(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """A stream of these rows in several files of mixed order, one file a micro-batch."""
+    rows.repartition(STREAM_FILES).write.parquet(path)
+    return streams.stream_table(spark, path, rows.schema, files_per_trigger=1)
 
 
 @query
 def stream_etl_route(spark, sf_dir):
-    """Validation, stateful deduplication and routing of the events as a stream."""
+    """Validation, deduplication and routing of the events as a stream."""
     root = new_folder(spark, "stream-etl")
-    jobs.start_etl(streams.stream_events(spark, sf_dir), root).awaitTermination()
-    to_enriched = _written(spark, f"{root}/enriched").selectExpr(
+    jobs.start_etl(_delivered(spark, events_as_reports(spark, sf_dir), f"{root}/raw"), root).awaitTermination()
+    to_enriched = routing.current(spark, root, "enriched").selectExpr(
         "seq", "mmsi", "'enriched' AS route", "cast(NULL AS string) AS reason_code"
     )
-    to_quarantine = _written(spark, f"{root}/quarantine").selectExpr(
+    to_quarantine = routing.current(spark, root, "quarantine").selectExpr(
         "seq", "mmsi", "'quarantine' AS route", "reason_code"
     )
     return to_enriched.unionByName(to_quarantine)
@@ -593,14 +598,13 @@ def stream_etl_route(spark, sf_dir):
 def stream_detections(spark, sf_dir):
     """Behaviour and silence detected on the enriched stream."""
     root = new_folder(spark, "stream-detections")
-    source = _enriched_stream(spark, sf_dir, root)
-    jobs.start_detection(source, root, delay="0 seconds").awaitTermination()
-    return _written(spark, f"{root}/detections").where("detection <> 'back_online'").select(*_DETECTION)
+    jobs.start_detection(_delivered(spark, _enriched(spark, sf_dir), f"{root}/in"), root).awaitTermination()
+    return behaviour.detections_table(spark, root).where("detection <> 'back_online'").select(*_DETECTION)
 
 
 @query
 def stream_crossings(spark, sf_dir):
     """Cell crossings of the enriched stream."""
     root = new_folder(spark, "stream-crossings")
-    jobs.start_crossings(_enriched_stream(spark, sf_dir, root), root).awaitTermination()
-    return _written(spark, f"{root}/crossings").select(*_CROSSING)
+    jobs.start_crossings(_delivered(spark, _enriched(spark, sf_dir), f"{root}/in"), root).awaitTermination()
+    return behaviour.crossings_table(spark, f"{root}/moves").select(*_CROSSING)

@@ -17,6 +17,7 @@ from pyspark.sql.types import (
 from wakeline.constants import CHANNEL_TOPICS, EVENT_TYPE_AIS
 from wakeline.schemas import RAW_REPORT
 from wakeline.settings import table_path, use_utc
+from wakeline.sources.folders import path_exists
 
 EVENTS = StructType(
     [
@@ -76,6 +77,10 @@ def reports_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+#: Folder of reports whose source type has no channel.
+NO_CHANNEL = "no-channel"
+
+
 def topic_of(source_type: Column, topics: dict[str, str] = CHANNEL_TOPICS) -> Column:
     """Raw topic a report is published to; NULL for a source type without a channel."""
     topic = F.lit(None).cast("string")
@@ -85,8 +90,9 @@ def topic_of(source_type: Column, topics: dict[str, str] = CHANNEL_TOPICS) -> Co
 
 
 def write_channels(reports: DataFrame, root: str, topics: dict[str, str] = CHANNEL_TOPICS) -> None:
-    """Route each report to the folder of its topic in one pass."""
-    reports.withColumn("topic", topic_of(F.col("source_type"), topics)).write.partitionBy("topic").mode(
+    """Route each report to the folder of its topic in one pass; reports without a channel have one of their own."""
+    topic = F.coalesce(topic_of(F.col("source_type"), topics), F.lit(NO_CHANNEL))
+    reports.withColumn("topic", topic).write.partitionBy("topic").mode(
         "append"
     ).parquet(root)
 
@@ -97,5 +103,7 @@ def union_channels(channels: Iterable[DataFrame]) -> DataFrame:
 
 
 def read_channels(spark: SparkSession, root: str, topics: dict[str, str] = CHANNEL_TOPICS) -> DataFrame:
-    """The union of the topic folders below ``root``."""
-    return union_channels(read_reports(spark, f"{root}/topic={name}") for name in topics.values())
+    """The union of the topic folders below ``root`` that are there, with reports without a channel."""
+    folders = [f"{root}/topic={name}" for name in (*topics.values(), NO_CHANNEL)]
+    there = [read_reports(spark, folder) for folder in folders if path_exists(spark, folder)]
+    return union_channels(there) if there else spark.createDataFrame([], RAW_REPORT)

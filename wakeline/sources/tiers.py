@@ -8,6 +8,7 @@ from pyspark.sql.types import BooleanType, DateType, LongType, StructField, Stru
 
 from wakeline.schemas import ENRICHED_EVENT, nested_event, to_nested
 from wakeline.functions.labels import with_date
+from wakeline.sources.folders import path_exists
 
 FLAGS = ("loitering", "dark_vessel", "speed_anomaly")
 COLD_FLAGS = ("loitering", "darkVessel", "speedAnomaly")
@@ -104,17 +105,10 @@ def merge_cold(spark: SparkSession, incoming: DataFrame, root: str, work: str) -
     merged = incoming
     if path_exists(spark, root):
         merged = scan_cold(spark, root, *dates).unionByName(incoming)
-    latest_copy(merged).write.parquet(work)
+    latest_copy(merged).write.mode("overwrite").parquet(work)
     write_cold(spark.read.schema(COLD).parquet(work), root)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder is there, on whatever file system the path names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 # --- hot tier ---
 
 HOT_COLUMNS = [

@@ -2,70 +2,34 @@
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wakeline import constants as C
 from wakeline.operators.enrich import enrich, enrich_crossings
-from wakeline.operators.validate import check
-from wakeline.schemas import RAW_REPORT
 from wakeline.sources import tiers
-from wakeline.sources.tiers import path_exists
-from wakeline.streaming.processors import (
-    DEDUP_GROUPS,
-    crossings_stream,
-    detect_stream,
-    mark_duplicates,
-)
+from wakeline.sources.avro_json import parse_lines
+from wakeline.sources.folders import drop_path, path_exists
+from wakeline.streaming.behaviour import crossings, judge, raised, with_withdrawn
+from wakeline.streaming.routing import route_batch
+from wakeline.streaming.tables import EPOCH, get, put
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-QUARANTINED = StructType([*RAW_REPORT.fields, StructField("reason_code", StringType())])
-_PROGRESS = StructType([StructField("newest_ms", LongType())])
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """State off the heap; needed by the stateful processors."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+#: Versions of the hot tier that stay, so that a replayed micro-batch finds the one before it.
+KEPT_VERSIONS = 3
+_CLOCK = StructType([StructField("clock_ms", LongType())])
 
 
 def _epoch_folder(root: str, epoch: int) -> str:
     return f"{root}/batch-{epoch}"
 
 
-_IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
-
-
 def _start(
-    stream: DataFrame,
-    checkpoint: str,
-    sink: Callable[[DataFrame, int], None],
-    available_now: bool,
-    idle_batches: bool = True,
+    stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], available_now: bool
 ) -> StreamingQuery:
-    """Start a query. ``idle_batches`` lets timers fire without new data.
-
-    A query with state that expires by the wall clock would otherwise ask for an empty micro-batch
-    after every other and never finish ``availableNow``. A query keeps the setting it starts with.
-    """
-    conf = stream.sparkSession.conf
-    earlier = conf.get(_IDLE_BATCHES, "true")
-    conf.set(_IDLE_BATCHES, str(idle_batches).lower())
-    try:
-        writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-        return (writer.trigger(availableNow=True) if available_now else writer).start()
-    finally:
-        conf.set(_IDLE_BATCHES, earlier)
-
-
-def _newest_before(spark: SparkSession, progress: str, epoch: int) -> int | None:
-    """The newest arrival of all earlier micro-batches; one row, kept by the one just before."""
-    earlier = _epoch_folder(progress, epoch - 1)
-    if not path_exists(spark, earlier):
-        return None
-    return spark.read.schema(_PROGRESS).parquet(earlier).first()["newest_ms"]
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def start_etl(
@@ -75,57 +39,69 @@ def start_etl(
     zones: DataFrame | None = None,
     ports: Sequence[tuple] | DataFrame = C.SEED_PORTS,
     ttl_ms: int = C.DEDUP_TTL_MS,
-    dedup_groups: int = DEDUP_GROUPS,
-    lateness_ms: int = 10 * 60 * 1000,
+    lateness_ms: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Raw stream to ``root/enriched`` and ``root/quarantine``.
+    """Raw stream to ``root/enriched`` and ``root/quarantine``, with the reason as code and text.
 
-    Each report goes to exactly one of them. Invalid reports never reach the stateful operator.
+    Each report stands in exactly one of them, and in the same one for every cut of the input into micro-batches:
+    ``routing.current`` reads them without what ``root/withdrawn`` has taken back.
     """
-    use_rocksdb(raw.sparkSession)
-    checked = check(raw)
-    passed = mark_duplicates(checked.where(F.col("reason_code").isNull()).drop("reason_code"), ttl_ms, dedup_groups)
-    failed = checked.where(F.col("reason_code").isNotNull())
-    progress = f"{root}/progress"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        # Late is what arrived too long before the newest arrival of earlier micro-batches. It
-        # depends on those alone, so a replayed micro-batch decides as it did the first time.
-        newest = _newest_before(batch.sparkSession, progress, epoch)
-        batch = batch.persist()
-        routed = batch
-        if newest is not None:
-            late = f"CASE WHEN ingest_ms < {newest - lateness_ms}L THEN '{C.REASON_LATE}' END"
-            routed = batch.withColumn("reason_code", F.expr(f"coalesce(reason_code, {late})"))
-        kept = routed.where("reason_code IS NULL").drop("reason_code")
-        enrich(kept, zones, ports).write.mode("overwrite").parquet(_epoch_folder(f"{root}/enriched", epoch))
-        routed.where("reason_code IS NOT NULL").write.mode("overwrite").parquet(
-            _epoch_folder(f"{root}/quarantine", epoch)
-        )
-        seen = batch.agg(F.greatest(F.max("ingest_ms"), F.lit(newest).cast("long")).alias("newest_ms"))
-        seen.write.mode("overwrite").parquet(_epoch_folder(progress, epoch))
-        batch.unpersist()
-
-    return _start(passed.unionByName(failed), f"{root}/checkpoints/etl", sink, available_now, idle_batches=False)
+        kept, failed = route_batch(batch, epoch, root, ttl_ms, lateness_ms)
+        put(enrich(kept, zones, ports), root, "enriched", epoch)
+        put(failed, root, "quarantine", epoch)
+
+    return _start(raw, f"{root}/checkpoints/etl", sink, available_now)
+
+
+def start_lines(lines: DataFrame, root: str, *, line: str = "line", available_now: bool = True) -> StreamingQuery:
+    """Stream of Avro-JSON lines to ``root/records`` and, for lines that can't be read, ``root/dead-letter``.
+
+    A dead line keeps its text, so that it can be sent again.
+    """
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        put(batch, root, "lines", epoch)
+        parsed = parse_lines(get(batch.sparkSession, root, "lines", batch.schema, upto=epoch).where(F.col(EPOCH) == epoch))
+        put(parsed.where("dead").select(*batch.columns), root, "dead-letter", epoch)
+        put(parsed.where("NOT dead").select("record.*"), root, "records", epoch)
+
+    return _start(lines.withColumn("line", F.col(line)), f"{root}/checkpoints/lines", sink, available_now)
 
 
 def start_detection(
     enriched: DataFrame,
     root: str,
     *,
+    withdrawn: DataFrame | None = None,
     limit_ms: int = C.SILENCE_MS,
-    delay: str = "10 minutes",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Enriched stream to ``root/detections``."""
-    use_rocksdb(enriched.sparkSession)
+    """Enriched stream to ``root/flags``, all versions of every report's flags, and ``root/detections``.
 
-    def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(_epoch_folder(f"{root}/detections", epoch))
+    ``behaviour.detections_table`` reads the feed as it stands. ``root/detections`` is what each micro-batch told, at
+    least once: a report judged again is told again, and a later version may differ.
+    """
 
-    found = detect_stream(enriched, limit_ms, delay)
-    return _start(found, f"{root}/checkpoints/detection", sink, available_now)
+    def sink(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        put(judge(batch, epoch, root), root, "flags", epoch)
+        versions = get(spark, root, "flags", upto=epoch)
+        told = versions.where(F.col(EPOCH) == epoch).drop(EPOCH)
+        put(told.where("after_ms IS NULL"), root, "open", epoch)
+        before = get(spark, root, "clock", _CLOCK, upto=epoch - 1).agg(F.max("clock_ms")).first()[0]
+        seen = told.agg(F.max("ingest_ms")).first()[0]
+        clock = max((c for c in (before, seen) if c is not None), default=0)
+        put(spark.createDataFrame([(clock,)], _CLOCK), root, "clock", epoch)
+        opened = get(spark, root, "open", told.schema, upto=epoch)
+        last = opened.groupBy("mmsi").agg(F.max(EPOCH).alias(EPOCH))
+        opened = opened.join(last, ["mmsi", EPOCH]).where(F.col(EPOCH) < epoch).drop(EPOCH)
+        due = f"{clock} - ts_ms > {limit_ms} AND {clock if before is None else before} - ts_ms <= {limit_ms}"
+        put(raised(told, opened.where(due), clock, limit_ms), root, "detections", epoch)
+
+    return _start(with_withdrawn(enriched, withdrawn), f"{root}/checkpoints/detection", sink, available_now)
 
 
 def start_crossings(
@@ -134,16 +110,20 @@ def start_crossings(
     *,
     zones: DataFrame | None = None,
     ports: Sequence[tuple] | DataFrame = C.SEED_PORTS,
+    withdrawn: DataFrame | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Enriched stream to ``root/crossings``, each crossing with the context of the entered cell."""
-    use_rocksdb(enriched.sparkSession)
+    """Enriched stream to ``root/crossings``, each crossing with the context of the entered cell.
+
+    Holds all versions of the reports, also those in the cell of the report before; ``behaviour.crossings_table``
+    reads the crossings as they stand.
+    """
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        entered = enrich_crossings(batch, zones, ports)
-        entered.write.mode("overwrite").parquet(_epoch_folder(f"{root}/crossings", epoch))
+        entered = enrich_crossings(crossings(batch, epoch, f"{root}/moves"), zones, ports)
+        put(entered, f"{root}/moves", "crossings", epoch)
 
-    return _start(crossings_stream(enriched), f"{root}/checkpoints/crossings", sink, available_now)
+    return _start(with_withdrawn(enriched, withdrawn), f"{root}/checkpoints/crossings", sink, available_now)
 
 
 def _reports_and_detections(enriched: DataFrame, detections: DataFrame | None) -> DataFrame:
@@ -167,6 +147,7 @@ def start_cold_tier(
         incoming = tiers.as_cold(batch).persist()
         tiers.merge_cold(spark, incoming, f"{root}/cold", f"{root}/cold-work/batch-{epoch}")
         incoming.unpersist()
+        drop_path(spark, f"{root}/cold-work/batch-{epoch}")
 
     return _start(_reports_and_detections(enriched, detections), f"{root}/checkpoints/cold", sink, available_now)
 
@@ -174,12 +155,18 @@ def start_cold_tier(
 def start_hot_tier(
     enriched: DataFrame, root: str, *, detections: DataFrame | None = None, available_now: bool = True
 ) -> StreamingQuery:
-    """Enriched reports and detections into the hot tier: ``root/hot/batch-N`` after micro-batch N."""
+    """Enriched reports and detections into the hot tier: ``root/hot/batch-N`` after micro-batch N.
+
+    The versions before the last two are removed. A missing earlier version is an error: going on would forget vessels.
+    """
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         earlier = _epoch_folder(f"{root}/hot", epoch - 1)
-        current = spark.read.parquet(earlier) if path_exists(spark, earlier) else None
+        if epoch and not path_exists(spark, earlier):
+            raise FileNotFoundError(f"the hot tier lacks {earlier}")
+        current = spark.read.parquet(earlier) if epoch else None
         tiers.merge_hot(batch, current).write.mode("overwrite").parquet(_epoch_folder(f"{root}/hot", epoch))
+        drop_path(spark, _epoch_folder(f"{root}/hot", epoch - KEPT_VERSIONS))
 
     return _start(_reports_and_detections(enriched, detections), f"{root}/checkpoints/hot", sink, available_now)

@@ -5,10 +5,11 @@ from pyspark.sql import DataFrame, SparkSession
 from wakeline.constants import CHANNEL_TOPICS
 from wakeline.schemas import RAW_REPORT
 from wakeline.settings import use_utc
+from wakeline.sources.folders import is_folder
 from wakeline.sources.reports import EVENTS, reports_from_events, union_channels
 
 
-# Bounds a micro-batch, and with it the rows of one vessel that a task sees at a time.
+# Bounds a micro-batch.
 FILES_PER_TRIGGER = 256
 
 
@@ -37,6 +38,9 @@ def stream_channels(
     )
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table as a stream of raw reports."""
-    return reports_from_events(_files(spark, EVENTS, sf_dir, 1, pathGlobFilter="events.parquet"))
+def stream_events(spark: SparkSession, sf_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """The ``events`` table, one file or a folder of files, as a stream of raw reports."""
+    table = f"{sf_dir}/events.parquet"
+    if is_folder(spark, table):
+        return reports_from_events(_files(spark, EVENTS, table, files_per_trigger))
+    return reports_from_events(_files(spark, EVENTS, sf_dir, files_per_trigger, pathGlobFilter="events.parquet"))
