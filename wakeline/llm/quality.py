@@ -56,25 +56,24 @@ def repeated_words(words: str = "words") -> Column:
 
 
 def measure(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Columns ``doc_id`` apart, the measurements of each row of ``docs``; a null text has no words."""
+    """``docs`` with the measurements of each row; a null text has no words.
+
+    They leave a generator of one row, so that a filter on them is not moved below it, where each use of a measurement
+    would work it out, and part the text into words, anew.
+    """
     text = F.coalesce(F.col(text_column), F.lit(""))
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    return (
-        docs.withColumn("_text", text)
-        .withColumn("_words", _word_list(F.col("_text")))
-        .withColumn("_lines", lines)
-        .withColumns(
-            {
-                "n_words": F.size("_words").cast("bigint"),
-                "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
-                "n_symbols": F.length(F.regexp_replace("_text", r"[^#*$%&|<>]+", "")).cast("bigint"),
-                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
-                "n_lines": F.size("_lines").cast("bigint"),
-                "n_repeat_words": repeated_words("_words"),
-            }
-        )
-        .drop("_text", "_words", "_lines")
-    )
+    values = {
+        "n_words": F.size("_words"),
+        "word_chars": F.length(F.array_join("_words", "")),
+        "n_symbols": F.length(F.regexp_replace("_text", r"[^#*$%&|<>]+", "")),
+        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_lines": F.size("_lines"),
+        "n_repeat_words": repeated_words("_words"),
+    }
+    parted = docs.withColumn("_text", text).withColumn("_words", _word_list(F.col("_text"))).withColumn("_lines", lines)
+    row = F.struct(*(v.cast("bigint").alias(name) for name, v in values.items()))
+    return parted.select(*docs.columns, F.explode(F.array(row)).alias("_measured")).select(*docs.columns, "_measured.*")
 
 
 def failures() -> Column:
