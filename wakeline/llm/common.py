@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import wakeline.llm
-from wakeline.settings import stage
+from wakeline.settings import new_folder, stage
 
 # Functions travel to the workers with their code, so these need no installed package.
 cloudpickle.register_pickle_by_value(wakeline.llm)
@@ -30,6 +32,24 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return stage(frame, f"llm-{name}")
 
 
+@contextmanager
+def bucketed(frame: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+    """Like ``staged``, but in buckets of ``key``: joins on it move only the other side, however many there are.
+
+    A frame that an aggregate has just dealt out by ``key`` gives one file a bucket. The catalogue forgets the table at
+    the end, so what is read from it must be written before.
+    """
+    spark = frame.sparkSession
+    table = f"wakeline_{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = new_folder(spark, f"llm-{name}")
+    frame.write.bucketBy(buckets, key).option("path", folder).format("parquet").saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
 def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The staged frame, marked for broadcast if a count shows that it holds at most ``rows`` rows; else it is shuffled."""
     return F.broadcast(frame) if frame.count() <= rows else frame
@@ -47,5 +67,3 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
                 stop += 1
             yield batch.slice(start, stop - start)
             start = stop
-
-

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import slices, small, staged
+from wakeline.llm.common import bucketed, slices, small, staged
 from wakeline.llm.components import components
 from wakeline.llm.words import hashed_words, mix, shingles
 
@@ -159,8 +159,14 @@ def _shared_rows(rows: DataFrame) -> DataFrame:
 
 
 def _overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links (a, b) among pairs of keys: the product of their rows, where it reaches the threshold."""
-    left = rows.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("hashes").alias("row_a"))
+    """Links (a, b) among pairs of keys: the product of their rows, where it reaches the threshold.
+
+    ``rows`` lies in buckets of its key, so that a block moves the rows of its pairs only. Those on the side of ``a``
+    are written first: a pivot may have very many partners, and Spark splits such a key only if both sides are shuffled.
+    """
+    pairs = staged(pairs, "pairs")
+    heads = staged(rows.join(pairs.select(F.col("a").alias("key")).distinct(), "key", "left_semi"), "heads")
+    left = heads.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("hashes").alias("row_a"))
     right = rows.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("hashes").alias("row_b"))
     overlap = F.size(F.array_intersect("row_a", "row_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "n_b", overlap.alias("overlap"))
@@ -258,7 +264,8 @@ def jaccard_groups(
     chosen = staged(_candidates(named, width).join(classes, "key"), "chosen")
     rows = named.mapInArrow(_rows(width), f"doc_id {kind}, key bigint, n bigint, hashes array<bigint>")
     rows = rows.join(small(chosen), ["key", "doc_id"], "left_semi").dropDuplicates(["key"])
-    labels = _labels(staged(rows.select("key", "n", "hashes"), "rows"))
+    with bucketed(rows.select("key", "n", "hashes"), "rows", "key") as incidence:
+        labels = _labels(incidence)
     grouped = sets.withColumn("root", F.col("key"))
     if labels is not None:
         grouped = sets.join(labels.withColumnRenamed("node", "key"), "key", "left")
