@@ -101,6 +101,18 @@ def test_scores_sum_to_one(spark):
     assert 0 < total < 1
 
 
+def test_every_pair_counts_wherever_it_lies(spark, docs):
+    """What is broadcast changes no score, and pairs that occur once are in the model whatever the corpus size."""
+    from wakeline.llm.lm import score_documents
+
+    rows = docs[:60] + [(7_000_000 + i, "the same few words again " * 40) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {r.doc_id: r.score for r in score_documents(frame).collect()}
+    for given in ({"most_words": 30}, {"filter_bytes": 0}, {"most_words": 1, "filter_bytes": 0}):
+        got = {r.doc_id: r.score for r in score_documents(frame, **given).collect()}
+        assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_shards(spark):
     rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = QUERIES["op5_sharding"](spark, SF).collect()

@@ -1,20 +1,23 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-The model is a bigram model over a smoothed unigram model. Words with at least ``share`` of all training tokens, and
-pairs of such words with as large a share, are counted and kept; by that there are at most 1 / share of either, whatever
-the corpus. A pair's count is quantised on a log scale and put into the filter once for every step up to its level, so
-that probing step after step until one is missing gives the level back. The filter is broadcast; its size has a bound
-that follows from ``share`` alone: the pairs that reach a level number at most 1 / (share * BASE ** level).
+The model is a bigram model over a smoothed unigram model. Every word and every pair of words in the training texts
+counts, however rare. A pair's count is quantised on a log scale and put into the filter once for every step up to its
+level, so that probing step after step until one is missing gives the level back. The filter grows with the pairs: it is
+cut into segments by the pair's hash, each a bit array that one task builds.
 
     P(w | h) = (pair(h, w) + (total(h) - kept(h) + PRIOR) * P(w)) / (total(h) + PRIOR),  kept(h) = sum of pair(h, .)
 
-sums to one over all words but for the filter's false positives. After a rare word, and at the beginning, P(w) is used.
-P(w) = (c + 0.5) / (N + 0.5 * (V + 1)) with exact counts. The counts of rare words are too many to broadcast: the rare
-words of the scored texts are joined with the counts, and come back as one sum for each text.
+sums to one over all words but for the filter's false positives. After an unknown word, and at the beginning, P(w) is
+used. P(w) = (c + 0.5) / (N + 0.5 * (V + 1)) with exact counts.
+
+Where things lie depends on sizes, the scores do not: the most frequent words, and the filter while it is small, are
+broadcast. Other words of the scored texts are joined with the counts, and pairs that cannot be settled in the task are
+joined, each distinct one once, with the segments; both come back as one sum for each text.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,15 +30,21 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import slices, staged
 from wakeline.llm.words import hashed_words, mix
 
-#: Least share of the training tokens for a word or pair to be kept: at most a million of either.
-SHARE = 1e-6
+#: Words that are broadcast, the most frequent; 24 bytes each.
+MOST_WORDS = 2_000_000
+#: Bytes up to which the filter is broadcast.
+FILTER_BYTES = 128 << 20
+#: Training tokens, and so at most pairs, a segment; small filters have LEAST_SEGMENTS, so that all tasks build some.
+SEGMENT_TOKENS = 1 << 16
+LEAST_SEGMENTS = 1024
 #: Step of the log scale, and hash functions: one probe in 2 ** HASHES of a missing pair succeeds.
 BASE = 1.25
 HASHES = 10
 #: Weight of the unigram model after a word, in tokens.
 PRIOR = 1000.0
-#: Tokens that a task counts before it sends counts on.
+#: Tokens that a task counts before it sends counts on, and histories whose sums it holds.
 COUNTED_TOKENS = 1 << 21
+HELD_SUMS = 1 << 18
 END = np.uint64(0x5EED_0E0D_0000_0001)
 
 
@@ -79,115 +88,252 @@ def _places(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.where(frequent[at] == tokens, at, -1) if len(frequent) else np.full(len(tokens), -1)
 
 
-def _pairs(tokens: np.ndarray, starts: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's place, and that of the token before it in its text; -1 where it is rare or there is none."""
-    place = _places(tokens, frequent)
-    before = np.empty_like(place)
-    before[1:] = place[:-1]
-    before[starts[:-1]] = -1
-    return place, before
+def pair_keys(histories: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(histories ^ mix(words + np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """Rows (segment, h, runs, w, c) of pairs within texts, added up over COUNTED_TOKENS at a time, a row a segment.
+
+    The columns are arrays as bytes: the distinct histories, and by history the number of its words, the words and the
+    counts.
+    """
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def flush() -> pa.RecordBatch:
+        h, w = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        keys, first, counts = np.unique(pair_keys(h, w), return_index=True, return_counts=True)
+        segment = (keys % np.uint64(segments)).astype(np.int32)
+        order = np.lexsort((h[first], segment))
+        segment, h, w, c = segment[order], h[first[order]], w[first[order]], counts[order].astype(np.int32)
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[1:] != h[:-1]) | (segment[1:] != segment[:-1])
+        runs = np.diff(np.append(np.flatnonzero(new), len(h))).astype(np.int32)
+        number, ends = np.unique(segment, return_index=True)
+        ends = np.append(ends, len(h))
+        run_ends = np.concatenate([[0], np.cumsum(new)])[ends]
+        columns = [pa.array(number), _bytes(h[new], run_ends), _bytes(runs, run_ends), _bytes(w, ends), _bytes(c, ends)]
+        return pa.RecordBatch.from_arrays(columns, ["segment", "h", "runs", "w", "c"])
+
+    for _, tokens, starts in _token_runs(batches):
+        after = _after(starts)
+        held.append((tokens[after - 1], tokens[after]))
+        if sum(len(h) for h, _ in held) >= COUNTED_TOKENS:
+            yield flush()
+    if held:
+        yield flush()
+
+
+def _bytes(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A row of bytes for each stretch of the values."""
+    offsets = pa.array(ends * values.itemsize, pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets.buffers()[1], pa.py_buffer(values.tobytes())])
+
+
+def _after(starts: np.ndarray) -> np.ndarray:
+    """The places of the tokens that have one before them in their text."""
+    later = np.ones(starts[-1], dtype=bool)
+    later[starts[:-1]] = False
+    return np.flatnonzero(later)
+
+
+def _count_at(level: np.ndarray) -> np.ndarray:
+    return BASE ** (level - 0.5)
+
+
+def _level_of(count: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log(count) / math.log(BASE) + 1e-9).astype(np.int64)
+
+
+def _starts(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and step of the hashes of each key at a level."""
+    one = mix(keys + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64)))
+    return one, mix(one) | np.uint64(1)
+
+
+def _bit(one: np.ndarray, two: np.ndarray, i: int, size: np.ndarray) -> np.ndarray:
+    """The place of hash ``i`` in ``size`` bits, which are fewer than 2 ** 32."""
+    return (((one + np.uint64(i) * two) >> np.uint64(32)) * size) >> np.uint64(32)
+
+
+def segment_bits(keys: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
+    """The bit array, as bytes, of pairs and their levels, and its size in bits."""
+    size = max(64, math.ceil(int(levels.sum()) * HASHES / math.log(2)))
+    bits = np.zeros(size, dtype=bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        one, two = _starts(keys[levels >= level], level)
+        for i in range(HASHES):
+            bits[_bit(one, two, i, np.uint64(size))] = True
+    return np.packbits(bits, bitorder="little"), size
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over rows of ``_pair_counts`` in order of segments: rows (segment, bits, size, levels), and rows
+    (histories, kept) of sums by history."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def row(segment: int | None, bits: bytes | None, size: int, levels: int, h: np.ndarray, kept: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([segment], pa.int32()),
+                pa.array([bits], pa.binary()),
+                pa.array([size], pa.int64()),
+                pa.array([levels], pa.int32()),
+                pa.array([h.view(np.int64)], pa.list_(pa.int64())),
+                pa.array([kept], pa.list_(pa.float64())),
+            ],
+            ["segment", "bits", "size", "levels", "histories", "kept"],
+        )
+
+    def sums() -> tuple[np.ndarray, np.ndarray]:
+        h, kept = (np.concatenate(x) for x in zip(*held))
+        distinct, inverse = np.unique(h, return_inverse=True)
+        return distinct, np.bincount(inverse, weights=kept)
+
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    for segment, h, w, c in _runs(batches):
+        keys, levels = pair_keys(h, w), _level_of(c)
+        bits, size = segment_bits(keys, levels)
+        yield row(segment, bits.tobytes(), size, int(levels.max()), *none)
+        held.append((h, _count_at(levels)))
+        if sum(len(x) for x, _ in held) >= HELD_SUMS:
+            held[:] = [sums()]
+            if len(held[0][0]) >= HELD_SUMS // 2:
+                yield row(None, None, 0, 0, *held.pop())
+    if held:
+        yield row(None, None, 0, 0, *sums())
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(segment, h, w, c) of the distinct pairs of each segment, from ordered rows of ``_pair_counts``."""
+
+    def rows() -> Iterator[dict]:
+        for batch in batches:
+            yield from batch.to_pylist()
+
+    for segment, parts in itertools.groupby(rows(), key=lambda row: row["segment"]):
+        parts = list(parts)
+        h, runs, w, c = (
+            np.frombuffer(b"".join(p[name] for p in parts), dtype=kind)
+            for name, kind in (("h", np.uint64), ("runs", np.int32), ("w", np.uint64), ("c", np.int32))
+        )
+        h = np.repeat(h, runs)
+        _, first, inverse = np.unique(pair_keys(h, w), return_index=True, return_inverse=True)
+        yield segment, h[first], w[first], np.bincount(inverse, weights=c)
 
 
 @dataclass
-class Model:
-    """What scoring needs: frequent words with their counts and history totals, and the filter of pairs."""
+class Filter:
+    """Segments side by side; those without pairs have size 0."""
 
-    frequent: np.ndarray  # word hashes in order
-    log_unigram: np.ndarray
-    back_off: np.ndarray  # (total - kept + PRIOR) / (total + PRIOR), by history
-    total: np.ndarray  # total + PRIOR, by history
-    bits: np.ndarray  # the filter, as bytes
-    size: int  # in bits
-    least: float  # the count at level 1
-    levels: int
-
-    def probe(self, keys: np.ndarray, level: int) -> np.ndarray:
-        """Whether the filter has each key at this level."""
-        present = np.ones(len(keys), dtype=bool)
-        for bit in _positions(keys, level, self.size):
-            present &= (self.bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return present
-
-    def counts(self, keys: np.ndarray) -> np.ndarray:
+    bits: np.ndarray  # as bytes
+    start: np.ndarray  # in bytes, by segment
+    size: np.ndarray  # in bits, by segment
+    levels: np.ndarray  # by segment
+
+    def level(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts: levels are probed from the first until one is missing; 0 where the first is."""
+        segment = (keys % np.uint64(len(self.size))).astype(np.int64)
+        size, start, levels = self.size[segment], self.start[segment], self.levels[segment]
         level = np.zeros(len(keys), dtype=np.int64)
-        live = np.arange(len(keys))
-        for step in range(1, self.levels + 1):
-            live = live[self.probe(keys[live], step)]
-            if len(live) == 0:
-                break
+        live, step = np.arange(len(keys)), 0
+        while len(live):
+            step += 1
+            live = live[levels[live] >= step]
+            for some in (range(2), range(2, HASHES)):
+                one, two = _starts(keys[live], step)
+                bits, at = size[live], start[live]
+                present = np.ones(len(live), dtype=bool)
+                for i in some:
+                    bit = _bit(one, two, i, bits)
+                    byte = self.bits[at + (bit >> np.uint64(3)).view(np.int64)]
+                    present &= (byte >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                live = live[present]
             level[live] = step
-        return np.where(level > 0, _count_at(level, self.least), 0.0)
+        return level
 
 
-def _count_at(level: np.ndarray, least: float) -> np.ndarray:
-    return least * BASE ** (level - 0.5)
+def filter_of(rows: pa.Table, segments: int) -> Filter:
+    """The filter of rows (segment, bits, size, levels)."""
+    at = rows["segment"].to_numpy()
+    parts = [np.frombuffer(b.as_buffer(), dtype=np.uint8) for b in rows["bits"]]
+    start, size, levels = np.zeros(segments, np.int64), np.zeros(segments, np.uint64), np.zeros(segments, np.int64)
+    start[at] = np.cumsum([0, *map(len, parts)])[:-1]
+    size[at] = rows["size"].to_numpy()
+    levels[at] = rows["levels"].to_numpy()
+    return Filter(np.concatenate([np.zeros(0, np.uint8), *parts]), start, size, levels)
 
 
-def _level_of(count: np.ndarray, least: float) -> np.ndarray:
-    return 1 + np.floor(np.log(count / least) / math.log(BASE) + 1e-9).astype(np.int64)
+@dataclass
+class Words:
+    """The words that are broadcast, and their values by place."""
 
+    frequent: np.ndarray  # word hashes in order
+    count: np.ndarray
+    kept: np.ndarray
+    tokens: int
+    distinct: int
 
-def _positions(keys: np.ndarray, level: int, size: int) -> Iterator[np.ndarray]:
-    one = mix(keys + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64)))
-    two = mix(one) | np.uint64(1)
-    for i in range(HASHES):
-        yield (one + np.uint64(i) * two) % np.uint64(size)
+    def log_unigram(self, place: np.ndarray) -> np.ndarray:
+        return np.log10((self.count[place] + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
+
+    def totals(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of histories: total + PRIOR, and what of it is left for the unigram model."""
+        total = np.maximum(self.count[place], self.kept[place]) + PRIOR
+        return total, total - self.kept[place]
 
 
-def build_model(frequent: pa.Table, pairs: pa.Table, tokens: int, distinct: int, least: float) -> Model:
-    """``frequent`` (h, c) and ``pairs`` (pair, c), pair = place of the history * number of words + place of the word."""
-    hashes = frequent["h"].to_numpy().view(np.uint64)
+def words_of(rows: pa.Table, tokens: int, distinct: int) -> Words:
+    """The words of rows (h, c, kept)."""
+    hashes = rows["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    count = frequent["c"].to_numpy()[order].astype(np.float64)
-    keys = pairs["pair"].to_numpy().view(np.uint64)
-    levels = _level_of(pairs["c"].to_numpy().astype(np.float64), least)
-    inserted = int(levels.sum())
-    size = max(64, math.ceil(inserted * HASHES / math.log(2)))
-    bits = np.zeros(size // 8 + 1, dtype=np.uint8)
-    top = int(levels.max(initial=0))
-    for level in range(1, top + 1):
-        for bit in _positions(keys[levels >= level], level, size):
-            np.bitwise_or.at(bits, bit >> np.uint64(3), np.left_shift(1, bit & np.uint64(7)).astype(np.uint8))
-    history = (keys // np.uint64(max(1, len(count)))).astype(np.int64)
-    kept = np.bincount(history, weights=_count_at(levels, least), minlength=len(count))
-    total = np.maximum(count, kept)
-    return Model(
-        frequent=hashes[order],
-        log_unigram=np.log10((count + 0.5) / (tokens + 0.5 * (distinct + 1))),
-        back_off=(total - kept + PRIOR) / (total + PRIOR),
-        total=total + PRIOR,
-        bits=bits,
-        size=size,
-        least=least,
-        levels=top,
-    )
+    return Words(hashes[order], rows["c"].to_numpy()[order], rows["kept"].to_numpy()[order], tokens, distinct)
 
 
-def _scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, held_out, n_tokens, frequent, base, score, rare): sums over frequent words, and the rare words.
+def _scored(words: Words, pairs: Filter | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, held_out, n_tokens, frequent, base, score, rare, ask_h, ask_w, ask_n, ask_q).
 
-    A rare word's own probability is left out of both sums; what it is multiplied by after its history is in.
+    The sums are over frequent words, and over what is known of pairs after them; the rare words are listed. So are the
+    pairs that are left to ask for, once a text with their number: those in the filter with a rare word, with their
+    quantised count, or without a filter all.
     """
-    width = np.uint64(max(1, len(model.frequent)))
     for batch, tokens, starts in _token_runs(batches):
-        place, before = _pairs(tokens, starts, model.frequent)
+        place = _places(tokens, words.frequent)
         known = place >= 0
-        unigram = np.where(known, model.log_unigram[place] if len(model.frequent) else 0.0, 0.0)
-        factor = np.zeros(len(tokens))
-        after = np.flatnonzero(before >= 0)
-        factor[after] = np.log10(model.back_off[before[after]])
-        both = after[known[after]]
-        if model.levels and len(both):
-            keys = before[both].astype(np.uint64) * width + place[both].astype(np.uint64)
+        unigram, factor = np.zeros(len(tokens)), np.zeros(len(tokens))
+        unigram[known] = words.log_unigram(place[known])
+        after = _after(starts)
+        followed = after[known[after - 1]]
+        total, left = words.totals(place[followed - 1])
+        factor[followed] = np.log10(left / total)
+        keys = pair_keys(tokens[after - 1], tokens[after])
+        ask, level = np.ones(len(after), dtype=bool), np.zeros(len(after), dtype=np.int64)
+        if pairs is not None:
             distinct, inverse = np.unique(keys, return_inverse=True)
-            pair = model.counts(distinct)[inverse] / model.total[before[both]]
-            backed = model.back_off[before[both]] * 10.0 ** unigram[both]
-            factor[both] = np.log10(backed + pair) - unigram[both]
+            level = pairs.level(distinct)[inverse]
+            both = (level > 0) & known[after] & known[after - 1]
+            at = after[both]
+            total, left = words.totals(place[at - 1])
+            factor[at] = np.log10((left + _count_at(level[both]) / 10.0 ** unigram[at]) / total)
+            ask = (level > 0) & ~both
+        asked, keys, level = after[ask], keys[ask], level[ask]
+        text = np.searchsorted(starts, asked, side="right") - 1
+        order = np.lexsort((keys, text))
+        asked, keys, text, level = asked[order], keys[order], text[order], level[order]
+        new = np.ones(len(asked), dtype=bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
+        first = np.flatnonzero(new)
+        number = np.diff(np.append(first, len(asked)))
+        ends = pa.array(np.searchsorted(text[first], np.arange(len(batch) + 1)), pa.int32())
+        asked = asked[first]
 
         def sums(values: np.ndarray) -> pa.Array:
             return pa.array(np.add.reduceat(values, starts[:-1]))
 
+        def listed(values: np.ndarray) -> pa.Array:
+            return pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64)))
+
         rare = np.concatenate([[0], np.cumsum(~known)])[starts]
         yield pa.RecordBatch.from_arrays(
             [
@@ -198,23 +344,71 @@ def _scored(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                 sums(unigram),
                 sums(unigram + factor),
                 pa.ListArray.from_arrays(pa.array(rare, pa.int32()), pa.array(tokens[~known].view(np.int64))),
+                listed(tokens[asked - 1]),
+                listed(tokens[asked]),
+                listed(number),
+                pa.ListArray.from_arrays(ends, pa.array(_count_at(level[first]))),
             ],
-            ["doc_id", "held_out", "n_tokens", "frequent", "base", "score", "rare"],
+            ["doc_id", "held_out", "n_tokens", "frequent", "base", "score", "rare", "ask_h", "ask_w", "ask_n", "ask_q"],
         )
 
 
+def _in_filter(pairs: DataFrame, segments: DataFrame, number: int) -> DataFrame:
+    """Rows (h, w, q) of the pairs (h, w) that the filter holds, by one join with its segments."""
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, w = (batch.column(n).to_numpy().view(np.uint64) for n in ("h", "w"))
+            segment = (pair_keys(h, w) % np.uint64(number)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(segment), *batch.columns], ["segment", "h", "w"])
+
+    def probed(rows: pa.Table, held: pa.Table) -> pa.Table:
+        if len(rows) == 0 or len(held) == 0:
+            rows, q = rows.slice(0, 0), np.zeros(0)
+        else:
+            h, w = (rows[n].to_numpy().view(np.uint64) for n in ("h", "w"))
+            level = filter_of(held, number).level(pair_keys(h, w))
+            rows, q = rows.filter(pa.array(level > 0)), _count_at(level[level > 0])
+        return pa.table({"h": rows["h"], "w": rows["w"], "q": pa.array(q)})
+
+    placed_pairs = pairs.mapInArrow(placed, "segment int, h bigint, w bigint").groupBy("segment")
+    return placed_pairs.cogroup(segments.groupBy("segment")).applyInArrow(probed, "h bigint, w bigint, q double")
+
+
+def _with_gain(pairs: DataFrame, words: DataFrame, log_p: Column) -> DataFrame:
+    """Add ``gain``, what a pair of ``q`` adds to the weight of its history."""
+    left = F.greatest("c", "kept") - F.col("kept") + PRIOR
+    pairs = pairs.join(words.select("h", left.alias("left")), "h", "left")
+    pairs = pairs.join(words.select(F.col("h").alias("w"), "c"), "w", "left")
+    weight = F.coalesce("left", F.lit(PRIOR)) * F.pow(F.lit(10.0), log_p)
+    return pairs.withColumn("gain", F.log10(1 + F.col("q") / weight))
+
+
 def held_out(id_column: str) -> Column:
     """Whether a document is kept from training; one without an id is not."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5 == 1, F.lit(False))
 
 
+def _least_count(words: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` words reach; there are fewer counts than the root of twice the tokens."""
+    numbers = words.groupBy("c").count().toArrow().sort_by([("c", "descending")])
+    reached = np.cumsum(numbers["count"].to_numpy())
+    fit = int(np.searchsorted(reached, most, side="right"))
+    return 1 if fit == len(reached) else int(numbers["c"][fit].as_py()) + 1
+
+
 def score_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: float = SHARE
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    most_words: int = MOST_WORDS,
+    filter_bytes: int = FILTER_BYTES,
 ) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one a row of ``docs``.
 
     A null or empty text has its end as its only token. Repeated rows are scored, and counted in training, as often as
-    they come. Without training rows every count is 0. Other columns are not read, whatever their names.
+    they come. Without training rows every count is 0. Other columns are not read, whatever their names. ``most_words``
+    and ``filter_bytes`` say what is broadcast and change no score.
     """
     spark = docs.sparkSession
     texts = docs.select(
@@ -225,38 +419,61 @@ def score_documents(
     counts = staged(counts, "token-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
     tokens, distinct = int(total["tokens"]), int(total["distinct"])
-    least = max(1.0, share * tokens)
-    often = counts.where(F.col("c") >= least).toArrow()  # at most 1 / share rows
-    words = spark.sparkContext.broadcast(np.sort(often["h"].to_numpy().view(np.uint64)))
-
-    def pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def keys() -> Iterator[np.ndarray]:
-            for _, run, starts in _token_runs(batches):
-                place, before = _pairs(run, starts, words.value)
-                both = (place >= 0) & (before >= 0)
-                yield (before[both] * len(words.value) + place[both]).astype(np.uint64)
-
-        yield from _counted(keys(), "pair")
-
-    pairs = training.mapInArrow(pair_counts, "pair bigint, c bigint").groupBy("pair").agg(F.sum("c").alias("c"))
-    model = build_model(often, pairs.where(F.col("c") >= least).toArrow(), tokens, distinct, least)
-    sent = spark.sparkContext.broadcast(vars(model))  # plain arrays, which need no class on the workers
+    number = max(LEAST_SEGMENTS, tokens // SEGMENT_TOKENS)
+    pairs = training.mapInArrow(
+        lambda batches: _pair_counts(batches, number), "segment int, h binary, runs binary, w binary, c binary"
+    )
+    segments = pairs.repartition("segment").sortWithinPartitions("segment").mapInArrow(
+        _segments, "segment int, bits binary, size bigint, levels int, histories array<bigint>, kept array<double>"
+    )
+    segments = staged(segments, "segments")
+    sums = segments.where("segment is null").select(F.explode(F.arrays_zip("histories", "kept")).alias("s"))
+    sums = sums.groupBy(F.col("s.histories").alias("h")).agg(F.sum("s.kept").alias("kept"))
+    words = counts.join(sums, "h", "left").select("h", "c", F.coalesce("kept", F.lit(0.0)).alias("kept"))
+    words = staged(words, "words")
+    least = _least_count(words, most_words)
+    often = words_of(words.where(F.col("c") >= least).toArrow(), tokens, distinct)
+    held = None
+    bits = segments.where("segment is not null").select("segment", "bits", "size", "levels")
+    if (bits.agg(F.sum(F.length("bits"))).first()[0] or 0) <= filter_bytes:
+        held = filter_of(bits.toArrow(), number)
+    sent = spark.sparkContext.broadcast((vars(often), held and vars(held)))  # plain arrays, which need no class on the workers
     kind = texts.schema["doc_id"].dataType.simpleString()
     scored = texts.mapInArrow(
-        lambda batches: _scored(Model(**sent.value), batches),
-        f"doc_id {kind}, held_out boolean, n_tokens bigint, frequent bigint, base double, score double, rare array<bigint>",
+        lambda batches: _scored(Words(**sent.value[0]), sent.value[1] and Filter(**sent.value[1]), batches),
+        f"doc_id {kind}, held_out boolean, n_tokens bigint, frequent bigint, base double, score double,"
+        " rare array<bigint>, ask_h array<bigint>, ask_w array<bigint>, ask_n array<bigint>, ask_q array<double>",
     )
     scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.explode("rare").alias("h")).join(counts.where(F.col("c") < least), "h", "left")
     log_p = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / (tokens + 0.5 * (distinct + 1)))
-    rare = rare.groupBy("row").agg(F.sum(log_p).alias("rare_sum"), F.count("c").alias("rare_known"))
+    weight = F.greatest("c", "kept") + PRIOR
+    back_off = F.when(F.col("h") != int(END.view(np.int64)), F.log10((weight - F.col("kept")) / weight))
+    rare = scored.select("row", F.explode("rare").alias("h")).join(words.where(F.col("c") < least), "h", "left")
+    rare = rare.select("row", log_p.alias("log_p"), "c", F.coalesce(back_off, F.lit(0.0)).alias("back_off"))
+    rare = rare.groupBy("row").agg(
+        F.sum("log_p").alias("rare_sum"), F.count("c").alias("rare_known"), F.sum("back_off").alias("rare_back_off")
+    )
+    asks = ["ask_h", "ask_w", "ask_n", "ask_q"]
+    scored_rows = scored.drop("rare", *asks).join(rare, "row", "left")
+    asked = scored.select("row", F.explode(F.arrays_zip(*asks)).alias("ask"))
+    asked = asked.select("row", *(F.col(f"ask.{name}").alias(name[-1]) for name in asks))
+    gained = F.lit(0.0)
+    if not asked.isEmpty():
+        if held is None:
+            found = _in_filter(asked.select("h", "w").distinct(), bits, number)
+            gains = asked.drop("q").join(_with_gain(found, words, log_p).select("h", "w", "gain"), ["h", "w"])
+        else:
+            gains = _with_gain(asked, words, log_p)
+        gains = gains.groupBy("row").agg(F.sum(F.col("n") * F.col("gain")).alias("gained"))
+        scored_rows = scored_rows.join(gains, "row", "left")
+        gained = F.coalesce("gained", F.lit(0.0))
     rare_sum = F.coalesce("rare_sum", F.lit(0.0))
-    return scored.join(rare, "row", "left").select(
+    return scored_rows.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + rare_sum).alias("base_score"),
-        (F.col("score") + rare_sum).alias("score"),
+        (F.col("score") + rare_sum + F.coalesce("rare_back_off", F.lit(0.0)) + gained).alias("score"),
     )
