@@ -190,6 +190,26 @@ def test_pages_without_an_article(spark):
     assert got[3] == f"{shared}\nown text"
 
 
+def test_undecided_text_of_any_page(spark):
+    """The host's repeats decide beside an article too; copies, quotes on two pages and pages without a host keep theirs."""
+    from wakeline.llm.html_text import main_text
+
+    menu = "All the news of the town and the lake every day of the week"
+    quote = "We shall never again build a bridge of straw over this river"
+    story = "A long story that is told on a page and on its mirror too"
+    own = [f"page {i} has {i} words of its own and {i} more than the one before it" for i in range(12)]
+    rows = [
+        (i, f"https://x.example.org/{i}", f"<div>{menu}</div><article>Teaser {i}</article><p>{own[i]}</p><p>{quote if i < 2 else ''}</p>")
+        for i in range(12)
+    ]
+    rows += [(20 + i, f"https://y.example.org/?ref={i}", f"<nav>{i}</nav><p>{story}</p>") for i in range(6)]
+    rows += [(30 + i, None, f"<p>{story}</p><p>{own[i]}</p>") for i in range(6)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        assert got[i].split("\n") == [f"Teaser {i}", own[i]] + [quote] * (i < 2)
+    assert all(got[20 + i] == story and got[30 + i] == f"{story}\n{own[i]}" for i in range(6))
+
+
 def test_tokens_of_the_library(spark, docs):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     want = {}
