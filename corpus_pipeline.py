@@ -26,8 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that more than 2 % of the documents of their source hold."""
-    dropped = drop_boilerplate(docs, "source")
+    """All documents, without lines that more than 2 % of the documents of their source hold, copies counted once."""
+    dropped = drop_boilerplate(docs, "source", copies=False)
     n_chars = F.when(F.col("_n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
     return dropped.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

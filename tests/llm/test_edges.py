@@ -119,6 +119,19 @@ def test_frequent_lines_of_a_host_go(spark):
     assert [(r.text, r._n_dropped) for r in got if r.source == "other"] == [("menu of all", 0)]
 
 
+def test_groups_of_copies_keep_their_lines(spark):
+    """A third of a source are copies, a third near copies; one line is on half of the other pages."""
+    lines = [f"line {k} of the text that has been copied" for k in range(8)]
+    near = [f"sentence {k} of the text that was copied and changed" for k in range(8)]
+    rows = [(i, "\n".join(lines), "en", "s", 1) for i in range(40)]
+    rows += [(100 + i, "\n".join([*near[: i % 8], f"changed {i}", *near[i % 8 + 1 :]]), "en", "s", 1) for i in range(40)]
+    rows += [(200 + i, f"own text {i} of a page of this source\n" + ("menu of all" if i % 2 else "x"), "en", "s", 1) for i in range(40)]
+    stage = dict(corpus_pipeline.STAGES)["line dedup"]
+    got = {r.doc_id: r.text for r in stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert all(got[r[0]] == r[1] for r in rows if r[0] < 200)
+    assert {got[200 + i] for i in range(1, 40, 2)} == {f"own text {i} of a page of this source" for i in range(1, 40, 2)}
+
+
 def test_stages_on_odd_rows(spark, docs):
     for name, stage in corpus_pipeline.STAGES:
         for frame in (docs, docs.limit(0)):

@@ -3,6 +3,10 @@
 For each host, the pages that hold a line are divided by the pages of the host; lines above the ratio are boilerplate
 and go from all pages of the host. A page counts once for a line, however often it holds it. Lines are compared without
 white space at their ends and with one space for any inside; they are known by 64-bit hashes.
+
+With ``copies`` every row is a page, as the SQL of the query says. Without, copies have one vote: rows of a host with the
+same lines are one page; and of pages that are by more than half, in characters, such frequent lines, those with the same
+smallest one are one page, as near copies are. Else the lines of a large group of copies would go from all of them.
 """
 
 from __future__ import annotations
@@ -28,31 +32,77 @@ def _host(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
-def boilerplate(docs: DataFrame, host_column: str, text_column: str = "text", ratio: float = RATIO) -> DataFrame:
+def boilerplate(
+    docs: DataFrame, host_column: str, text_column: str = "text", ratio: float = RATIO, copies: bool = True
+) -> DataFrame:
     """Rows (host, digest, pages, of_pages) of lines on more than ``ratio`` of the pages of their host."""
     pages = docs.select(_host(host_column).alias("host"), F.col(text_column).alias("text"))
+    if not copies:
+        return _voted(pages, ratio)
     totals = pages.groupBy("host").agg(F.count("*").alias("of_pages"))
     digests = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), _digest), lambda d: d.isNotNull()))
     lines = pages.select("host", F.explode(digests).alias("digest"))
+    return _frequent(lines, totals, ratio)
+
+
+def _frequent(lines: DataFrame, totals: DataFrame, ratio: float) -> DataFrame:
     counts = lines.groupBy("host", "digest").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES)
     return counts.join(totals, "host").where(F.col("pages") > F.col("of_pages") * ratio)
 
 
+def _voted(pages: DataFrame, ratio: float) -> DataFrame:
+    """``boilerplate`` where copies and near copies are one page."""
+    sized = F.transform(F.split("text", "\n"), lambda x: F.struct(_digest(x).alias("digest"), F.length(x).alias("size")))
+    sized = F.filter(sized, lambda x: x["digest"].isNotNull())
+    digests = F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["digest"])))
+    keyed = pages.select("host", sized.alias("lines")).withColumn("page", F.xxhash64(digests))
+    distinct = staged(keyed.groupBy("host", "page").agg(F.first("lines").alias("lines")), "pages")
+
+    def held(rows: DataFrame) -> DataFrame:
+        return rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["digest"]))).alias("digest"))
+
+    totals = distinct.groupBy("host").agg(F.count("*").alias("of_pages"))
+    found = staged(_frequent(held(distinct), totals, ratio).select("host", "digest"), "frequent")
+    hosts = _by_host(found)
+    shared = F.filter("lines", lambda x: F.array_contains("_digests", x["digest"]))
+    judged = distinct.join(hosts, "host", "left").withColumn("shared", F.coalesce(shared, F.array()))
+
+    def size(lines: str) -> Column:
+        return F.aggregate(lines, F.lit(0).cast("bigint"), lambda a, x: a + x["size"])
+
+    least = F.array_min(F.transform("shared", lambda x: x["digest"]))
+    judged = judged.withColumn("voter", F.when(size("shared") * 2 > size("lines"), least)).drop("_digests", "shared")
+    judged = staged(judged, "voters")
+    alone, together = judged.where("voter is null"), judged.where("voter is not null")
+    votes = together.select("host", "voter", F.explode(F.transform("lines", lambda x: x["digest"])).alias("digest"))
+    votes = held(alone).unionByName(votes.distinct().select("host", "digest"))
+    voters = F.count(F.when(F.col("voter").isNull(), 1)) + F.count_distinct("voter")
+    return _frequent(votes, judged.groupBy("host").agg(voters.alias("of_pages")), ratio)
+
+
+def _by_host(found: DataFrame) -> DataFrame:
+    """One array a host of the staged rows (host, digest), marked for broadcast if they are few."""
+    hosts = found.groupBy("host").agg(F.collect_list("digest").alias("_digests"))
+    return F.broadcast(hosts) if found.count() <= BROADCAST_ROWS else hosts
+
+
 def drop_boilerplate(
-    docs: DataFrame, host_column: str = "source", text_column: str = "text", ratio: float = RATIO
+    docs: DataFrame,
+    host_column: str = "source",
+    text_column: str = "text",
+    ratio: float = RATIO,
+    copies: bool = True,
 ) -> DataFrame:
     """``docs`` with boilerplate lines gone from the text, and the columns _n_lines and _n_dropped after its own.
 
     The lines left are joined as they were. A null text stays null; a text of nothing but boilerplate becomes empty.
-    Blank lines stay. Repeated rows are pages each. Pages without a host are a host of their own.
+    Blank lines stay. Repeated rows are pages each, or without ``copies`` one. Pages without a host are a host of their own.
 
     A host has at most 1 / ratio boilerplate lines for each line that its pages have on average. They are one array a
     host; if all arrays hold few lines in all they are broadcast, else joined by host, where Spark splits a large host.
     """
-    found = staged(boilerplate(docs, host_column, text_column, ratio).select("host", "digest"), "boilerplate")
-    hosts = found.groupBy("host").agg(F.collect_list("digest").alias("_digests"))
-    if found.count() <= BROADCAST_ROWS:
-        hosts = F.broadcast(hosts)
+    found = boilerplate(docs, host_column, text_column, ratio, copies).select("host", "digest")
+    hosts = _by_host(staged(found, "boilerplate"))
     names = [f"_in_{i}" for i in range(len(docs.columns))]
     host, text = (names[docs.columns.index(c)] for c in (host_column, text_column))
     joined = docs.toDF(*names).withColumn("_host", _host(host))
