@@ -54,6 +54,17 @@ def streamed(spark, raw, tmp_path_factory):
     return root
 
 
+def test_reports_without_a_channel_are_streamed(spark, raw, tmp_path):
+    root = str(tmp_path)
+    kind = F.expr("CASE WHEN seq % 3 = 0 THEN NULL WHEN seq % 3 = 1 THEN 'BALLOON' ELSE source_type END")
+    written = raw.limit(300).withColumn("source_type", kind)
+    stream = sources.stream_channels(spark, f"{root}/raw")
+    write_channels(written, f"{root}/raw")
+    options = {"path": f"{root}/out", "checkpointLocation": f"{root}/checkpoint"}
+    stream.writeStream.format("parquet").options(**options).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(f"{root}/out").count() == 300
+
+
 @pytest.fixture(scope="module")
 def batch(raw):
     return route(raw), enrich(accept(valid(raw)))

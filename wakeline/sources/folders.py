@@ -17,6 +17,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getFileStatus(target).isDirectory()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it; nothing happens if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of ours; nothing happens if it is not there."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from wakeline.constants import CHANNEL_TOPICS
 from wakeline.schemas import RAW_REPORT
 from wakeline.settings import use_utc
-from wakeline.sources.folders import is_folder
-from wakeline.sources.reports import EVENTS, reports_from_events, union_channels
+from wakeline.sources.folders import is_folder, make_folder
+from wakeline.sources.reports import EVENTS, NO_CHANNEL, reports_from_events, union_channels
 
 
 # Bounds a micro-batch.
@@ -32,10 +32,14 @@ def stream_channels(
     topics: dict[str, str] = CHANNEL_TOPICS,
     files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """All raw channels as one stream. On Kafka this is one ``subscribe`` with three topics."""
-    return union_channels(
-        _files(spark, RAW_REPORT, f"{root}/topic={name}", files_per_trigger) for name in topics.values()
-    )
+    """All raw channels as one stream, with reports without a channel. On Kafka this is one ``subscribe``.
+
+    Folders that are not there yet are made, so that what is written to them later is read.
+    """
+    folders = [f"{root}/topic={name}" for name in (*topics.values(), NO_CHANNEL)]
+    for folder in folders:
+        make_folder(spark, folder)
+    return union_channels(_files(spark, RAW_REPORT, folder, files_per_trigger) for folder in folders)
 
 
 def stream_events(spark: SparkSession, sf_dir: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
