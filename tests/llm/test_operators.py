@@ -167,6 +167,22 @@ def test_entropy_windows(spark):
     assert all(secrets.KINDS[s.kind] != "entropy" for s in got[len(runs) - 1])
 
 
+def test_keys_beside_prefixes_and_placeholders(spark):
+    """A window is judged by its own class, and a placeholder or date takes only the windows that reach into it."""
+    rng = random.Random(7)
+    keys = ["".join(rng.choice("ABCDEF0123456789") for _ in range(32)) for _ in range(50)]
+    keys = [k for k in keys if brute.entropy_span(k, 3.0) == (0, 32)]
+    assert len(keys) > 30
+    prefixes = ["sig=", "X_", "a/b/", "sample", "example=", "xxxx_", "2024-05-06_"]
+    rows = [(i, prefixes[i % len(prefixes)] + k) for i, k in enumerate(keys)]
+    rows += [(1000, "550e8400-e29b-41d4-a716-446655440000"), (1001, "for_the_internationalization_of_words_12"), (1002, "sample1234abcd5678efgh")]
+    got = {r.doc_id: r.spans for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    spans = {i: [(s.start, s.end) for s in got[i] if secrets.KINDS[s.kind] == "entropy"] for i, _ in rows}
+    for i, text in rows[:-3]:
+        assert len(spans[i]) == 1 and spans[i][0][0] <= len(text) - 32 and spans[i][0][1] == len(text), text
+    assert [spans[i] for i in (1000, 1001, 1002)] == [[], [], []]
+
+
 def test_articles(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = QUERIES["op8_html_text"](spark, SF).collect()

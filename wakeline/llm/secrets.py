@@ -1,8 +1,10 @@
 """Secrets in texts: three fixed patterns, and strings of high entropy in a sliding window.
 
-A candidate is a long run of letters, digits and ``+/_=-`` with a digit in it. Its narrowest character class gives the
-threshold. The window's entropy follows from the counts of its characters, of which one goes up and one goes down at
-each step. Candidates on the allow-list are left out. Only rows with a match pay for more than the search.
+A candidate is a long run of letters, digits and ``+/_=-`` with a digit in it. The narrowest character class of a window
+gives its threshold, so that what stands before a key does not change how it is judged. The window's entropy and class
+follow from the counts of its characters, of which one goes up and one goes down at each step. Windows that reach into
+a placeholder or a date, and runs and spans on the allow-list, are left out. Only rows with a match pay for more than
+the search.
 """
 
 from __future__ import annotations
@@ -18,17 +20,21 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Classes from the narrowest: the strings it holds, and the bits a character that a window must reach. Digits alone
-#: never do; 20 characters have 4.32 bits at most.
-CLASSES = ((r"^[0-9]+$", 9.9), (r"^([0-9a-f]+|[0-9A-F]+)$", 3.0), (r"^[A-Za-z0-9]+$", 3.6), (r"^.*$", 3.8))
-#: Strings that look random but are no secrets.
+#: Bits a character that a window must reach, by its narrowest class: hex of one case, letters and digits, any. Digits
+#: alone never do; 20 characters have 4.32 bits at most.
+BITS = {"hex": 3.0, "alnum": 3.6, "any": 3.8}
+#: Whole runs or spans that look random but are no secrets.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",  # UUID
-    r"(?i:example|sample|dummy|placeholder|xxxx)",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",  # date
     r"^[A-Za-z]+([-_/=][A-Za-z]+)*[-_/=]?[0-9]{0,4}$",  # words and at most a number
 )
-_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Parts of runs that no window may reach into, and their lengths.
+MASKED = (
+    *((rf"(?i:{word})", len(word)) for word in ("placeholder", "example", "sample", "dummy", "xxxx")),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", 10),  # date
+)
+_MASK = "~"
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-" + _MASK
 
 
 def _quote(text: str) -> str:
@@ -64,10 +70,15 @@ def _term(count: str) -> str:
     return f"(CASE WHEN {count} > 1 THEN {count} * log2(CAST({count} AS DOUBLE)) ELSE 0D END)"
 
 
-def _window_span(text: str, bits: str) -> str:
-    """SQL for (first, last) of the windows of ``text`` with at least ``bits`` a character; null if there is none.
+#: Groups of places in the alphabet, from 1, whose numbers in the window give its class.
+_GROUPS = {"upper": (1, 26), "lower": (27, 52), "other_hex": (7, 26), "other_low": (33, 52), "signs": (63, 67), "masks": (68, 68)}
+
+
+def _window_span(text: str) -> str:
+    """SQL for (first, last) of the windows of ``text`` that reach the bits of their class; nulls if there is none.
 
-    The state holds the count of each character of the alphabet in the window, and the sum of count * log2(count).
+    The state holds the count of each character of the alphabet in the window, the numbers of the groups of characters,
+    and the sum of count * log2(count).
     """
     size = len(_ALPHABET)
     entering = f"instr('{_ALPHABET}', substr({text}, i + 1, 1))"
@@ -77,25 +88,44 @@ def _window_span(text: str, bits: str) -> str:
         f"CASE WHEN x.up = x.down THEN 0D ELSE {_term(f'({up} + 1)')} - {_term(up)} + "
         f"CASE WHEN x.down = 0 THEN 0D ELSE {_term(f'({down} - 1)')} - {_term(down)} END END"
     )
-    high = f"i >= {WINDOW - 1} AND log2({WINDOW}D) - total / {WINDOW} >= {bits} - 1e-9"
+    groups = ", ".join(
+        f"'{name}', a.{name} + CAST(x.up BETWEEN {lo} AND {hi} AS INT) - CAST(x.down BETWEEN {lo} AND {hi} AS INT)"
+        for name, (lo, hi) in _GROUPS.items()
+    )
+    none = ", ".join(f"'{name}', 0" for name in _GROUPS)
+    bits = (
+        f"CASE WHEN n.signs > 0 THEN {BITS['any']}D WHEN n.upper + n.lower = 0 THEN 9.9D"
+        " WHEN n.other_hex + n.other_low = 0 AND (n.upper = 0 OR n.lower = 0) "
+        f"THEN {BITS['hex']}D ELSE {BITS['alnum']}D END"
+    )
+    high = f"x.i >= {WINDOW - 1} AND n.masks = 0 AND log2({WINDOW}D) - n.total / {WINDOW} >= {bits} - 1e-9"
+    held = ", ".join(f"'{name}', n.{name}" for name in _GROUPS)
     return f"""
         aggregate(transform(sequence(0, length({text}) - 1), i -> named_struct('i', i, 'up', {entering}, 'down', {leaving})),
-          named_struct('counts', array_repeat(0, {size}), 'total', 0D, 'first', CAST(NULL AS INT), 'last', CAST(NULL AS INT)),
-          (a, x) -> aggregate(array(a.total + {change}), a, (b, total) -> named_struct(
+          named_struct('counts', array_repeat(0, {size}), 'total', 0D, {none},
+                       'first', CAST(NULL AS INT), 'last', CAST(NULL AS INT)),
+          (a, x) -> aggregate(array(named_struct('total', a.total + {change}, {groups})), a, (b, n) -> named_struct(
             'counts', transform(a.counts, (c, j) -> c + CASE WHEN j + 1 = x.up THEN 1 ELSE 0 END
                                                       - CASE WHEN j + 1 = x.down THEN 1 ELSE 0 END),
-            'total', total,
-            'first', CASE WHEN a.first IS NULL AND {high.replace('i >=', 'x.i >=')} THEN x.i - {WINDOW - 1} ELSE a.first END,
-            'last', CASE WHEN {high.replace('i >=', 'x.i >=')} THEN x.i + 1 ELSE a.last END)),
+            'total', n.total, {held},
+            'first', CASE WHEN a.first IS NULL AND {high} THEN x.i - {WINDOW - 1} ELSE a.first END,
+            'last', CASE WHEN {high} THEN x.i + 1 ELSE a.last END)),
           a -> named_struct('first', a.first, 'last', a.last))"""
 
 
 def _entropy_spans() -> str:
-    bits = "CASE " + " ".join(f"WHEN m.whole RLIKE {_quote(c)} THEN {b}D" for c, b in CLASSES) + " END"
-    allowed = " OR ".join(f"m.whole RLIKE {_quote(p)}" for p in ALLOWED)
+    def allowed(text: str) -> str:
+        return " OR ".join(f"{text} RLIKE {_quote(p)}" for p in ALLOWED)
+
+    masked = "m.whole"
+    for pattern, length in MASKED:
+        masked = f"regexp_replace({masked}, {_quote(pattern)}, '{_MASK * length}')"
+    found = "substr(s.whole, s.w.first + 1, s.w.last - s.w.first)"
     return f"""CASE WHEN text RLIKE {_quote(RUN)} THEN
-        transform(filter(transform(filter({_matches(RUN, 0)}, m -> NOT ({allowed})),
-            m -> named_struct('start', m.start, 'w', {_window_span('m.whole', bits)})), s -> s.w.first IS NOT NULL),
+        transform(filter(transform(transform(filter({_matches(RUN, 0)}, m -> NOT ({allowed('m.whole')})),
+            m -> named_struct('start', m.start, 'whole', m.whole, 'masked', {masked})),
+            m -> named_struct('start', m.start, 'whole', m.whole, 'w', {_window_span('m.masked')})),
+            s -> s.w.first IS NOT NULL AND NOT ({allowed(found)})),
           s -> named_struct('start', s.start + s.w.first, 'kind', {KINDS.index('entropy')}, 'end', s.start + s.w.last))
         ELSE CAST(array() AS array<struct<start:int,kind:int,end:int>>) END"""
 
