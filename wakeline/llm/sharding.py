@@ -1,8 +1,9 @@
 """Sharding by proportional stratified interleaving.
 
 Each source's rows are shuffled by a seeded hash and ranked; rank / rows of the source places them between 0 and 1.
-Sorted by that place, all sources run side by side in the mixture's proportion, so equal cuts are shards of the same
-mixture, at most one row apart.
+Each source's places are shifted round the circle by a seeded hash of the source, so that many sources of few rows are
+spread too. Sorted by place, all sources run side by side in the mixture's proportion, so equal cuts are shards of the
+same mixture.
 
 Ranks over a source, or over everything, are offsets of small ranges plus ranks within a range. The ranges are cut by
 the hash and by the place, both spread evenly, so a range holds some thousand rows whatever the size of a source.
@@ -45,8 +46,8 @@ def interleaved(
     """Rows (doc_id, source, size, text_crc32, shard, slot), one a row of ``docs``.
 
     ``size`` is the text's bytes and 16. A null text has no bytes. Rows without a source are a source of their own.
-    Rows that repeat an id get places side by side; rows equal in all that is read are interchangeable. With fewer
-    rows than shards some shards are empty. Other columns are not read, whatever their names.
+    Rows that repeat an id, or have none, are placed by their text too; rows equal in all that is read have places side
+    by side and are interchangeable. With fewer rows than shards some shards are empty. Other columns are not read, whatever their names.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(
@@ -54,14 +55,17 @@ def interleaved(
         F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit("")).alias("stratum"),
         (F.octet_length(text) + BYTES_A_ROW).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_column)), 1).alias("draw"),
     )
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"), 1)
+    rows = rows.withColumn("draw", draw)
     rows = staged(rows, "shard-rows")
     total = rows.count()
     bits = max(0, math.ceil(math.log2(max(1, total) / RANGE_ROWS)))
     rows = rows.withColumn("drawn", F.shiftright("draw", 63 - bits) if bits else F.lit(0).cast("bigint"))
     ranked = _with_rank(rows, ["stratum"], "drawn", list(_TIES), "rank")
-    place = (F.col("rank") * 2 + 1) / (F.col("rank_of") * 2)
+    shift = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "stratum"), 11) / float(1 << 53)
+    place = (F.col("rank") * 2 + 1) / (F.col("rank_of") * 2) + shift
+    place = place - F.floor(place)
     placed = ranked.withColumn("place", place).withColumn("part", F.floor(F.col("place") * (1 << bits)))
     placed = staged(placed.drop("drawn", "rank", "rank_of"), "shard-places")
     every = placed.withColumn("all", F.lit(0))
