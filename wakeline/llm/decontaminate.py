@@ -24,6 +24,11 @@ def _words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"{_OTHER}+"))
 
 
+def _folded(text: Column) -> Column:
+    """All letters lowered, each the same wherever it stands: a capital sigma alone lowers by what is around it."""
+    return F.lower(F.replace(text, F.lit("Σ"), F.lit("σ")))
+
+
 def _windows(words: str, width: int) -> str:
     """SQL for all windows of so many words, as texts, in order."""
     return (
@@ -35,7 +40,7 @@ def _windows(words: str, width: int) -> str:
 def _fingerprints(words: str, lengths: list[int]) -> Column:
     """Winnowed hashes, and for items of fewer words than a window the hashes of all windows of their lengths.
 
-    Lowering all letters, not A-Z alone, makes no two equal windows differ, so that none is missed.
+    The words may be folded further than A-Z, as long as a word folds alike in every text: equal windows stay equal.
     """
     span = WINDOW - GRAM + 1
     grams = f"transform(sequence(1, size({words}) - {GRAM - 1}), i -> xxhash64(slice({words}, i, {GRAM})))"
@@ -84,12 +89,12 @@ def contamination(
     windows = staged(_item_windows(items.where("item_id is not null")), "windows")
     lengths = sorted(r["width"] for r in windows.where(F.col("width") < WINDOW).select("width").distinct().collect())
     tests = windows.select(F.split("win", " ").alias("words"))
-    lowered = F.transform("words", F.lower)
+    lowered = F.transform("words", _folded)
     tests = staged(
         tests.select(lowered.alias("words")).select(F.explode(_fingerprints("words", lengths)).alias("fp")).distinct(),
         "fingerprints",
     )
-    trained = texts.select("row", _words(F.lower("text")).alias("words"))
+    trained = texts.select("row", _words(_folded(F.col("text"))).alias("words"))
     trained = trained.select(
         "row", F.size("words").cast("bigint").alias("n_words"), _fingerprints("words", lengths).alias("fps")
     )
