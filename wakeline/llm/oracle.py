@@ -109,3 +109,83 @@ SELECT doc_id, kept AS text, CAST(coalesce(u, 0) AS BIGINT) AS n_units, CAST(coa
   coalesce(spans, '') AS removed_spans
 FROM documents LEFT JOIN rebuilt USING (doc_id)
 """
+
+ORACLE["op12_importance"] = r"""
+WITH bits AS (
+  SELECT list(c ORDER BY b) AS table_of FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i:
+      CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) AS r(b))),
+texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 'b', NULL, NULL, text FROM benchmark),
+worded AS (
+  SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+used AS (SELECT kind, r, unnest(w) AS word FROM worded),
+counted AS (SELECT word, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM used GROUP BY word),
+bytes AS (
+  SELECT word, s, t, hex(encode(word)) AS h FROM counted),
+bucketed AS (
+  SELECT word, s, t, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i:
+      CAST(16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1 AS BIGINT))),
+    lambda c, b: xor(c // 256, table_of[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, bits),
+shares AS (
+  SELECT bucket, CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM bucketed GROUP BY bucket),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM shares),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM shares, totals),
+sums AS (
+  SELECT r, sum(gain) AS total FROM used JOIN bucketed USING (word) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features,
+    CASE WHEN len(w) = 0 THEN 0 ELSE CAST(floor(CAST(total AS DOUBLE) / len(w)) AS BIGINT) END AS weight,
+    CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) AS h
+  FROM worded LEFT JOIN sums USING (r) WHERE kind = 'd'),
+judged AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score, n_features >= 20 AS fit
+  FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id, n_features) AS place,
+    count(*) FILTER (fit) OVER () AS n FROM judged)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 10 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+ORACLE["op13_filter_audit"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+known AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM docs LEFT JOIN known USING (doc_id)),
+counters AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, i AS step, filter_order[i] AS f, CAST(pow(2, ascii(filter_order[i]) - 65) AS INT) AS own,
+    CAST(list_sum(list_transform(range(1, i), lambda j: pow(2, ascii(filter_order[j]) - 65))) AS INT) AS prior
+  FROM orders, range(1, 6) AS r(i)),
+ran AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, f,
+    sum(CASE WHEN mask & (own | coalesce(prior, 0)) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & own > 0 AND mask & coalesce(prior, 0) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counters, steps GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM ran
+"""

@@ -103,6 +103,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.quality_knn import quality_scores
+
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.importance import draw, importance_scores
+
+    scored = importance_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return draw(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wakeline.llm.filter_audit import filter_audit, part_counters
+
+    labels = read(spark, sf_dir, "labels")
+    return filter_audit(part_counters(spark, table_path(sf_dir, "documents"), labels))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_decontaminate": op2_decontaminate,
@@ -114,4 +134,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_quality": op11_quality,
+    "op12_importance": op12_importance,
+    "op13_filter_audit": op13_filter_audit,
 }
