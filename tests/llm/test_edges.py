@@ -1,5 +1,8 @@
 """Nulls, empty and very long texts, ties and repeated rows, empty tables, and columns whose names clash."""
 
+import random
+
+import brute
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +90,25 @@ def test_empty_table(docs, items, name):
     assert OPERATORS[name](docs.limit(0), items).collect() == []
 
 
+def test_contamination_folds_words_alike(spark):
+    """Letters beyond ASCII that lower by what is around them, and by which marks part them."""
+    rng = random.Random(11)
+    words = ["ΟΔΟΣ", "οδοσ", "ΝΕΑ", "İstanbul", "ſet", "Straße", "ΣΑΣ", "É", "x9", "KELVIN", "\u212aelvin", "ǅ"]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([3, 10, 14])))) for i in range(25)]
+    texts = []
+    for i in range(150):
+        body = items[i % 25][1] if i % 2 else " ".join(rng.choice(words) for _ in range(12))
+        texts.append((i, "ab " + rng.choice(["'", ".", " ", "-", "\n"]).join(body.split()) + rng.choice(["'s", ".", "Σ"])))
+    got = contamination(
+        spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    want = {d: brute.contamination(t, items) for d, t in texts}
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in got.collect()} == {
+        d: (n, hit, len(ids)) for d, (n, hit, ids) in want.items()
+    }
+    assert sum(hit > 0 for _, hit, _ in want.values()) > 50
+
+
 def test_defined_results(docs, items):
     groups = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_groups(docs).collect()]
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (5, 59996, 4), (4, 59996, 4), (8, 1, 8)} <= set(groups)
