@@ -119,12 +119,12 @@ def test_cold_tier_keeps_leading_zeros_and_other_dates(spark, tmp_path):
     assert tiers.scan_cold(spark, root, "2024-03-15").count() == 1
 
 
-def test_cold_merge_is_last_write_wins_and_idempotent(spark, tmp_path):
+def test_cold_tier_is_last_write_wins_and_idempotent(spark, tmp_path):
     root = str(tmp_path / "cold")
     first = reports(spark, {"speed": 1.0}, {"mmsi": "222222222"})
     again = reports(spark, {"speed": 2.0, "ingest_ms": 1_710_500_060_000})
     for step, rows in enumerate([first, again, again]):
-        tiers.merge_cold(spark, tiers.as_cold(enrich(rows)), root, str(tmp_path / f"work{step}"))
+        tiers.append_cold(tiers.as_cold(enrich(rows)), root, step)
     kept = {r["vesselEvent"]["mmsi"]: r["vesselEvent"]["speed"] for r in tiers.scan_cold(spark, root).collect()}
     assert kept == {"123456789": 2.0, "222222222": 10.0}
 
@@ -147,14 +147,17 @@ def test_tiers_keep_the_report_and_its_flags_in_any_order(spark, tmp_path, repor
     steps = [base, dark] if report_first else [dark, base]
     hot = None
     for n, step in enumerate([*steps, *steps]):  # and once more, as a replay would
-        tiers.merge_cold(spark, tiers.as_cold(step), str(tmp_path / "cold"), str(tmp_path / f"work{n}"))
+        tiers.append_cold(tiers.as_cold(step), str(tmp_path / "cold"), n)
+        tiers.upsert_hot(step, str(tmp_path / "hot"), n)
         hot = tiers.merge_hot(step, hot)
     row = tiers.scan_cold(spark, str(tmp_path / "cold")).collect()
     assert [(r["darkVessel"], r["vesselEvent"]["heading"], r["vesselEvent"]["sourceType"]) for r in row] == [
         (True, 90.0, "TERRESTRIAL")]
-    latest = hot.withColumn("record", tiers.read_payload(F.col("payload"))).collect()
-    assert [(r["dark_vessel"], r["record"]["darkVessel"], r["record"]["vesselEvent"]["heading"]) for r in latest] == [
-        (True, True, 90.0)]
+    for latest in (hot, tiers.read_hot(spark, str(tmp_path / "hot")), tiers.lookup_hot(spark, str(tmp_path / "hot"), "123456789")):
+        latest = latest.withColumn("record", tiers.read_payload(F.col("payload"))).collect()
+        assert [(r["dark_vessel"], r["record"]["darkVessel"], r["record"]["vesselEvent"]["heading"]) for r in latest] == [
+            (True, True, 90.0)]
+    assert tiers.lookup_hot(spark, str(tmp_path / "hot"), "999999999").count() == 0
 
 
 # --- Avro-JSON, dead letters, channels ---

@@ -10,6 +10,7 @@ from rows import reports
 from wakeline import constants as C
 from wakeline.operators import detect
 from wakeline.operators.crossings import hex_crossings
+from wakeline.operators import dedup
 from wakeline.operators.dedup import accept, route
 from wakeline.operators.enrich import enrich, enrich_crossings
 from wakeline.operators.neighbours import run_start, with_neighbours
@@ -79,6 +80,22 @@ def test_random_copies_match_the_sequential_rule(spark):
     assert _seqs(accept(reports(spark, *changes), ttl_ms=1_000)) == expected
 
 
+def test_two_thousand_windows_take_few_rounds(spark, monkeypatch):
+    """A chain of windows of one key, with gaps of some steps, next to keys of one window."""
+    rng, at, times = random.Random(3), 0, []
+    for _ in range(2_000):
+        at += 10 + rng.choice([0, 0, 3, 9, 25])
+        times += [at, at + 4, at + 9]
+    rounds = []
+    stage = dedup.stage
+    monkeypatch.setattr(dedup, "stage", lambda frame, name: rounds.append(name) or stage(frame, name))
+    frame = reports(spark, *[{"ingest_ms": T0 + t} for t in times], {"mmsi": "222222222"}, {"mmsi": "222222222"})
+    expected = _greedy([(t, i) for i, t in enumerate(times)], 10)
+    assert len(expected) >= 2_000
+    assert _seqs(accept(frame, ttl_ms=10)) == sorted([*expected, len(times)])
+    assert rounds.count("window-openings") <= 13
+
+
 def test_route_sends_each_report_one_way(spark):
     frame = reports(spark, {}, {"ingest_ms": T0 + 3_000}, {"speed": -1.0}, {"mmsi": "bad"})
     routed = route(frame)

@@ -476,8 +476,10 @@ def hot_state(spark, sf_dir):
 
 @query
 def hot_lookup(spark, sf_dir):
-    """Point lookup of one vessel in the hot table."""
-    return tiers.lookup(tiers.hot_table(_flagged(spark, sf_dir)), "200000007").select(*_HOT)
+    """Point lookup of one vessel in a stored hot tier, of which it reads one bucket."""
+    root = new_folder(spark, "hot")
+    tiers.upsert_hot(_flagged(spark, sf_dir), root, 0)
+    return tiers.lookup_hot(spark, root, "200000007").select(*_HOT)
 
 
 @query

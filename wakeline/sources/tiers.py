@@ -8,7 +8,7 @@ from pyspark.sql.types import BooleanType, DateType, LongType, StructField, Stru
 
 from wakeline.schemas import ENRICHED_EVENT, nested_event, to_nested
 from wakeline.functions.labels import with_date
-from wakeline.sources.folders import path_exists
+from wakeline.sources import segments
 
 FLAGS = ("loitering", "dark_vessel", "speed_anomaly")
 COLD_FLAGS = ("loitering", "darkVessel", "speedAnomaly")
@@ -85,28 +85,23 @@ def write_cold(cold: DataFrame, root: str, fmt: str = "parquet") -> None:
 def scan_cold(spark: SparkSession, root: str, *dates: str, fmt: str = "parquet") -> DataFrame:
     """The cold tier, or only the given dates of it (partition pruning).
 
-    The table root is read with a fixed schema, so ``date`` is a column and MMSI stays text.
+    A tier written by dates is read as it lies, with a fixed schema, so ``date`` is a column and MMSI stays text. Of one
+    grown by ``append_cold`` the copies of a report are folded on reading.
     """
-    table = spark.read.schema(COLD).format(fmt).load(root)
+    grown = segments.version(spark, root) is not None
+    table = segments.read(spark, root) if grown else spark.read.schema(COLD).format(fmt).load(root)
     if dates:
         table = table.where(F.col("date").isin([F.lit(d).cast("date") for d in dates]))
-    return table
+    return latest_copy(table) if grown else table
 
 
-def merge_cold(spark: SparkSession, incoming: DataFrame, root: str, work: str) -> None:
-    """Fold new cold rows into the tier; replays of the same rows change nothing.
+def append_cold(cold: DataFrame, root: str, number: int) -> None:
+    """Add cold rows as one new segment by date; no date that is there is touched, and no copy looked up.
 
-    Only the dates touched are read and rewritten. The merged rows are written to ``work`` first,
-    because a partition cannot be overwritten while it is being read.
+    Copies of a report that come in different segments are folded when the tier is read, and for good when segments are
+    folded into larger ones. The same number again changes nothing.
     """
-    dates = [r["date"].isoformat() for r in incoming.select("date").distinct().collect()]
-    if not dates:
-        return
-    merged = incoming
-    if path_exists(spark, root):
-        merged = scan_cold(spark, root, *dates).unionByName(incoming)
-    latest_copy(merged).write.mode("overwrite").parquet(work)
-    write_cold(spark.read.schema(COLD).parquet(work), root)
+    segments.append(latest_copy(cold).select(*COLD.names), root, number, "date", fold=latest_copy)
 
 
 # --- hot tier ---
@@ -202,6 +197,41 @@ def merge_hot(incoming: DataFrame, current: DataFrame | None = None) -> DataFram
     return state.withColumn("payload", payload())
 
 
+#: Parts of a stored hot tier, by digest of the vessel. A lookup reads one of them.
+HOT_BUCKETS = 64
+
+
+def _bucket(mmsi: Column) -> Column:
+    return F.pmod(F.xxhash64(mmsi), F.lit(HOT_BUCKETS)).cast("int").alias("bucket")
+
+
+def _states(rows: DataFrame) -> DataFrame:
+    return hot_state(rows).select(*_STATE_COLUMNS, _bucket(F.col("mmsi"))).sortWithinPartitions("bucket", "mmsi")
+
+
+def upsert_hot(incoming: DataFrame, root: str, number: int) -> None:
+    """Add the latest states that enriched rows or detections bring, as one new segment in buckets by vessel.
+
+    Only the vessels that come are written, and none is read. The same number again changes nothing.
+    """
+    rows = _states(_with_rebuilt(incoming).select(*_STATE_COLUMNS))
+    segments.append(rows, root, number, "bucket", fold=_states)
+
+
+def read_hot(spark: SparkSession, root: str) -> DataFrame:
+    """The stored hot tier: the latest state of every vessel over all segments, with its payload."""
+    state = hot_state(segments.read(spark, root).drop("bucket")).withColumn("payload", payload())
+    return state.select(*HOT_COLUMNS, "seq", "ingest_ms")
+
+
+def lookup_hot(spark: SparkSession, root: str, mmsi: str) -> DataFrame:
+    """The state of one vessel; an empty frame when it is unknown. Files of other buckets are not opened."""
+    rows = segments.read(spark, root)
+    rows = rows.where((F.col("bucket") == _bucket(F.lit(mmsi))) & (F.col("mmsi") == mmsi))
+    state = hot_state(rows.drop("bucket")).withColumn("payload", payload())
+    return state.select(*HOT_COLUMNS, "seq", "ingest_ms")
+
+
 def lookup(hot: DataFrame, mmsi: str) -> DataFrame:
-    """The state of one vessel; an empty frame when it is unknown."""
+    """The state of one vessel in a frame of states; an empty frame when it is unknown."""
     return hot.where(F.col("mmsi") == mmsi)

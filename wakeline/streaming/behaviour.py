@@ -16,11 +16,18 @@ from wakeline import constants as C
 from wakeline.functions.hexgrid import hex_cell
 from wakeline.operators import detect
 from wakeline.operators.neighbours import SLICE_MS, with_neighbours
-from wakeline.streaming.tables import EPOCH, get, put
+from wakeline.streaming.tables import EPOCH, newest_rows, recall, remember
 
 REPORT = ["mmsi", "ts_ms", "ingest_ms", "seq"]
 _GONE = "_gone"
-_SLICES = StructType([StructField("mmsi", StringType()), StructField("slice", LongType())])
+
+
+def _listed_once(slices: DataFrame) -> DataFrame:
+    return slices.groupBy("mmsi", "slice").agg(F.max(EPOCH).alias(EPOCH))
+
+
+#: Folds the versions of reports to the last one of each.
+last_versions = newest_rows(*REPORT)
 
 
 def with_withdrawn(enriched: DataFrame, withdrawn: DataFrame | None) -> DataFrame:
@@ -45,10 +52,11 @@ def context(batch: DataFrame, epoch: int, root: str) -> DataFrame:
     rows = batch.where("mmsi IS NOT NULL AND ts_ms IS NOT NULL").withColumns(
         {"slice": F.floor(F.col("ts_ms") / SLICE_MS), "date": F.to_date(F.timestamp_millis("ts_ms"))}
     )
-    put(rows, root, "history", epoch, "date")
-    history = get(spark, root, "history", rows.schema, upto=epoch)
-    put(history.where(F.col(EPOCH) == epoch).select("mmsi", "slice").distinct(), root, "slices", epoch)
-    listed = get(spark, root, "slices", _SLICES, upto=epoch)
+    remember(rows, root, "history", epoch, "date")
+    history = recall(spark, root, "history", upto=epoch)
+    fresh = history.where(F.col(EPOCH) == epoch).select("mmsi", "slice").distinct()
+    remember(fresh, root, "slices", epoch, fold=_listed_once)
+    listed = recall(spark, root, "slices", upto=epoch)
     touched = listed.where(F.col(EPOCH) == epoch).select("mmsi", "slice", F.lit(True).alias("_touched"))
     vessels = listed.join(touched.select("mmsi").distinct(), "mmsi", "left_semi").select("mmsi", "slice").distinct()
     # One row a vessel and hour.
@@ -90,14 +98,14 @@ def _latest(versions: DataFrame, root: str) -> DataFrame:
 def _history(spark: SparkSession, root: str) -> DataFrame:
     fields = [StructField("mmsi", StringType()), *(StructField(n, LongType()) for n in REPORT[1:])]
     more = [StructField(_GONE, BooleanType()), StructField("routed_in", IntegerType())]
-    return get(spark, root, "history", StructType([*fields, *more]))
+    return recall(spark, root, "history", StructType([*fields, *more]))
 
 
 def flagged_table(
     spark: SparkSession, root: str, as_of_ms: int | None = None, limit_ms: int = C.SILENCE_MS
 ) -> DataFrame:
     """All reports with their three flags as they stand; the clock of open silences is the last arrival."""
-    rows = _latest(get(spark, root, "flags"), root)
+    rows = _latest(recall(spark, root, "flags"), root)
     clock = rows.agg(F.max("ingest_ms")).first()[0] if as_of_ms is None else as_of_ms
     silence = F.expr(f"coalesce(after_ms, {0 if clock is None else int(clock)}L) - ts_ms")
     return rows.withColumn("silence_ms", silence).withColumn("dark_vessel", F.expr(f"silence_ms > {int(limit_ms)}L"))
@@ -140,4 +148,4 @@ def crossings(batch: DataFrame, epoch: int, root: str, cell_fn: Callable[[str, s
 
 def crossings_table(spark: SparkSession, root: str) -> DataFrame:
     """All crossings as they stand."""
-    return _latest(get(spark, root, "crossings"), root).where("from_cell <> to_cell")
+    return _latest(recall(spark, root, "crossings"), root).where("from_cell <> to_cell")

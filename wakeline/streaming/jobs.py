@@ -11,18 +11,15 @@ from wakeline import constants as C
 from wakeline.operators.enrich import enrich, enrich_crossings
 from wakeline.sources import tiers
 from wakeline.sources.avro_json import parse_lines
-from wakeline.sources.folders import drop_path, path_exists
-from wakeline.streaming.behaviour import crossings, judge, raised, with_withdrawn
+from wakeline.streaming.behaviour import crossings, judge, last_versions, raised, with_withdrawn
 from wakeline.streaming.routing import route_batch
-from wakeline.streaming.tables import EPOCH, get, put
+from wakeline.streaming.tables import EPOCH, newest_rows, own, put, recall, remember
 
-#: Versions of the hot tier that stay, so that a replayed micro-batch finds the one before it.
-KEPT_VERSIONS = 3
 _CLOCK = StructType([StructField("clock_ms", LongType())])
 
 
-def _epoch_folder(root: str, epoch: int) -> str:
-    return f"{root}/batch-{epoch}"
+def _furthest(clocks: DataFrame) -> DataFrame:
+    return clocks.agg(F.max("clock_ms").alias("clock_ms"), F.max(EPOCH).alias(EPOCH))
 
 
 def _start(
@@ -63,8 +60,7 @@ def start_lines(lines: DataFrame, root: str, *, line: str = "line", available_no
     """
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        put(batch, root, "lines", epoch)
-        parsed = parse_lines(get(batch.sparkSession, root, "lines", batch.schema, upto=epoch).where(F.col(EPOCH) == epoch))
+        parsed = parse_lines(own(batch, root, "lines", epoch))
         put(parsed.where("dead").select(*batch.columns), root, "dead-letter", epoch)
         put(parsed.where("NOT dead").select("record.*"), root, "records", epoch)
 
@@ -87,17 +83,15 @@ def start_detection(
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        put(judge(batch, epoch, root), root, "flags", epoch)
-        versions = get(spark, root, "flags", upto=epoch)
-        told = versions.where(F.col(EPOCH) == epoch).drop(EPOCH)
-        put(told.where("after_ms IS NULL"), root, "open", epoch)
-        before = get(spark, root, "clock", _CLOCK, upto=epoch - 1).agg(F.max("clock_ms")).first()[0]
+        remember(judge(batch, epoch, root), root, "flags", epoch, fold=last_versions)
+        told = recall(spark, root, "flags", upto=epoch).where(F.col(EPOCH) == epoch).drop(EPOCH)
+        remember(told.where("after_ms IS NULL"), root, "open", epoch, fold=newest_rows("mmsi"))
+        before = recall(spark, root, "clock", _CLOCK, upto=epoch - 1).agg(F.max("clock_ms")).first()[0]
         seen = told.agg(F.max("ingest_ms")).first()[0]
         clock = max((c for c in (before, seen) if c is not None), default=0)
-        put(spark.createDataFrame([(clock,)], _CLOCK), root, "clock", epoch)
-        opened = get(spark, root, "open", told.schema, upto=epoch)
-        last = opened.groupBy("mmsi").agg(F.max(EPOCH).alias(EPOCH))
-        opened = opened.join(last, ["mmsi", EPOCH]).where(F.col(EPOCH) < epoch).drop(EPOCH)
+        remember(spark.createDataFrame([(clock,)], _CLOCK), root, "clock", epoch, fold=_furthest)
+        opened = newest_rows("mmsi")(recall(spark, root, "open", upto=epoch))
+        opened = opened.where(F.col(EPOCH) < epoch).drop(EPOCH)
         due = f"{clock} - ts_ms > {limit_ms} AND {clock if before is None else before} - ts_ms <= {limit_ms}"
         put(raised(told, opened.where(due), clock, limit_ms), root, "detections", epoch)
 
@@ -121,7 +115,7 @@ def start_crossings(
 
     def sink(batch: DataFrame, epoch: int) -> None:
         entered = enrich_crossings(crossings(batch, epoch, f"{root}/moves"), zones, ports)
-        put(entered, f"{root}/moves", "crossings", epoch)
+        remember(entered, f"{root}/moves", "crossings", epoch, fold=last_versions)
 
     return _start(with_withdrawn(enriched, withdrawn), f"{root}/checkpoints/crossings", sink, available_now)
 
@@ -137,17 +131,13 @@ def _reports_and_detections(enriched: DataFrame, detections: DataFrame | None) -
 def start_cold_tier(
     enriched: DataFrame, root: str, *, detections: DataFrame | None = None, available_now: bool = True
 ) -> StreamingQuery:
-    """Enriched reports and detections into the cold tier; only the dates touched are rewritten.
+    """Enriched reports and detections into the cold tier ``root/cold``; a micro-batch adds to it and rewrites no date.
 
-    Whichever of a report and its detection comes first, the tier ends with the report and its flags.
+    Whichever of a report and its detection comes first, ``tiers.scan_cold`` gives the report and its flags.
     """
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        incoming = tiers.as_cold(batch).persist()
-        tiers.merge_cold(spark, incoming, f"{root}/cold", f"{root}/cold-work/batch-{epoch}")
-        incoming.unpersist()
-        drop_path(spark, f"{root}/cold-work/batch-{epoch}")
+        tiers.append_cold(tiers.as_cold(batch), f"{root}/cold", epoch)
 
     return _start(_reports_and_detections(enriched, detections), f"{root}/checkpoints/cold", sink, available_now)
 
@@ -155,18 +145,13 @@ def start_cold_tier(
 def start_hot_tier(
     enriched: DataFrame, root: str, *, detections: DataFrame | None = None, available_now: bool = True
 ) -> StreamingQuery:
-    """Enriched reports and detections into the hot tier: ``root/hot/batch-N`` after micro-batch N.
+    """Enriched reports and detections into the hot tier ``root/hot``; a micro-batch writes its own vessels alone.
 
-    The versions before the last two are removed. A missing earlier version is an error: going on would forget vessels.
+    ``tiers.read_hot`` and ``tiers.lookup_hot`` read it. A missing earlier version is an error: going on would forget
+    vessels.
     """
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        earlier = _epoch_folder(f"{root}/hot", epoch - 1)
-        if epoch and not path_exists(spark, earlier):
-            raise FileNotFoundError(f"the hot tier lacks {earlier}")
-        current = spark.read.parquet(earlier) if epoch else None
-        tiers.merge_hot(batch, current).write.mode("overwrite").parquet(_epoch_folder(f"{root}/hot", epoch))
-        drop_path(spark, _epoch_folder(f"{root}/hot", epoch - KEPT_VERSIONS))
+        tiers.upsert_hot(batch, f"{root}/hot", epoch)
 
     return _start(_reports_and_detections(enriched, detections), f"{root}/checkpoints/hot", sink, available_now)

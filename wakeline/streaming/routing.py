@@ -13,7 +13,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from wakeline import constants as C
 from wakeline.operators.dedup import ARRIVAL, KEY, accept
 from wakeline.operators.validate import check, explain_reason
-from wakeline.streaming.tables import EPOCH, get, put
+from wakeline.streaming.tables import EPOCH, get, own, put, recall, remember
 
 #: Names one delivered row: the micro-batch that brought it, and its number there.
 DELIVERY = ["delivered_in", "delivery"]
@@ -29,6 +29,11 @@ WITHDRAWN = StructType(
         StructField("routed_in", IntegerType()),
     ]
 )
+_NEWEST = StructType([StructField("ingest_ms", LongType())])
+
+
+def _greatest(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.max("ingest_ms").alias("ingest_ms"), F.max(EPOCH).alias(EPOCH))
 
 
 def _routes(copies: DataFrame, ttl_ms: int) -> DataFrame:
@@ -52,7 +57,7 @@ def route_batch(
     spark = batch.sparkSession
     checked = check(batch)
     if lateness_ms is not None:
-        newest = get(spark, root, "arrivals", checked.schema, upto=epoch - 1).agg(F.max("ingest_ms")).first()[0]
+        newest = recall(spark, root, "newest", _NEWEST, upto=epoch - 1).agg(F.max("ingest_ms")).first()[0]
         if newest is not None:
             late = f"CASE WHEN ingest_ms < {newest - lateness_ms}L THEN '{C.REASON_LATE}' END"
             checked = checked.withColumn("reason_code", F.expr(f"coalesce(reason_code, {late})"))
@@ -63,12 +68,14 @@ def route_batch(
             "date": F.to_date(F.timestamp_millis("ts_ms")),
         }
     )
-    put(arrived, root, "arrivals", epoch, "date")
-    known = get(spark, root, "arrivals", arrived.schema, upto=epoch)
-    fresh = known.where(F.col(EPOCH) == epoch).drop(EPOCH)
+    fresh = own(arrived, root, "delivered", epoch)
+    remember(fresh.where("reason_code IS NULL"), root, "arrivals", epoch, "date")
+    known = recall(spark, root, "arrivals", upto=epoch)
+    if lateness_ms is not None:
+        remember(fresh.agg(F.max("ingest_ms").alias("ingest_ms")), root, "newest", epoch, fold=_greatest)
     valid = fresh.where("reason_code IS NULL")
     dates = [r["date"] for r in valid.select("date").distinct().collect()]
-    earlier = known.where((F.col(EPOCH) < epoch) & F.col("date").isin(dates) & F.col("reason_code").isNull())
+    earlier = known.where((F.col(EPOCH) < epoch) & F.col("date").isin(dates))
     earlier = earlier.drop(EPOCH).join(valid.select(*KEY).distinct(), KEY, "left_semi").select(*fresh.columns)
     after = _routes(valid.unionByName(earlier), ttl_ms)
     before = _routes(earlier, ttl_ms).withColumnRenamed("accepted", "was_accepted")
