@@ -10,7 +10,7 @@ from rows import reports
 from wakeline import constants as C
 from wakeline.operators import detect
 from wakeline.operators.crossings import hex_crossings
-from wakeline.operators import dedup
+from wakeline.operators import dedup, ports
 from wakeline.operators.dedup import accept, route
 from wakeline.operators.enrich import enrich, enrich_crossings
 from wakeline.operators.neighbours import run_start, with_neighbours
@@ -191,23 +191,47 @@ def test_port_table_matches_brute_force(spark, limit):
     rng = random.Random(5)
     places = [(rng.uniform(-85, 85), rng.uniform(-180, 180)) for _ in range(60)]
     places += [(rng.uniform(29, 30), rng.uniform(-91, -90)) for _ in range(30)]  # a third in one cell
-    ports = spark.createDataFrame([(i, str(i), *p) for i, p in enumerate(places)], PORTS)
+    table = spark.createDataFrame([(i, str(i), *p) for i, p in enumerate(places)], PORTS)
     spots = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)]
     spots += [(90.0, 0.0), (-90.0, 12.0), (0.0, 180.0), (0.0, -180.0), (29.5, -90.5), (-17.9, 179.99)]
     frame = reports(spark, *[{"latitude": a, "longitude": b} for a, b in spots])
-    found = with_nearest_port(frame, ports, max_broadcast=limit).select("seq", "distance_to_port").collect()
+    found = with_nearest_port(frame, table, max_broadcast=limit).select("seq", "distance_to_port").collect()
     for row in found:
         assert row["distance_to_port"] == pytest.approx(min(_nm(spots[row["seq"]], p) for p in places), abs=1e-6)
     assert len(found) == len(spots)
 
 
+@pytest.mark.parametrize("n", [1_500, 15_000])
+def test_lists_of_ports_stay_short(spark, n):
+    """Ten times the ports make smaller leaves, not longer lists."""
+    places = spark.range(n).selectExpr("24 + (id * 7919) % 12000 / 1000D AS latitude", "-98 + (id * 104729) % 19000 / 1000D AS longitude")
+    occupied = spark.range(17 * 11).selectExpr("cast(id % 17 - 97 AS int) AS cell_x", "cast(id % 11 + 25 AS int) AS cell_y")
+    leaves, split = ports.candidate_ports(places, occupied)
+    lists = [r["count"] for r in leaves.groupBy("level", "cell_x", "cell_y").count().collect()]
+    assert max(lists) <= ports.LEAF_PORTS and sum(lists) / len(lists) < 8 and len(split) == (1 if n == 1_500 else 2)
+
+
+def test_ports_at_one_place_and_dense_harbours(spark):
+    """Many ports in one small area, some at the same place, beside far ones: leaves of several sizes."""
+    rng = random.Random(9)
+    places = [(29.5 + rng.random() / 50, -90.5 + rng.random() / 50) for _ in range(150)] + [(10.0, 10.0)] * 100
+    places += [(rng.uniform(-60, 60), rng.uniform(-180, 180)) for _ in range(40)]
+    table = spark.createDataFrame([(i, str(i), *p) for i, p in enumerate(places)], PORTS)
+    spots = [(29.5 + rng.random() / 40, -90.5 + rng.random() / 40) for _ in range(60)]
+    spots += [(29.0 + rng.random() * 2, -91.0 + rng.random() * 2) for _ in range(40)] + [(10.0, 10.0), (10.4, 9.9)]
+    frame = reports(spark, *[{"latitude": a, "longitude": b} for a, b in spots], {"latitude": None})
+    for row in with_nearest_port(frame, table).collect():
+        near = min(_nm(spots[row.seq], p) for p in places) if row.seq < len(spots) else None
+        assert row.distance_to_port == (near if near is None else pytest.approx(near, abs=1e-6))
+
+
 def test_port_table_just_past_the_edges(spark):
-    ports = [(i, f"p{i}", -80 + 2.1 * i, -179 + 4.7 * i) for i in range(70)]
+    listed = [(i, f"p{i}", -80 + 2.1 * i, -179 + 4.7 * i) for i in range(70)]
     at = [{"longitude": -180.005, "latitude": 10.0}, {"longitude": 5.0, "latitude": -90.004}]
     points = reports(spark, *at)
-    frame = spark.createDataFrame(ports, "port_id int, name string, latitude double, longitude double")
+    frame = spark.createDataFrame(listed, "port_id int, name string, latitude double, longitude double")
     got = {r.seq: r.distance_to_port for r in with_nearest_port(points, frame).collect()}
-    inline = [with_nearest_port(points, ports[i : i + 35]).collect() for i in (0, 35)]
+    inline = [with_nearest_port(points, listed[i : i + 35]).collect() for i in (0, 35)]
     for rows in zip(*[sorted(x, key=lambda r: r.seq) for x in inline]):
         assert got[rows[0].seq] == pytest.approx(min(r.distance_to_port for r in rows))
 
