@@ -185,3 +185,40 @@ def test_components_of_chains_and_stars(spark):
 
 def test_every_operator_is_registered():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+
+
+def test_class_names_alone_take_no_text_from_an_article(spark):
+    """Parts of longer names leave it to the host's repeats; whole words, and boxes outside the article, go."""
+    names = (
+        "ad-free related-work share-price social-science comment-text search-results menu-item-description"
+        " sponsored-research cookie-recipe banner-story"
+    ).split()
+    again = "Please tell all of your friends about this page today"
+    rows = []
+    for i in range(12):
+        inner = "".join(f'<div class="{n}">On {n} page {i} says {i * 7 + k} things of note</div>' for k, n in enumerate(names))
+        boxes = f'<div class="share-buttons">{again}</div><div class="ad">buy now</div>'
+        page = f'<div class="share-price">out {i}</div><article><p>First {i}.</p>{inner}{boxes}</article>'
+        rows.append((i, "http://a.example/x", page))
+    rows.append((12, None, rows[0][2]))
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        want = [f"First {i}.", *(f"On {n} page {i} says {i * 7 + k} things of note" for k, n in enumerate(names))]
+        assert got[i] == "\n".join(want)
+    # Without a host nothing says what is repeated.
+    assert got[12] == got[0] + "\n" + again
+
+
+def test_votes_of_menus_and_of_copies(spark):
+    """Pages under one menu are pages each, and lose it; a large group of copies and near copies keeps its text."""
+    menu = "\n".join(["Home", "About us", "Contact", "Archive", "Imprint", "Log in here"])
+    prose = [f"Line {k} of a text that very many rows have nearly word by word, in copies and near copies" for k in range(8)]
+    rows = [(i, f"{menu}\nown words of page {i}", "menus") for i in range(200)]
+    for i in range(120):
+        lines = prose[: i % 8] + [f"this is row {i}, where one line of the eight was put in other words by hand"] + prose[i % 8 + 1 :]
+        rows.append((1000 + i, "\n".join(prose if i % 2 else lines), "copies"))
+    rows += [(2000 + i, f"page {i} of the rest\nwith two lines {i}", "copies") for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in drop_boilerplate(frame, "source", copies=False).collect()}
+    assert all((got[i].text, got[i]._n_dropped) == (f"own words of page {i}", 6) for i in range(200))
+    assert all(got[d]._n_dropped == 0 for d, _, s in rows if s == "copies")

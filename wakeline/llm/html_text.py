@@ -54,14 +54,20 @@ _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>
 _END = {name: re.compile(rf"</{name}\b[^>]*>|\Z", re.I) for name in RAW}
 
 
-def _is_box(tag: str, name: str) -> bool:
-    """Whether a class, id or role names a box; of the article and main elements themselves only as a whole word."""
+def _box(tag: str, name: str, place: str) -> str:
+    """The place inside a box that a class, id or role names; else the place it is in.
+
+    A whole word decides. A part of a longer name (share-price as well as share-buttons) decides outside an article; inside
+    one it only leaves the text open, so that what the host repeats decides.
+    """
     for a, b, c in _MARKS.findall(tag):
         for word in (a or b or c).lower().split():
+            if word in BOXES:
+                return "out"
             parts = re.split(r"[_-]+", word)
-            if word in BOXES or (name not in MAIN and parts[0] not in ("has", "with", "no") and BOXES & {parts[0], parts[-1]}):
-                return True
-    return False
+            if name not in MAIN and parts[0] not in ("has", "with", "no") and BOXES & {parts[0], parts[-1]}:
+                return "" if place == "main" else "out"
+    return place
 
 
 def blocks(page: str) -> list[tuple[str, str]]:
@@ -111,10 +117,12 @@ def blocks(page: str) -> list[tuple[str, str]]:
             continue
         inner = place
         if place != "out":
-            if tag in OUTSIDE or (tag == "header" and place != "main") or (tag not in ("html", "body") and _is_box(token, tag)):
+            if tag in OUTSIDE or (tag == "header" and place != "main"):
                 inner = "out"
-            elif tag in MAIN:
-                inner = "main"
+            else:
+                inner = place if tag in ("html", "body") else _box(token, tag, place)
+                if tag in MAIN and inner != "out":
+                    inner = "main"
         if inner != place:
             end_block()
         open_tags.append((tag, place))
@@ -246,13 +254,17 @@ def main_text(
     copied = streams.where("first <> last")
     copies = hosted.select("host", "stream", "row").join(small(copied), ["host", "stream"]).where("row <> first")
     distinct = hosted.select("row", "host", "blocks").join(small(staged(copies.select("row"), "copies")), "row", "left_anti")
-    suffixes = distinct.select("host", "blocks").mapInArrow(_suffixes, "beginning bigint, pages bigint")
-    shared = suffixes.groupBy("beginning").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= MIN_PAGES)
-    shared = staged(shared, "shared-suffixes")
-    totals = streams.groupBy("host").agg(F.count("*").alias("of_pages"))
     is_open = F.exists("places", lambda p: p == "")
     opened = hosted.where(is_open).select("row", "host", "blocks", "places")
     own = opened.mapInArrow(_undecided_suffixes, "row bigint, host string, beginning bigint")
+    own = staged(own, "undecided-suffixes")
+    # Suffixes of all pages are counted where an undecided one is like them; the others need not move.
+    wanted = small(staged(own.select("beginning").distinct(), "undecided-beginnings"))
+    suffixes = distinct.select("host", "blocks").mapInArrow(_suffixes, "beginning bigint, pages bigint")
+    shared = suffixes.join(wanted, "beginning", "left_semi")
+    shared = shared.groupBy("beginning").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= MIN_PAGES)
+    shared = staged(shared, "shared-suffixes")
+    totals = streams.groupBy("host").agg(F.count("*").alias("of_pages"))
     own = own.join(shared, "beginning").join(totals, "host").where(F.col("pages") >= SHARE * F.col("of_pages"))
     repeated = own.groupBy("row").agg(F.collect_list("beginning").alias("repeated"))
     judged = opened.join(repeated, "row", "left").mapInArrow(_unique_runs, "row bigint, text string")

@@ -5,8 +5,9 @@ and go from all pages of the host. A page counts once for a line, however often
 white space at their ends and with one space for any inside; they are known by 64-bit hashes.
 
 With ``copies`` every row is a page, as the SQL of the query says. Without, copies have one vote: rows of a host with the
-same lines are one page; and of pages that are by more than half, in characters, such frequent lines, those with the same
-smallest one are one page, as near copies are. Else the lines of a large group of copies would go from all of them.
+same lines are one page; and of pages that are by more than half, in characters, frequent lines of prose, those with the
+same smallest one are one page, as near copies are. Else the lines of a large group of copies would go from all of them.
+Menus and other short lines make no page a copy, however much of it they are.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from wakeline.llm.common import BROADCAST_ROWS, SPACE, staged
 RATIO = 0.02
 #: Fewer pages than this make no boilerplate, however small the host.
 MIN_PAGES = 5
+#: Characters from which a line counts as prose when near copies are told from pages under the same menu.
+PROSE = 60
 _SPACES = " \t\x0b\x0c\r"
 
 
@@ -64,7 +67,7 @@ def _voted(pages: DataFrame, ratio: float) -> DataFrame:
     totals = distinct.groupBy("host").agg(F.count("*").alias("of_pages"))
     found = staged(_frequent(held(distinct), totals, ratio).select("host", "digest"), "frequent")
     hosts = _by_host(found)
-    shared = F.filter("lines", lambda x: F.array_contains("_digests", x["digest"]))
+    shared = F.filter("lines", lambda x: (x["size"] >= PROSE) & F.array_contains("_digests", x["digest"]))
     judged = distinct.join(hosts, "host", "left").withColumn("shared", F.coalesce(shared, F.array()))
 
     def size(lines: str) -> Column:
