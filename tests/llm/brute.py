@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import itertools
 import math
 import re
 import zlib
@@ -144,18 +145,32 @@ def article(page):
 
 
 def without_repeats(rows):
-    """{doc_id: (text, spans)} where the smallest id keeps a line of ten words or more."""
+    """{doc_id: (text, spans)}: the smallest id keeps a sentence of eight words, others lose 20 such words in a row."""
     seen, out = set(), {}
-    for d, t in sorted(rows):
-        kept, spans, at = [], [], 0
-        for line in (t or "").split("\n"):
-            w = words(line)
-            if len(w) >= 10 and tuple(w) in seen:
-                spans.append((at, at + len(line)))
-            else:
-                kept.append(line)
-                if len(w) >= 10:
-                    seen.add(tuple(w))
-            at += len(line) + 1
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        cut = [re.findall("(?s).+?(?:[.!?][\x20\x09\x0b-\x0d]+|$)", line) or [""] for line in (t or "").split("\n")]
+        state = []  # of each piece: repeated words, 0 for a short one, None for a unit that is new
+        for piece in itertools.chain(*cut):
+            w = tuple(words(piece))
+            state.append(0 if len(w) < 8 else len(w) if w in seen else None)
+            if len(w) >= 8:
+                seen.add(w)
+        gone = []
+        for new, run in itertools.groupby(state, key=lambda n: n is None):
+            run = list(run)
+            gone += [bool(n) and not new and sum(run) >= 20 for n in run]
+        kept, spans, at, flags = [], [], 0, iter(gone)
+        for line in cut:
+            left, lost = "", False
+            for piece in line:
+                if next(flags):
+                    spans.append((at, at + len(piece)))
+                    lost = True
+                else:
+                    left += piece
+                at += len(piece)
+            if left or not lost:
+                kept.append(left)
+            at += 1
         out[d] = (None if t is None else "\n".join(kept), spans)
     return out

@@ -117,7 +117,8 @@ def test_defined_results(docs, items):
     assert hits[1] == (0, 0, 0, False) and hits[6] == (14, 13, 3, True) and hits[7] == (13, 11, 2, True)
     assert rows_of(contamination(docs, items.limit(0)).where("contaminated")) == []
     kept = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in without_repeats(docs).collect() if r.doc_id}
-    assert kept[7] == ("\nother rest", [(0, len(LINE))]) and kept[6][1] == [] and kept[1] == (None, []) and kept[5][0] == ""
+    # Eleven words that two documents share are no passage; whole copies are.
+    assert kept[7] == (ROWS[7][1], []) and kept[6][1] == [] and kept[1] == (None, []) and kept[5] == ("", [(0, len(LONG))])
 
 
 def test_filters_keep_columns(spark, docs, items):
@@ -222,3 +223,19 @@ def test_votes_of_menus_and_of_copies(spark):
     got = {r.doc_id: r for r in drop_boilerplate(frame, "source", copies=False).collect()}
     assert all((got[i].text, got[i]._n_dropped) == (f"own words of page {i}", 6) for i in range(200))
     assert all(got[d]._n_dropped == 0 for d, _, s in rows if s == "copies")
+
+
+def test_passages_that_start_inside_lines_are_found(spark):
+    """A passage of five sentences in lines of other words, wrapped otherwise: all but the pieces at its ends go."""
+    said = [f"Sentence {k} of the passage has some nine words here{m}" for k, m in enumerate(".!?..")]
+    rows = [
+        (1, "Own start of one " + " ".join(said) + " own end of one"),
+        (2, "Two before it. " + "  ".join(said[:2]) + "\n" + " ".join(said[2:]) + "\n\nTwo after it."),
+        (3, "no match here. " * 3 + "\n" + said[4].upper() + "\nlast"),
+        (4, None),
+        (5, "".join(said)),
+    ]
+    got = {r.doc_id: r for r in without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: (r.text, [tuple(s) for s in r.removed]) for d, r in got.items()} == brute.without_repeats(rows)
+    assert got[2].text == "Two before it. " + said[0] + "  \n\nTwo after it." and len(got[2].removed) == 4
+    assert got[3].text == rows[2][1] and not got[1].removed and not got[5].removed  # one sentence alone stays

@@ -89,24 +89,35 @@ ORACLE["op9_substring_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(l, 1) AS p, unnest(l) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+cut AS (
+  SELECT doc_id, p, generate_subscripts(c, 1) AS q, unnest(c) AS piece FROM (
+    SELECT doc_id, p, string_split(
+      regexp_replace(line, '([.!?]+[\x20\x09\x0B-\x0D]+)', '\1' || chr(10), 'g'), chr(10)) AS c FROM lines)),
 placed AS (
-  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
-    coalesce(sum(length(line) + 1) OVER (
-      PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM lines),
+  SELECT *, regexp_extract_all(piece, '[^\x20\x09-\x0D]+') AS w, p - 1 + coalesce(sum(length(piece)) OVER (
+      PARTITION BY doc_id ORDER BY p, q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM cut),
 units AS (
-  SELECT doc_id, p, translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-  FROM placed WHERE len(w) >= 10),
-ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM units),
+  SELECT doc_id, p, q, translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM placed WHERE len(w) >= 8),
+ranked AS (SELECT doc_id, p, q, row_number() OVER (PARTITION BY k ORDER BY doc_id, p, q) AS n FROM units),
+met AS (
+  SELECT placed.*, n IS NOT NULL AS unit, coalesce(n, 1) > 1 AS again FROM placed LEFT JOIN ranked USING (doc_id, p, q)),
+stretched AS (
+  SELECT *, count(*) FILTER (unit AND NOT again) OVER (PARTITION BY doc_id ORDER BY p, q) AS stretch FROM met),
 judged AS (
-  SELECT placed.*, n IS NOT NULL AS unit, coalesce(n, 1) > 1 AS gone FROM placed LEFT JOIN ranked USING (doc_id, p)),
-rebuilt AS (
-  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '') AS kept,
+  SELECT *, again AND sum(len(w)) FILTER (again) OVER (PARTITION BY doc_id, stretch) >= 20 AS gone FROM stretched),
+rejoined AS (
+  SELECT doc_id, p, coalesce(string_agg(piece, '' ORDER BY q) FILTER (NOT gone), '') AS line,
     count(*) FILTER (unit) AS u, count(*) FILTER (gone) AS d,
-    string_agg(CAST(start AS BIGINT) || ':' || CAST(start AS BIGINT) + length(line), ',' ORDER BY p) FILTER (gone) AS spans
-  FROM judged GROUP BY doc_id)
-SELECT doc_id, kept AS text, CAST(coalesce(u, 0) AS BIGINT) AS n_units, CAST(coalesce(d, 0) AS BIGINT) AS n_removed,
-  coalesce(spans, '') AS removed_spans
+    string_agg(CAST(start AS BIGINT) || ':' || CAST(start AS BIGINT) + length(piece), ',' ORDER BY q) FILTER (gone) AS spans
+  FROM judged GROUP BY doc_id, p),
+rebuilt AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (d = 0 OR line <> ''), '') AS kept,
+    sum(u) AS u, sum(d) AS d, string_agg(spans, ',' ORDER BY p) AS spans
+  FROM rejoined GROUP BY doc_id)
+SELECT doc_id, kept AS text, CAST(coalesce(d, 0) AS BIGINT) AS n_removed, coalesce(spans, '') AS removed_spans,
+  CAST(coalesce(u, 0) AS BIGINT) AS of_units
 FROM documents LEFT JOIN rebuilt USING (doc_id)
 """
 

@@ -89,9 +89,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents")).select(
         "doc_id",
         "text",
-        "n_units",
         F.size("removed").cast("bigint").alias("n_removed"),
         F.array_join(spans, ",").alias("removed_spans"),
+        F.col("n_units").alias("of_units"),
     )
 
 
