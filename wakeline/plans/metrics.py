@@ -68,7 +68,7 @@ def rate_1m(routed: DataFrame) -> DataFrame:
     return rates(rate_panes(routed))
 
 
-# Values a quantile sketch keeps; up to so many it is exact, beyond that its rank is off by some 0.1 %.
+# Values a quantile sketch keeps; up to so many it is exact, beyond that its rank is off by some 0.15 %.
 SKETCH_SIZE = 2_048
 WINDOW_MINUTES = 5
 
