@@ -77,8 +77,9 @@ def channel_route(spark, sf_dir):
 @query
 def raw_union(spark, sf_dir):
     raw = events_as_reports(spark, sf_dir)
+    known = F.coalesce(F.col("source_type").isin(*C.CHANNEL_TOPICS), F.lit(False))
     channels = [raw.where(F.col("source_type") == kind) for kind in C.CHANNEL_TOPICS]
-    return union_channels(channels).select("seq", "mmsi", "source_type", "ts_ms")
+    return union_channels([*channels, raw.where(~known)]).select("seq", "mmsi", "source_type", "ts_ms")
 
 
 @query
