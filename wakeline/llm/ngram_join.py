@@ -11,9 +11,12 @@ formed whole. Bounds that follow from the sizes of the sets leave out nearly all
    The product is accumulated in blocks. A block takes from each column one pivot, the row with the smallest part of
    its n-grams to itself (of a text and its edited copies, the text), and adds up the overlaps of pivots with the other
    rows of their columns; sizes that cannot reach the threshold are discarded.
-   A row found to be linked to pivots is labelled by the least of them, and rows of one label need not be compared; a
-   column is done when its rows have one label or it has one row left. When the pairs left, of rows of different labels
-   in one column, are few enough, they form the last block. The components of all links found are taken at the end.
+   Rows are labelled by the component of the links found, and rows of one label need not be compared; a column is done
+   when its rows have one label or it has one row left. When the pairs left, of rows of different labels in one column,
+   are few enough, they form the last block.
+4. Near copies that link to no common row are left over: each block of pivots closes few of their pairs. Their shared
+   columns are cut into parts by hash. The sizes bound in how many columns two linked rows can differ; with one part
+   more than that, one part is the same in both. Rows meet by equal parts instead of by one column (see ``_parts``).
 
 A group of any size costs rows in proportion to it in each block, since a pivot meets each row of a column once and
 the rows it joins need no further comparison. Words, n-grams and sets are known by 64-bit hashes.
@@ -35,10 +38,12 @@ from wakeline.llm.words import hashed_words, mix, shingles
 #: Two sets link when 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 WIDTH = 5
-#: The last block may hold so many pairs for each row of the columns left, and with each block before it GROWTH times
-#: as many: pivots pay for columns that they close, and rows that no pivot joins are compared in the end.
+#: The last block may hold so many pairs for each row of the columns left.
 LAST_BLOCK_PAIRS = 4
-GROWTH = 4
+#: Pivots have stalled when a block leaves more than this part of the pairs; then equal parts are tried.
+STALLED = 0.75
+#: After so many blocks the pairs left are compared by columns or by parts, whichever has fewer.
+MOST_BLOCKS = 12
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -175,6 +180,123 @@ def _overlaps(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
+def _steps(most: int) -> np.ndarray:
+    """Edges of the bands of surplus, up to ``most`` or the next above, and down as far: close together near nought."""
+    steps = [0]
+    while steps[-1] < most:
+        steps.append(max(steps[-1] + 1, steps[-1] * 3 // 2))
+    return np.array([-step for step in steps[:0:-1]] + steps, dtype=np.int64)
+
+
+def _surplus(n, s):
+    """What a row of n n-grams, s of them in shared columns, adds to the bound on 100 + SIMILARITY times the difference.
+
+    Linked rows share at least SIMILARITY * (n + m) / (100 + SIMILARITY) columns, so their s + t entries in shared columns
+    differ in at most s + t less twice that. Rows with n-grams of their own have little surplus, or less than none.
+    """
+    return s * (100 + SIMILARITY) - n * (2 * SIMILARITY)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, key, side) of each row (key, n, hashes, open), for every band of surplus of a possible partner.
+
+    A band is known by its upper edge. Rows of bands e and f differ in at most e + f columns, so with e + f + 1 parts
+    one has the same content in both. If that is nothing, they still have an ``open`` column in common, and
+    parts without content are known by each of these instead. ``side`` is 0 in the lower band of two, 1 in the upper,
+    2 if they are one.
+    """
+    scale = 100 + SIMILARITY
+    for batch in batches:
+        parts, keys, sides = [], [], []
+        for key, n, hashes, open_columns in zip(
+            batch.column("key").to_pylist(),
+            batch.column("n").to_pylist(),
+            batch.column("hashes"),
+            batch.column("open"),
+        ):
+            hashes = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            open_columns = mix(open_columns.values.to_numpy(zero_copy_only=False).view(np.uint64))
+            largest = n * 100 // SIMILARITY
+            bands = _steps(-(-_surplus(largest, largest) // scale))
+            edge = int(bands[min(np.searchsorted(bands * scale, _surplus(n, len(hashes))), len(bands) - 1)])
+            contents = mix(hashes + np.uint64(1))
+            for other in bands[bands + edge >= 0].tolist():
+                count = edge + other + 1
+                low, high = sorted((edge + (1 << 15), other + (1 << 15)))
+                names = mix(np.arange(count, dtype=np.uint64) + np.uint64((low << 48) + (high << 32)))
+                at = (mix(hashes ^ names[0]) % np.uint64(count)).astype(np.int64)
+                sums = np.zeros(count, dtype=np.uint64)
+                np.add.at(sums, at, contents)
+                filled = np.bincount(at, minlength=count) > 0
+                met = mix(sums[filled] ^ names[filled])
+                empty = mix((names[~filled][:, None] + open_columns[None, :]).ravel())
+                parts.append(np.concatenate([met, empty]))
+                keys.append(np.full(len(parts[-1]), key, dtype=np.int64))
+                sides.append(np.full(len(parts[-1]), 2 if edge == other else int(edge > other), dtype=np.int32))
+        if parts:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(parts).view(np.int64)),
+                    pa.array(np.concatenate(keys)),
+                    pa.array(np.concatenate(sides)),
+                ],
+                ["part", "key", "side"],
+            )
+
+
+def _by_parts(prepared: DataFrame, columns: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
+    """The rows (part, key, root, major, n, s, side) of parts where rows of different labels meet, and their pairs.
+
+    ``prepared`` holds the shared columns of all rows, ``columns`` those in which pairs are left.
+    """
+    left = columns.groupBy("key").agg(F.collect_set("h").alias("open"))
+    rows = prepared.join(left, "key").select("key", "n", F.col("columns.h").alias("hashes"), "open")
+    parts = staged(rows.mapInArrow(_parts, "part bigint, key bigint, side int"), "parts")
+    sizes = prepared.select("key", "n", F.size("columns").cast("bigint").alias("s"))
+    parts = parts.join(small(staged(roots.select("key", "root").join(sizes, "key"), "sizes")), "key")
+    by_root = parts.groupBy("part", "root").agg(
+        F.count("*").alias("rows"), *(F.count_if(F.col("side") == i).alias(f"n{i}") for i in (0, 1, 2))
+    )
+    met = by_root.groupBy("part").agg(
+        F.max_by("root", "rows").alias("major"),
+        F.count("*").alias("roots"),
+        (
+            F.sum("n0") * F.sum("n1")
+            - F.sum(F.col("n0") * F.col("n1"))
+            + (F.sum("n2") * F.sum("n2") - F.sum(F.col("n2") * F.col("n2"))) / 2
+        ).alias("pairs"),
+    )
+    met = staged(met.where("roots > 1 and pairs > 0").select("part", "major", "pairs"), "met")
+    pairs = met.agg(F.sum("pairs")).first()[0] or 0
+    return parts.join(small(met.select("part", "major")), "part"), pairs
+
+
+def _pairs_of_parts(parts: DataFrame) -> DataFrame:
+    other = parts.select("part", *(F.col(c).alias(f"{c}_b") for c in ("root", "n", "s", "side")), F.col("key").alias("b"))
+    differ = F.abs(F.col("s") - F.col("s_b")) * (100 + SIMILARITY)
+    allowed = _surplus(F.col("n"), F.col("s")) + _surplus(F.col("n_b"), F.col("s_b"))
+    meets = parts.where("root <> major").join(other, "part").where(
+        (F.col("root") != F.col("root_b"))
+        & ((F.col("side") + F.col("side_b") == 1) | ((F.col("side") == 2) & (F.col("side_b") == 2)))
+        & _may_link(F.col("n"), F.col("n_b"))
+        & (differ <= allowed)
+    )
+    return meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
+
+
+def _pairs_of_columns(columns: DataFrame, roots: DataFrame) -> DataFrame:
+    # Rows of the label that most rows of a column have need no comparison with each other.
+    labelled = columns.join(roots.select("key", "root"), "key")
+    other = labelled.select("h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "rest", "root")))
+    other = other.withColumnRenamed("key_b", "b")
+    # At the first column that two rows share, what is left of either bounds their overlap.
+    enough = F.least("rest", "rest_b") * (100 + SIMILARITY) >= (F.col("n") + F.col("n_b")) * SIMILARITY
+    meets = labelled.where("root <> major").join(other, "h").where(
+        (F.col("root") != F.col("root_b")) & _may_link(F.col("n"), F.col("n_b")) & enough
+    )
+    return meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
+
+
 def _open_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs whose sizes allow a link and that no links join yet."""
     for side in ("a", "b"):
@@ -197,12 +319,12 @@ def _labels(rows: DataFrame) -> DataFrame | None:
     # Part of a row's n-grams that no other row has; the key only tells equal rows apart.
     alone = (F.col("n") - F.size("columns")) / F.col("n") + F.pmod("key", F.lit(1 << 20)) * 1e-12
     sizes = prepared.select("key", "n", alone.alias("alone"))
-    found, limit = None, LAST_BLOCK_PAIRS
+    found, labels, before, block = None, None, None, 0
     while True:
         roots = sizes.withColumn("root", F.col("key"))
-        if found is not None:
-            pivots = found.groupBy(F.col("b").alias("key")).agg(F.min("a").alias("root"))
-            roots = sizes.join(pivots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        if labels is not None:
+            roots = sizes.join(labels.withColumnRenamed("node", "key"), "key", "left")
+            roots = roots.withColumn("root", F.coalesce("root", "key"))
         roots = small(staged(roots, "roots"))
         by_root = columns.join(roots.select("key", "root", "alone"), "key").groupBy("h", "root")
         by_root = by_root.agg(
@@ -220,30 +342,28 @@ def _labels(rows: DataFrame) -> DataFrame | None:
             F.sum((F.col("rows") * F.col("rows") - F.col("squares")) / 2).alias("pairs"), F.sum("rows").alias("rows")
         ).first()
         if not total["rows"]:
-            break
-        last = total["pairs"] <= limit * total["rows"]
-        limit *= GROWTH
+            return labels
+        block += 1
         columns = columns.join(small(open_columns.select("h", "pivot", "major")), "h")
-        if last:
-            # Rows of the label that most rows of a column have need no comparison with each other.
-            labelled = columns.join(roots.select("key", "root"), "key")
-            other = labelled.select("h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "rest", "root")))
-            other = other.withColumnRenamed("key_b", "b")
-            # At the first column that two rows share, what is left of either bounds their overlap.
-            enough = F.least("rest", "rest_b") * (100 + SIMILARITY) >= (F.col("n") + F.col("n_b")) * SIMILARITY
-            meets = labelled.where("root <> major").join(other, "h").where(
-                (F.col("root") != F.col("root_b")) & _may_link(F.col("n"), F.col("n_b")) & enough
-            )
-            pairs = meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
-        else:
+        limit = LAST_BLOCK_PAIRS * total["rows"]
+        pairs = _pairs_of_columns(columns, roots) if total["pairs"] <= limit else None
+        if pairs is None and (block > MOST_BLOCKS or before is not None and total["pairs"] > STALLED * before):
+            parts, meetings = _by_parts(prepared, columns, roots)
+            if meetings <= limit or block > MOST_BLOCKS:
+                pairs = _pairs_of_parts(parts) if meetings < total["pairs"] else _pairs_of_columns(columns, roots)
+        before, last = total["pairs"], pairs is not None
+        if not last:
             columns = staged(columns.where("key <> pivot"), "columns")
             pairs = columns.select(F.col("pivot").alias("a"), F.col("key").alias("b"))
             columns = columns.drop("pivot", "major")
         links = staged(_overlaps(_open_pairs(pairs.distinct(), roots), rows), "overlaps")
-        found = links if found is None else found.unionByName(links)
+        # Labels found so far stand for the links that made them.
+        found = links if labels is None else links.unionByName(
+            labels.select(F.col("root").alias("a"), F.col("node").alias("b"))
+        )
+        labels = components(found)
         if last:
-            break
-    return None if found is None else components(found)
+            return labels
 
 
 def jaccard_groups(
