@@ -1,8 +1,9 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 The model is a bigram model over a smoothed unigram model. Every word and every pair of words in the training texts
-counts, however rare. A pair's count is quantised on a log scale and put into the filter once for every step up to its
-level, so that probing step after step until one is missing gives the level back. The filter grows with the pairs: it is
+counts, however rare. A pair's count is quantised on a log scale and put into the filter once for every level up to its
+own, so that probing level after level until one is missing gives it back. Levels are the steps of the scale that some
+count reaches: none is spent between 1 and 2, or 3 and 4. The filter grows with the pairs: it is
 cut into segments by the pair's hash, each a bit array that one task builds.
 
     P(w | h) = (pair(h, w) + (total(h) - kept(h) + PRIOR) * P(w)) / (total(h) + PRIOR),  kept(h) = sum of pair(h, .)
@@ -138,12 +139,23 @@ def _after(starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(later)
 
 
+def _steps(count: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log(count) / math.log(BASE) + 1e-9).astype(np.int64)
+
+
+#: Steps of the log scale that counts reach, by level. Small counts leave steps out; further on every step holds a count.
+REACHED = np.unique(_steps(np.arange(1, 1 << 12)))
+
+
 def _count_at(level: np.ndarray) -> np.ndarray:
-    return BASE ** (level - 0.5)
+    further = np.maximum(level - len(REACHED), 0)
+    return BASE ** (REACHED[np.clip(level, 1, len(REACHED)) - 1] + further - 0.5)
 
 
 def _level_of(count: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log(count) / math.log(BASE) + 1e-9).astype(np.int64)
+    """The level of each count, from 1: steps of the log scale without those that no count reaches."""
+    step = _steps(count)
+    return np.searchsorted(REACHED, step, side="right") + np.maximum(step - REACHED[-1], 0)
 
 
 def _starts(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -367,7 +379,8 @@ def _in_filter(pairs: DataFrame, segments: DataFrame, number: int) -> DataFrame:
             rows, q = rows.slice(0, 0), np.zeros(0)
         else:
             h, w = (rows[n].to_numpy().view(np.uint64) for n in ("h", "w"))
-            level = filter_of(held, number).level(pair_keys(h, w))
+            one = held.drop_columns(["segment"]).append_column("segment", pa.array([0]))
+            level = filter_of(one, 1).level(pair_keys(h, w))
             rows, q = rows.filter(pa.array(level > 0)), _count_at(level[level > 0])
         return pa.table({"h": rows["h"], "w": rows["w"], "q": pa.array(q)})
 
