@@ -7,7 +7,8 @@ white space at their ends and with one space for any inside; they are known by 6
 With ``copies`` every row is a page, as the SQL of the query says. Without, copies have one vote: rows of a host with the
 same lines are one page; and of pages that are by more than half, in characters, frequent lines of prose, those with the
 same smallest one are one page, as near copies are. Else the lines of a large group of copies would go from all of them.
-Menus and other short lines make no page a copy, however much of it they are.
+Prose is a line of at least five words, the length of the shingles by which near copies are told. Menus and other shorter
+lines make no page a copy, however much of it they are.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from wakeline.llm.common import BROADCAST_ROWS, SPACE, staged
 RATIO = 0.02
 #: Fewer pages than this make no boilerplate, however small the host.
 MIN_PAGES = 5
-#: Characters from which a line counts as prose when near copies are told from pages under the same menu.
-PROSE = 60
+#: Words from which a line counts as prose when near copies are told from pages under the same menu: those of a shingle.
+PROSE_WORDS = 5
 _SPACES = " \t\x0b\x0c\r"
 
 
@@ -31,6 +32,11 @@ def _digest(line: Column) -> Column:
     return F.when(bare != "", F.xxhash64(bare))
 
 
+def _is_prose(line: Column) -> Column:
+    """Whether the line has a word shingle of its own, as near copies share them and the items of a menu have none."""
+    return line.rlike(rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++{SPACE}){{{PROSE_WORDS - 1}}}[^\x20\x09-\x0D]")
+
+
 def _host(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
@@ -55,7 +61,10 @@ def _frequent(lines: DataFrame, totals: DataFrame, ratio: float) -> DataFrame:
 
 def _voted(pages: DataFrame, ratio: float) -> DataFrame:
     """``boilerplate`` where copies and near copies are one page."""
-    sized = F.transform(F.split("text", "\n"), lambda x: F.struct(_digest(x).alias("digest"), F.length(x).alias("size")))
+    sized = F.transform(
+        F.split("text", "\n"),
+        lambda x: F.struct(_digest(x).alias("digest"), F.length(x).alias("size"), _is_prose(x).alias("prose")),
+    )
     sized = F.filter(sized, lambda x: x["digest"].isNotNull())
     digests = F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["digest"])))
     keyed = pages.select("host", sized.alias("lines")).withColumn("page", F.xxhash64(digests))
@@ -67,7 +76,7 @@ def _voted(pages: DataFrame, ratio: float) -> DataFrame:
     totals = distinct.groupBy("host").agg(F.count("*").alias("of_pages"))
     found = staged(_frequent(held(distinct), totals, ratio).select("host", "digest"), "frequent")
     hosts = _by_host(found)
-    shared = F.filter("lines", lambda x: (x["size"] >= PROSE) & F.array_contains("_digests", x["digest"]))
+    shared = F.filter("lines", lambda x: x["prose"] & F.array_contains("_digests", x["digest"]))
     judged = distinct.join(hosts, "host", "left").withColumn("shared", F.coalesce(shared, F.array()))
 
     def size(lines: str) -> Column:
