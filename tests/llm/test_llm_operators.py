@@ -290,6 +290,28 @@ def test_pipeline(spark):
         assert stage(spark, docs, SF).schema == docs.schema
 
 
+def test_copies_edited_apart_are_paired_by_their_differences(spark, monkeypatch):
+    rng = random.Random(1)
+    text = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for i in range(300):
+        words = list(text)
+        for at in rng.sample(range(200), 3 if i % 10 == 0 else 6):
+            words[at] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    compared = []
+    plain = ngram_join._open_pairs
+
+    def counted(pairs, roots):
+        compared.append(pairs.count())
+        return plain(pairs, roots)
+
+    monkeypatch.setattr(ngram_join, "_open_pairs", counted)
+    got = jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard_groups(rows)
+    assert sum(compared) < 15 * len(rows)
+
+
 def test_near_copies_without_links_are_not_all_compared(spark, monkeypatch):
     rng = random.Random(1)
     text = [f"w{rng.randrange(10**6)}" for _ in range(200)]

@@ -14,6 +14,9 @@ formed whole. Bounds that follow from the sizes of the sets leave out nearly all
    A row found to be linked to pivots is labelled by the least of them, and rows of one label need not be compared; a
    column is done when its rows have one label or it has one row left. When the pairs left, of rows of different labels
    in one column, are few enough, they form the last block. The components of all links found are taken at the end.
+4. In the last block, rows around one centre that many have in common are known by what they lack of it and add to it.
+   Two of them link if they have enough of these differences in common, so many more than copies edited apart have:
+   they are paired by their rarest differences, not by the columns that all of them hold.
 
 A group of any size costs rows in proportion to it in each block, since a pivot meets each row of a column once and
 the rows it joins need no further comparison. Words, n-grams and sets are known by 64-bit hashes.
@@ -39,6 +42,10 @@ WIDTH = 5
 #: as many: pivots pay for columns that they close, and rows that no pivot joins are compared in the end.
 LAST_BLOCK_PAIRS = 4
 GROWTH = 4
+#: Rows around a centre from which on they are paired by differences; fewer have at most so many pairs each.
+CENTRE_ROWS = 16
+#: How often a centre gives way to its own.
+JUMPS = 3
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -183,6 +190,80 @@ def _open_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(_may_link(F.col("n_a"), F.col("n_b")) & (F.col("root_a") != F.col("root_b"))).select("a", "b")
 
 
+def _centres(columns: DataFrame) -> DataFrame:
+    """Rows (key, centre): the pivot of most columns of a row, or that pivot's own; centres of many rows only.
+
+    A pivot has less to itself than the other rows of its columns, so going on from pivot to pivot leads to an end.
+    """
+    votes = columns.groupBy("key", "pivot").agg(F.count("*").alias("votes"))
+    centres = votes.groupBy("key").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("centre"))
+    for _ in range(JUMPS):
+        centres = staged(centres, "centres")
+        further = centres.where("key <> centre").select(F.col("key").alias("centre"), F.col("centre").alias("further"))
+        centres = centres.join(further, "centre", "left").select("key", F.coalesce("further", "centre").alias("centre"))
+    centres = staged(centres, "centres")
+    many = centres.groupBy("centre").count().where(F.col("count") >= CENTRE_ROWS).select("centre")
+    return staged(centres.join(many, "centre"), "centres")
+
+
+def _differences(centres: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (centre, key, n, root, needs, near, delta): what a row lacks of its centre and adds to it, and if it links.
+
+    Let c be the centre's size, and let x lack r of it and add a. The overlap of x and y is c - r(x) - r(y) + s with s
+    differences in common. So they link if 2 * (100 + SIMILARITY) * s >= needs(x) + needs(y), where
+    needs = 2 * (100 * r + SIMILARITY * a) - (100 - SIMILARITY) * c, and x links to the centre if that is at most
+    (100 - SIMILARITY) * c. The sum is over 0 unless both link to the centre.
+    """
+    heads = staged(rows.join(centres.select(F.col("centre").alias("key")).distinct(), "key", "left_semi"), "heads")
+    heads = heads.select(F.col("key").alias("centre"), F.col("hashes").alias("base"))
+    both = centres.join(rows, "key").join(roots.select("key", "root"), "key").join(heads, "centre")
+    both = both.withColumn("lacks", F.array_except("base", "hashes")).withColumn("adds", F.array_except("hashes", "base"))
+    spare = (100 - SIMILARITY) * F.size("base")
+    needs = 2 * (100 * F.size("lacks") + SIMILARITY * F.size("adds")) - spare
+    both = both.select(
+        "centre", "key", "n", "root", needs.cast("bigint").alias("needs"), (needs <= spare).alias("near"),
+        F.concat("lacks", "adds").alias("delta"),
+    )
+    return staged(both, "differences")
+
+
+def _difference_pairs(differences: DataFrame) -> DataFrame:
+    """Pairs (a, b) of rows around one centre that may have enough differences in common, and no common label.
+
+    A row's label is the centre if links join it to that, else its root. Its rarest differences are kept, so many that
+    two rows that link have one of them in common, the first of which leaves both enough to come.
+    """
+    near = small(staged(differences.where("near").select("centre", "root").distinct(), "near")).withColumn("joined", F.lit(True))
+    label = F.when(F.col("joined"), F.col("centre")).otherwise(F.col("root"))
+    labelled = differences.join(near, ["centre", "root"], "left").withColumn("label", label)
+    cells = staged(
+        labelled.select("centre", "key", "n", "needs", "label", F.explode("delta").alias("h")), "cells"
+    )
+    columns = cells.groupBy("centre", "h").agg(
+        F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")
+    ).where("lo <> hi").select("centre", "h", "df")
+    far = F.when(F.col("label") != F.col("centre"), F.col("needs"))
+    bounds = labelled.groupBy("centre").agg(F.min("needs").alias("least"), F.min(far).alias("least_far"))
+    kept = cells.join(columns, ["centre", "h"]).groupBy("centre", "key").agg(
+        *(F.first(name).alias(name) for name in ("n", "needs", "label")),
+        F.sort_array(F.collect_list(F.struct("df", "h"))).alias("columns"),
+    ).join(bounds, "centre")
+    other = F.when(F.col("label") == F.col("centre"), F.col("least_far")).otherwise(F.col("least"))
+    common = F.greatest(F.lit(1), F.ceil((F.col("needs") + other) / (2 * (100 + SIMILARITY))))
+    kept = kept.withColumn("most", (F.size("columns") - common + 1).cast("int")).where("most > 0")
+    kept = kept.select(
+        "centre", "key", "n", "needs", "label", F.size("columns").alias("s"),
+        F.posexplode(F.slice("columns", F.lit(1), F.col("most"))).alias("at", "c"),
+    ).select("centre", F.col("c.h").alias("h"), "key", "n", "needs", "label", (F.col("s") - F.col("at")).alias("rest"))
+    kept = staged(kept, "kept")
+    others = kept.select("centre", "h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "needs", "label", "rest")))
+    enough = F.least("rest", "rest_b") * 2 * (100 + SIMILARITY) >= F.col("needs") + F.col("needs_b")
+    meets = kept.where("label <> centre").join(others, ["centre", "h"]).where(
+        (F.col("label") != F.col("label_b")) & _may_link(F.col("n"), F.col("n_b")) & enough
+    )
+    return meets.select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b"))
+
+
 def _labels(rows: DataFrame) -> DataFrame | None:
     """The least key that links reach, (node, root), for all rows with links but the least; None without links."""
     prepared = staged(_shared_rows(rows), "prepared")
@@ -225,16 +306,28 @@ def _labels(rows: DataFrame) -> DataFrame | None:
         limit *= GROWTH
         columns = columns.join(small(open_columns.select("h", "pivot", "major")), "h")
         if last:
+            columns = staged(columns, "columns")
+            centres = small(_centres(columns))
             # Rows of the label that most rows of a column have need no comparison with each other.
-            labelled = columns.join(roots.select("key", "root"), "key")
-            other = labelled.select("h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "rest", "root")))
+            labelled = columns.join(roots.select("key", "root"), "key").join(centres, "key", "left")
+            labelled = labelled.withColumn("centre", F.coalesce("centre", "key"))
+            other = labelled.select("h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "rest", "root", "centre")))
             other = other.withColumnRenamed("key_b", "b")
             # At the first column that two rows share, what is left of either bounds their overlap.
             enough = F.least("rest", "rest_b") * (100 + SIMILARITY) >= (F.col("n") + F.col("n_b")) * SIMILARITY
             meets = labelled.where("root <> major").join(other, "h").where(
-                (F.col("root") != F.col("root_b")) & _may_link(F.col("n"), F.col("n_b")) & enough
+                (F.col("root") != F.col("root_b"))
+                & (F.col("centre") != F.col("centre_b"))
+                & _may_link(F.col("n"), F.col("n_b"))
+                & enough
             )
             pairs = meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
+            if not centres.isEmpty():
+                differences = _differences(centres, rows, roots)
+                pairs = pairs.unionByName(_difference_pairs(differences))
+                near = differences.where("near and key <> centre")
+                near = near.select(F.col("centre").alias("a"), F.col("key").alias("b"))
+                found = near if found is None else found.unionByName(near)
         else:
             columns = staged(columns.where("key <> pivot"), "columns")
             pairs = columns.select(F.col("pivot").alias("a"), F.col("key").alias("b"))
