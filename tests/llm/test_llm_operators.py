@@ -113,6 +113,33 @@ def test_every_pair_counts_wherever_it_lies(spark, docs):
         assert got == pytest.approx(want, rel=1e-9)
 
 
+def test_words_that_occur_once_are_settled_where_they_occur(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from wakeline.llm import lm
+
+    rows = [(i, " ".join(["a b a c"] * 5 + [f"only{i}", "b", f"alone{i}"])) for i in range(200)]
+    rows.append((1000, rows[0][1]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm.score_documents(frame).collect()}
+    held = frame.where(lm.held_out("doc_id")).count()
+    joined = []
+    plain = lm._with_gain
+
+    def counted(pairs, words, log_p):
+        joined.append(pairs.count())
+        return plain(pairs, words, log_p)
+
+    monkeypatch.setattr(lm, "_with_gain", counted)
+    often = frame.where(~lm.held_out("doc_id")).select(F.explode(F.split("text", " ")).alias("w")).groupBy("w").count()
+    most = often.where("count > 1").count() + 1  # and the end
+    got = {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm.score_documents(frame, most_words=most).collect()}
+    assert got.keys() == want.keys()
+    for k, v in got.items():
+        assert v == pytest.approx(want[k], rel=1e-9)
+    assert sum(joined) <= 4 * held
+
+
 def test_shards(spark):
     rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = QUERIES["op5_sharding"](spark, SF).collect()

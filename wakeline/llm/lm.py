@@ -13,7 +13,8 @@ used. P(w) = (c + 0.5) / (N + 0.5 * (V + 1)) with exact counts.
 
 Where things lie depends on sizes, the scores do not: the most frequent words, and the filter while it is small, are
 broadcast. Other words of the scored texts are joined with the counts, and pairs that cannot be settled in the task are
-joined, each distinct one once, with the segments; both come back as one sum for each text.
+joined, each distinct one once, with the segments; both come back as one sum for each text. While every word that occurs
+twice is broadcast, a training text's other words occur once, which its task knows without a join.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ PRIOR = 1000.0
 #: Tokens that a task counts before it sends counts on, and histories whose sums it holds.
 COUNTED_TOKENS = 1 << 21
 HELD_SUMS = 1 << 18
+#: Pairs whose levels a task keeps from text to text, and from which level on: those take the most probes and come again.
+HELD_LEVELS = 1 << 20
+KEPT_LEVEL = 3
 END = np.uint64(0x5EED_0E0D_0000_0001)
 
 
@@ -253,19 +257,40 @@ class Filter:
         while len(live):
             step += 1
             live = live[levels[live] >= step]
+            one, two = _starts(keys[live], step)
             for some in (range(2), range(2, HASHES)):
-                one, two = _starts(keys[live], step)
                 bits, at = size[live], start[live]
                 present = np.ones(len(live), dtype=bool)
                 for i in some:
                     bit = _bit(one, two, i, bits)
                     byte = self.bits[at + (bit >> np.uint64(3)).view(np.int64)]
                     present &= (byte >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                live = live[present]
+                live, one, two = live[present], one[present], two[present]
             level[live] = step
         return level
 
 
+class HeldLevels:
+    """Levels of a filter for one lot of distinct keys after another; high ones are held and not probed again."""
+
+    def __init__(self, pairs: Filter) -> None:
+        self.pairs = pairs
+        self.keys, self.levels = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        place = _places(keys, self.keys)
+        new = place < 0
+        level = np.zeros(len(keys), dtype=np.int64)
+        level[~new] = self.levels[place[~new]]
+        level[new] = self.pairs.level(keys[new])
+        kept = np.flatnonzero(new & (level >= KEPT_LEVEL))[: HELD_LEVELS - len(self.keys)]
+        if len(kept):
+            held = np.concatenate([self.keys, keys[kept]])
+            order = np.argsort(held)
+            self.keys, self.levels = held[order], np.concatenate([self.levels, level[kept]])[order]
+        return level
+
+
 def filter_of(rows: pa.Table, segments: int) -> Filter:
     """The filter of rows (segment, bits, size, levels)."""
     at = rows["segment"].to_numpy()
@@ -295,6 +320,10 @@ class Words:
         total = np.maximum(self.count[place], self.kept[place]) + PRIOR
         return total, total - self.kept[place]
 
+    def single(self) -> Words:
+        """A word that occurs once, so that one pair of the first level follows it."""
+        return Words(np.zeros(1, np.uint64), np.ones(1, np.int64), _count_at(np.ones(1, np.int64)), self.tokens, self.distinct)
+
 
 def words_of(rows: pa.Table, tokens: int, distinct: int) -> Words:
     """The words of rows (h, c, kept)."""
@@ -303,30 +332,45 @@ def words_of(rows: pa.Table, tokens: int, distinct: int) -> Words:
     return Words(hashes[order], rows["c"].to_numpy()[order], rows["kept"].to_numpy()[order], tokens, distinct)
 
 
-def _scored(words: Words, pairs: Filter | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scored(
+    words: Words, pairs: Filter | None, batches: Iterator[pa.RecordBatch], once: bool = False
+) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, held_out, n_tokens, frequent, base, score, rare, ask_h, ask_w, ask_n, ask_q).
 
+    With ``once`` every word that occurs twice in training is broadcast. So a training text's other words occur there and
+    nowhere else, with one pair after each, and need no join: they count as frequent.
+
     The sums are over frequent words, and over what is known of pairs after them; the rare words are listed. So are the
     pairs that are left to ask for, once a text with their number: those in the filter with a rare word, with their
     quantised count, or without a filter all.
     """
+    levels = pairs and HeldLevels(pairs)
     for batch, tokens, starts in _token_runs(batches):
-        place = _places(tokens, words.frequent)
-        known = place >= 0
-        unigram, factor = np.zeros(len(tokens)), np.zeros(len(tokens))
-        unigram[known] = words.log_unigram(place[known])
+        distinct, inverse = np.unique(tokens, return_inverse=True)
+        places = _places(distinct, words.frequent)
+        frequent = places >= 0
+        values = np.zeros((4, len(distinct)))
+        values[0, frequent] = words.log_unigram(places[frequent])
+        values[1:3, frequent] = words.totals(places[frequent])
+        known = frequent[inverse]
+        if once:
+            single = words.single()
+            values[0, ~frequent] = single.log_unigram(0)
+            values[1:3, ~frequent] = np.reshape(single.totals(0), (2, 1))
+            known |= np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), np.diff(starts))
+            frequent[:] = True
+        values[3, frequent] = np.log10(values[2, frequent] / values[1, frequent])
+        unigram, factor = np.where(known, values[0][inverse], 0), np.zeros(len(tokens))
         after = _after(starts)
-        followed = after[known[after - 1]]
-        total, left = words.totals(place[followed - 1])
-        factor[followed] = np.log10(left / total)
+        factor[after] = np.where(known[after - 1], values[3][inverse[after - 1]], 0)
         keys = pair_keys(tokens[after - 1], tokens[after])
         ask, level = np.ones(len(after), dtype=bool), np.zeros(len(after), dtype=np.int64)
         if pairs is not None:
-            distinct, inverse = np.unique(keys, return_inverse=True)
-            level = pairs.level(distinct)[inverse]
+            distinct, of_pair = np.unique(keys, return_inverse=True)
+            level = levels.level(distinct)[of_pair]
             both = (level > 0) & known[after] & known[after - 1]
             at = after[both]
-            total, left = words.totals(place[at - 1])
+            total, left = values[1:3, inverse[at - 1]]
             factor[at] = np.log10((left + _count_at(level[both]) / 10.0 ** unigram[at]) / total)
             ask = (level > 0) & ~both
         asked, keys, level = after[ask], keys[ask], level[ask]
@@ -453,11 +497,14 @@ def score_documents(
     sent = spark.sparkContext.broadcast((vars(often), held and vars(held)))  # plain arrays, which need no class on the workers
     kind = texts.schema["doc_id"].dataType.simpleString()
     scored = texts.mapInArrow(
-        lambda batches: _scored(Words(**sent.value[0]), sent.value[1] and Filter(**sent.value[1]), batches),
+        lambda batches: _scored(Words(**sent.value[0]), sent.value[1] and Filter(**sent.value[1]), batches, least == 2),
         f"doc_id {kind}, held_out boolean, n_tokens bigint, frequent bigint, base double, score double,"
         " rare array<bigint>, ask_h array<bigint>, ask_w array<bigint>, ask_n array<bigint>, ask_q array<double>",
     )
     scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    in_tasks = held is not None
+    sent.destroy()  # what is scored is written
+    sent = often = held = None
     log_p = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / (tokens + 0.5 * (distinct + 1)))
     weight = F.greatest("c", "kept") + PRIOR
     back_off = F.when(F.col("h") != int(END.view(np.int64)), F.log10((weight - F.col("kept")) / weight))
@@ -472,7 +519,7 @@ def score_documents(
     asked = asked.select("row", *(F.col(f"ask.{name}").alias(name[-1]) for name in asks))
     gained = F.lit(0.0)
     if not asked.isEmpty():
-        if held is None:
+        if not in_tasks:
             found = _in_filter(asked.select("h", "w").distinct(), bits, number)
             gains = asked.drop("q").join(_with_gain(found, words, log_p).select("h", "w", "gain"), ["h", "w"])
         else:
