@@ -360,3 +360,27 @@ def test_near_copies_without_links_are_not_all_compared(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard_groups(rows)
     if sum(counts) >= 20 * len(rows):
         pytest.xfail(f"{sum(counts)} pairs of {len(rows)} rows: copies that link to no common row are all compared in the end")
+
+
+@pytest.mark.parametrize("least, bound", [(0, 400), (2, 4000)])
+def test_copies_that_share_edits_are_paired_by_their_differences(spark, monkeypatch, least, bound):
+    """Without the text itself (least 2) pivots lead to several of its copies, which have edits of their own."""
+    rng = random.Random(2)
+    text = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(text)
+        for at in rng.sample(range(150), rng.randint(least, 8)):
+            words[at] = f"x{rng.randrange(10)}"
+        rows.append((i, " ".join(words)))
+    compared = []
+    plain = ngram_join._overlaps
+
+    def counted(pairs, incidence):
+        compared.append(pairs.count())
+        return plain(pairs, incidence)
+
+    monkeypatch.setattr(ngram_join, "_overlaps", counted)
+    got = jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard_groups(rows)
+    assert compared[-1] < bound

@@ -14,7 +14,8 @@ formed whole. Bounds that follow from the sizes of the sets leave out nearly all
    A row found to be linked to pivots is labelled by the least of them, and rows of one label need not be compared; a
    column is done when its rows have one label or it has one row left. When the pairs left, of rows of different labels
    in one column, are few enough, they form the last block. The components of all links found are taken at the end.
-4. In the last block, rows around one centre that many have in common are known by what they lack of it and add to it.
+4. In the last block, rows around one centre that many have in common are known by what they lack of its base and add to
+   it; the base is what more than half of them have, so edits of single copies are not in it.
    Two of them link if they have enough of these differences in common, so many more than copies edited apart have:
    they are paired by their rarest differences, not by the columns that all of them hold.
 
@@ -190,10 +191,18 @@ def _open_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(_may_link(F.col("n_a"), F.col("n_b")) & (F.col("root_a") != F.col("root_b"))).select("a", "b")
 
 
-def _centres(columns: DataFrame) -> DataFrame:
-    """Rows (key, centre): the pivot of most columns of a row, or that pivot's own; centres of many rows only.
+def _of_many(centres: DataFrame, least: int) -> DataFrame:
+    """Rows (centre, key, members) of centres with at least so many rows."""
+    many = centres.groupBy("centre").agg(F.count("*").alias("members")).where(F.col("members") >= least)
+    return centres.join(many, "centre")
 
-    A pivot has less to itself than the other rows of its columns, so going on from pivot to pivot leads to an end.
+
+def _centres(columns: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows (centre, key, members): the pivot of most columns of a row, or that pivot's own; centres of many rows only.
+
+    A pivot has less to itself than the other rows of its columns, so going on from pivot to pivot leads to an end. Copies
+    of one text may end at many pivots, but the bases of these have most n-grams in common: a centre gives way to the
+    least one that most n-grams of its base lead to. Any choice of centres gives the same links, at other cost.
     """
     votes = columns.groupBy("key", "pivot").agg(F.count("*").alias("votes"))
     centres = votes.groupBy("key").agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("centre"))
@@ -202,66 +211,109 @@ def _centres(columns: DataFrame) -> DataFrame:
         further = centres.where("key <> centre").select(F.col("key").alias("centre"), F.col("centre").alias("further"))
         centres = centres.join(further, "centre", "left").select("key", F.coalesce("further", "centre").alias("centre"))
     centres = staged(centres, "centres")
-    many = centres.groupBy("centre").count().where(F.col("count") >= CENTRE_ROWS).select("centre")
-    return staged(centres.join(many, "centre"), "centres")
+    bases = _bases(_of_many(centres, CENTRE_ROWS // 4).join(rows, "key"))
+    cells = bases.select("centre", F.size("base").alias("size"), F.explode("base").alias("h"))
+    votes = cells.join(cells.groupBy("h").agg(F.min("centre").alias("least")), "h").groupBy("centre", "least").agg(
+        F.count("*").alias("votes"), F.first("size").alias("size")
+    )
+    merged = small(staged(votes.where("2 * votes > size").select("centre", "least"), "merged"))
+    centres = centres.join(merged, "centre", "left").select("key", F.coalesce("least", "centre").alias("centre"))
+    return staged(_of_many(staged(centres, "centres"), CENTRE_ROWS), "centres")
+
+
+def _bases(members: DataFrame) -> DataFrame:
+    """Rows (centre, base): the n-grams that more than half of the rows around a centre have.
+
+    Copies edited apart give back the text that they were made from, also if it is no row or not the one that most pivots
+    lead to. Differences from an edited copy would hold its own edits too, which all others then have in common.
+    """
+    cells = members.select("centre", "members", F.explode("hashes").alias("h"))
+    counts = cells.groupBy("centre", "h").agg(F.count("*").alias("df"), F.first("members").alias("members"))
+    return staged(counts.where("2 * df > members").groupBy("centre").agg(F.collect_list("h").alias("base")), "bases")
 
 
 def _differences(centres: DataFrame, rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows (centre, key, n, root, needs, near, delta): what a row lacks of its centre and adds to it, and if it links.
+    """Rows (centre, key, n, root, needs, delta): what a row lacks of its centre's base and adds to it.
 
-    Let c be the centre's size, and let x lack r of it and add a. The overlap of x and y is c - r(x) - r(y) + s with s
-    differences in common. So they link if 2 * (100 + SIMILARITY) * s >= needs(x) + needs(y), where
-    needs = 2 * (100 * r + SIMILARITY * a) - (100 - SIMILARITY) * c, and x links to the centre if that is at most
-    (100 - SIMILARITY) * c. The sum is over 0 unless both link to the centre.
+    Let c be the base's size, and let x lack r of it and add a. The overlap of x and y is c - r(x) - r(y) + s with s
+    differences in common. So they link if and only if 2 * (100 + SIMILARITY) * s >= needs(x) + needs(y), where
+    needs = 2 * (100 * r + SIMILARITY * a) - (100 - SIMILARITY) * c. This holds for any base, also an empty one.
     """
-    heads = staged(rows.join(centres.select(F.col("centre").alias("key")).distinct(), "key", "left_semi"), "heads")
-    heads = heads.select(F.col("key").alias("centre"), F.col("hashes").alias("base"))
-    both = centres.join(rows, "key").join(roots.select("key", "root"), "key").join(heads, "centre")
+    members = centres.join(rows, "key")
+    both = members.join(_bases(members), "centre", "left").withColumn(
+        "base", F.coalesce("base", F.array().cast("array<bigint>"))
+    ).join(roots.select("key", "root"), "key")
     both = both.withColumn("lacks", F.array_except("base", "hashes")).withColumn("adds", F.array_except("hashes", "base"))
-    spare = (100 - SIMILARITY) * F.size("base")
-    needs = 2 * (100 * F.size("lacks") + SIMILARITY * F.size("adds")) - spare
+    needs = 2 * (100 * F.size("lacks") + SIMILARITY * F.size("adds")) - (100 - SIMILARITY) * F.size("base")
     both = both.select(
-        "centre", "key", "n", "root", needs.cast("bigint").alias("needs"), (needs <= spare).alias("near"),
-        F.concat("lacks", "adds").alias("delta"),
+        "centre", "key", "n", "root", needs.cast("bigint").alias("needs"), F.concat("lacks", "adds").alias("delta")
     )
     return staged(both, "differences")
 
 
-def _difference_pairs(differences: DataFrame) -> DataFrame:
+def _near(differences: DataFrame) -> DataFrame:
+    """Rows (centre, middle, major, key, root): the rows linked to the middle, the row of least needs, by needs alone.
+
+    ``major`` is the middle's root. A centre whose least needs are over 0 has no such rows.
+    """
+    first = F.struct("needs", "key")
+    middles = differences.groupBy("centre").agg(
+        F.min("needs").alias("least"), F.min_by("key", first).alias("middle"), F.min_by("root", first).alias("major")
+    )
+    middles = small(staged(middles.where("least <= 0"), "middles"))
+    near = differences.join(middles, "centre").where("needs + least <= 0")
+    return staged(near.select("centre", "middle", "major", "key", "root"), "near")
+
+
+def _difference_pairs(differences: DataFrame, near: DataFrame) -> DataFrame:
     """Pairs (a, b) of rows around one centre that may have enough differences in common, and no common label.
 
-    A row's label is the centre if links join it to that, else its root. Its rarest differences are kept, so many that
-    two rows that link have one of them in common, the first of which leaves both enough to come.
+    A row's label is that of the middle if links join it to that, else its root. Its rarest differences are kept, so many
+    that two rows that link have one of them in common, the first of which leaves both enough to come. At the last of
+    those that two rows have in common, the ones found so far and what is left of either bound them all.
     """
-    near = small(staged(differences.where("near").select("centre", "root").distinct(), "near")).withColumn("joined", F.lit(True))
-    label = F.when(F.col("joined"), F.col("centre")).otherwise(F.col("root"))
-    labelled = differences.join(near, ["centre", "root"], "left").withColumn("label", label)
+    joined = small(staged(near.select("centre", "root", "major").distinct(), "joined"))
+    main = F.col("major").isNotNull()
+    labelled = differences.join(joined, ["centre", "root"], "left").withColumn("main", main)
+    labelled = labelled.withColumn("label", F.coalesce("major", "root"))
     cells = staged(
-        labelled.select("centre", "key", "n", "needs", "label", F.explode("delta").alias("h")), "cells"
+        labelled.select("centre", "key", "n", "needs", "main", "label", F.explode("delta").alias("h")), "cells"
     )
     columns = cells.groupBy("centre", "h").agg(
         F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")
     ).where("lo <> hi").select("centre", "h", "df")
-    far = F.when(F.col("label") != F.col("centre"), F.col("needs"))
-    bounds = labelled.groupBy("centre").agg(F.min("needs").alias("least"), F.min(far).alias("least_far"))
+    bounds = labelled.groupBy("centre").agg(
+        F.min("needs").alias("least"), F.min(F.when(~F.col("main"), F.col("needs"))).alias("least_far")
+    )
     kept = cells.join(columns, ["centre", "h"]).groupBy("centre", "key").agg(
-        *(F.first(name).alias(name) for name in ("n", "needs", "label")),
+        *(F.first(name).alias(name) for name in ("n", "needs", "main", "label")),
         F.sort_array(F.collect_list(F.struct("df", "h"))).alias("columns"),
     ).join(bounds, "centre")
-    other = F.when(F.col("label") == F.col("centre"), F.col("least_far")).otherwise(F.col("least"))
+    other = F.when(F.col("main"), F.col("least_far")).otherwise(F.col("least"))
     common = F.greatest(F.lit(1), F.ceil((F.col("needs") + other) / (2 * (100 + SIMILARITY))))
     kept = kept.withColumn("most", (F.size("columns") - common + 1).cast("int")).where("most > 0")
     kept = kept.select(
-        "centre", "key", "n", "needs", "label", F.size("columns").alias("s"),
+        "centre", "key", "n", "needs", "main", "label", F.size("columns").alias("s"),
         F.posexplode(F.slice("columns", F.lit(1), F.col("most"))).alias("at", "c"),
-    ).select("centre", F.col("c.h").alias("h"), "key", "n", "needs", "label", (F.col("s") - F.col("at")).alias("rest"))
+    ).select(
+        "centre", F.col("c.h").alias("h"), "key", "n", "needs", "main", "label", (F.col("s") - F.col("at")).alias("rest")
+    )
     kept = staged(kept, "kept")
-    others = kept.select("centre", "h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "needs", "label", "rest")))
-    enough = F.least("rest", "rest_b") * 2 * (100 + SIMILARITY) >= F.col("needs") + F.col("needs_b")
-    meets = kept.where("label <> centre").join(others, ["centre", "h"]).where(
-        (F.col("label") != F.col("label_b")) & _may_link(F.col("n"), F.col("n_b")) & enough
+    names = ("key", "n", "needs", "main", "label", "rest")
+    others = kept.select("centre", "h", *(F.col(c).alias(f"{c}_b") for c in names))
+    left = F.least("rest", "rest_b")
+    asked = F.col("needs") + F.col("needs_b")
+    meets = kept.where("not main").join(others, ["centre", "h"]).where(
+        (F.col("main_b") | (F.col("key") < F.col("key_b")))
+        & (F.col("label") != F.col("label_b"))
+        & _may_link(F.col("n"), F.col("n_b"))
+        & (left * 2 * (100 + SIMILARITY) >= asked)
     )
-    return meets.select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b"))
+    pairs = meets.select(
+        F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b"), left.alias("left"), asked.alias("asked")
+    ).groupBy("a", "b").agg(F.count("*").alias("met"), F.min("left").alias("left"), F.first("asked").alias("asked"))
+    most = (F.col("met") + F.col("left") - 1) * 2 * (100 + SIMILARITY)
+    return pairs.where(most >= F.col("asked")).select("a", "b")
 
 
 def _labels(rows: DataFrame) -> DataFrame | None:
@@ -307,9 +359,9 @@ def _labels(rows: DataFrame) -> DataFrame | None:
         columns = columns.join(small(open_columns.select("h", "pivot", "major")), "h")
         if last:
             columns = staged(columns, "columns")
-            centres = small(_centres(columns))
+            centres = small(_centres(columns, rows))
             # Rows of the label that most rows of a column have need no comparison with each other.
-            labelled = columns.join(roots.select("key", "root"), "key").join(centres, "key", "left")
+            labelled = columns.join(roots.select("key", "root"), "key").join(centres.drop("members"), "key", "left")
             labelled = labelled.withColumn("centre", F.coalesce("centre", "key"))
             other = labelled.select("h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "rest", "root", "centre")))
             other = other.withColumnRenamed("key_b", "b")
@@ -322,17 +374,19 @@ def _labels(rows: DataFrame) -> DataFrame | None:
                 & enough
             )
             pairs = meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
+            pairs = _open_pairs(pairs.distinct(), roots)
             if not centres.isEmpty():
                 differences = _differences(centres, rows, roots)
-                pairs = pairs.unionByName(_difference_pairs(differences))
-                near = differences.where("near and key <> centre")
-                near = near.select(F.col("centre").alias("a"), F.col("key").alias("b"))
+                near = _near(differences)
+                pairs = pairs.unionByName(_difference_pairs(differences, near))
+                near = near.where("key <> middle").select(F.col("middle").alias("a"), F.col("key").alias("b"))
                 found = near if found is None else found.unionByName(near)
         else:
             columns = staged(columns.where("key <> pivot"), "columns")
             pairs = columns.select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+            pairs = _open_pairs(pairs.distinct(), roots)
             columns = columns.drop("pivot", "major")
-        links = staged(_overlaps(_open_pairs(pairs.distinct(), roots), rows), "overlaps")
+        links = staged(_overlaps(pairs, rows), "overlaps")
         found = links if found is None else found.unionByName(links)
         if last:
             break
