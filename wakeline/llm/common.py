@@ -33,7 +33,7 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def bucketed(frame: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+def bucketed(frame: DataFrame, name: str, key: str, **options: str) -> Iterator[DataFrame]:
     """Like ``staged``, but in buckets of ``key``: joins on it move only the other side, however many there are.
 
     A frame that an aggregate has just dealt out by ``key`` gives one file a bucket. The catalogue forgets the table at
@@ -43,7 +43,7 @@ def bucketed(frame: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
     table = f"wakeline_{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = new_folder(spark, f"llm-{name}")
-    frame.write.bucketBy(buckets, key).option("path", folder).format("parquet").saveAsTable(table)
+    frame.write.bucketBy(buckets, key).options(path=folder, **options).format("parquet").saveAsTable(table)
     try:
         yield spark.table(table)
     finally:

@@ -11,10 +11,10 @@ cut into segments by the pair's hash, each a bit array that one task builds.
 sums to one over all words but for the filter's false positives. After an unknown word, and at the beginning, P(w) is
 used. P(w) = (c + 0.5) / (N + 0.5 * (V + 1)) with exact counts.
 
-Where things lie depends on sizes, the scores do not: the most frequent words, and the filter while it is small, are
-broadcast. Other words of the scored texts are joined with the counts, and pairs that cannot be settled in the task are
-joined, each distinct one once, with the segments; both come back as one sum for each text. While every word that occurs
-twice is broadcast, a training text's other words occur once, which its task knows without a join.
+Where things lie depends on sizes, the scores do not. While they are small, the filter and every word that occurs twice
+are broadcast. A training text's other words occur once, which its task knows without a join. Other words of the texts
+held out are joined with the counts, and so are their pairs that cannot be settled in the task; both come back as one sum
+for each text. Beyond that size nothing is broadcast, and texts are scored in groups (``lm_groups``).
 """
 
 from __future__ import annotations
@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import slices, staged
 from wakeline.llm.words import hashed_words, mix
 
-#: Words that are broadcast, the most frequent; 24 bytes each.
+#: Words that may be broadcast; 24 bytes each.
 MOST_WORDS = 2_000_000
-#: Bytes up to which the filter is broadcast.
+#: Bytes up to which the filter is broadcast. It has no more than HASHES / ln 2 bits a training token.
 FILTER_BYTES = 128 << 20
 #: Training tokens, and so at most pairs, a segment; small filters have LEAST_SEGMENTS, so that all tasks build some.
 SEGMENT_TOKENS = 1 << 16
@@ -333,7 +333,7 @@ def words_of(rows: pa.Table, tokens: int, distinct: int) -> Words:
 
 
 def _scored(
-    words: Words, pairs: Filter | None, batches: Iterator[pa.RecordBatch], once: bool = False
+    words: Words, pairs: Filter, batches: Iterator[pa.RecordBatch], once: bool = False
 ) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, held_out, n_tokens, frequent, base, score, rare, ask_h, ask_w, ask_n, ask_q).
 
@@ -342,9 +342,9 @@ def _scored(
 
     The sums are over frequent words, and over what is known of pairs after them; the rare words are listed. So are the
     pairs that are left to ask for, once a text with their number: those in the filter with a rare word, with their
-    quantised count, or without a filter all.
+    quantised count.
     """
-    levels = pairs and HeldLevels(pairs)
+    levels = HeldLevels(pairs)
     for batch, tokens, starts in _token_runs(batches):
         distinct, inverse = np.unique(tokens, return_inverse=True)
         places = _places(distinct, words.frequent)
@@ -364,15 +364,13 @@ def _scored(
         after = _after(starts)
         factor[after] = np.where(known[after - 1], values[3][inverse[after - 1]], 0)
         keys = pair_keys(tokens[after - 1], tokens[after])
-        ask, level = np.ones(len(after), dtype=bool), np.zeros(len(after), dtype=np.int64)
-        if pairs is not None:
-            distinct, of_pair = np.unique(keys, return_inverse=True)
-            level = levels.level(distinct)[of_pair]
-            both = (level > 0) & known[after] & known[after - 1]
-            at = after[both]
-            total, left = values[1:3, inverse[at - 1]]
-            factor[at] = np.log10((left + _count_at(level[both]) / 10.0 ** unigram[at]) / total)
-            ask = (level > 0) & ~both
+        distinct, of_pair = np.unique(keys, return_inverse=True)
+        level = levels.level(distinct)[of_pair]
+        both = (level > 0) & known[after] & known[after - 1]
+        at = after[both]
+        total, left = values[1:3, inverse[at - 1]]
+        factor[at] = np.log10((left + _count_at(level[both]) / 10.0 ** unigram[at]) / total)
+        ask = (level > 0) & ~both
         asked, keys, level = after[ask], keys[ask], level[ask]
         text = np.searchsorted(starts, asked, side="right") - 1
         order = np.lexsort((keys, text))
@@ -409,29 +407,6 @@ def _scored(
         )
 
 
-def _in_filter(pairs: DataFrame, segments: DataFrame, number: int) -> DataFrame:
-    """Rows (h, w, q) of the pairs (h, w) that the filter holds, by one join with its segments."""
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, w = (batch.column(n).to_numpy().view(np.uint64) for n in ("h", "w"))
-            segment = (pair_keys(h, w) % np.uint64(number)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(segment), *batch.columns], ["segment", "h", "w"])
-
-    def probed(rows: pa.Table, held: pa.Table) -> pa.Table:
-        if len(rows) == 0 or len(held) == 0:
-            rows, q = rows.slice(0, 0), np.zeros(0)
-        else:
-            h, w = (rows[n].to_numpy().view(np.uint64) for n in ("h", "w"))
-            one = held.drop_columns(["segment"]).append_column("segment", pa.array([0]))
-            level = filter_of(one, 1).level(pair_keys(h, w))
-            rows, q = rows.filter(pa.array(level > 0)), _count_at(level[level > 0])
-        return pa.table({"h": rows["h"], "w": rows["w"], "q": pa.array(q)})
-
-    placed_pairs = pairs.mapInArrow(placed, "segment int, h bigint, w bigint").groupBy("segment")
-    return placed_pairs.cogroup(segments.groupBy("segment")).applyInArrow(probed, "h bigint, w bigint, q double")
-
-
 def _with_gain(pairs: DataFrame, words: DataFrame, log_p: Column) -> DataFrame:
     """Add ``gain``, what a pair of ``q`` adds to the weight of its history."""
     left = F.greatest("c", "kept") - F.col("kept") + PRIOR
@@ -477,6 +452,13 @@ def score_documents(
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
     tokens, distinct = int(total["tokens"]), int(total["distinct"])
     number = max(LEAST_SEGMENTS, tokens // SEGMENT_TOKENS)
+    least = _least_count(counts, most_words)
+    train_tokens = F.lit(tokens).cast("bigint").alias("train_tokens")
+    if tokens * HASHES / math.log(2) / 8 > filter_bytes or least > 2:
+        from wakeline.llm.lm_groups import score_groups
+
+        scored = score_groups(texts, number, tokens, distinct)
+        return scored.select("doc_id", "held_out", "n_tokens", "n_known", train_tokens, "base_score", "score")
     pairs = training.mapInArrow(
         lambda batches: _pair_counts(batches, number), "segment int, h binary, runs binary, w binary, c binary"
     )
@@ -488,21 +470,17 @@ def score_documents(
     sums = sums.groupBy(F.col("s.histories").alias("h")).agg(F.sum("s.kept").alias("kept"))
     words = counts.join(sums, "h", "left").select("h", "c", F.coalesce("kept", F.lit(0.0)).alias("kept"))
     words = staged(words, "words")
-    least = _least_count(words, most_words)
     often = words_of(words.where(F.col("c") >= least).toArrow(), tokens, distinct)
-    held = None
     bits = segments.where("segment is not null").select("segment", "bits", "size", "levels")
-    if (bits.agg(F.sum(F.length("bits"))).first()[0] or 0) <= filter_bytes:
-        held = filter_of(bits.toArrow(), number)
-    sent = spark.sparkContext.broadcast((vars(often), held and vars(held)))  # plain arrays, which need no class on the workers
+    held = filter_of(bits.toArrow(), number)
+    sent = spark.sparkContext.broadcast((vars(often), vars(held)))  # plain arrays, which need no class on the workers
     kind = texts.schema["doc_id"].dataType.simpleString()
     scored = texts.mapInArrow(
-        lambda batches: _scored(Words(**sent.value[0]), sent.value[1] and Filter(**sent.value[1]), batches, least == 2),
+        lambda batches: _scored(Words(**sent.value[0]), Filter(**sent.value[1]), batches, least == 2),
         f"doc_id {kind}, held_out boolean, n_tokens bigint, frequent bigint, base double, score double,"
         " rare array<bigint>, ask_h array<bigint>, ask_w array<bigint>, ask_n array<bigint>, ask_q array<double>",
     )
     scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    in_tasks = held is not None
     sent.destroy()  # what is scored is written
     sent = often = held = None
     log_p = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / (tokens + 0.5 * (distinct + 1)))
@@ -519,12 +497,7 @@ def score_documents(
     asked = asked.select("row", *(F.col(f"ask.{name}").alias(name[-1]) for name in asks))
     gained = F.lit(0.0)
     if not asked.isEmpty():
-        if not in_tasks:
-            found = _in_filter(asked.select("h", "w").distinct(), bits, number)
-            gains = asked.drop("q").join(_with_gain(found, words, log_p).select("h", "w", "gain"), ["h", "w"])
-        else:
-            gains = _with_gain(asked, words, log_p)
-        gains = gains.groupBy("row").agg(F.sum(F.col("n") * F.col("gain")).alias("gained"))
+        gains = _with_gain(asked, words, log_p).groupBy("row").agg(F.sum(F.col("n") * F.col("gain")).alias("gained"))
         scored_rows = scored_rows.join(gains, "row", "left")
         gained = F.coalesce("gained", F.lit(0.0))
     rare_sum = F.coalesce("rare_sum", F.lit(0.0))
@@ -533,7 +506,7 @@ def score_documents(
         "held_out",
         "n_tokens",
         (F.col("frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("bigint").alias("train_tokens"),
+        train_tokens,
         (F.col("base") + rare_sum).alias("base_score"),
         (F.col("score") + rare_sum + F.coalesce("rare_back_off", F.lit(0.0)) + gained).alias("score"),
     )
