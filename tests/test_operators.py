@@ -201,6 +201,22 @@ def test_port_table_matches_brute_force(spark, limit):
     assert len(found) == len(spots)
 
 
+def test_lists_with_salts_are_not_broadcast(spark):
+    """Spark takes them for as small as the lists without salts; copied, they outgrow the driver."""
+    rng = random.Random(6)
+    table = spark.createDataFrame([(i, str(i), rng.uniform(20, 40), rng.uniform(-99, -80)) for i in range(90)], PORTS)
+    frame = reports(spark, *[{"latitude": rng.uniform(20, 40), "longitude": rng.uniform(-99, -80)} for _ in range(20)])
+    found = with_nearest_port(frame, table, max_broadcast=0)
+    assert found.count() == 20
+    for plan in (found._jdf.queryExecution().executedPlan(), found._jdf.queryExecution().optimizedPlan()):
+        joins = [line for line in plan.toString().splitlines() if "Join" in line and "salt" in line]
+        assert joins and not any("Broadcast" in line for line in joins)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    assert all("SortMergeJoin" in line for line in plan.splitlines() if "Join" in line and "salt" in line)
+
+
 @pytest.mark.parametrize("n", [1_500, 15_000])
 def test_lists_of_ports_stay_short(spark, n):
     """Ten times the ports make smaller leaves, not longer lists."""
